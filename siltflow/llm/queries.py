@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from siltflow.llm.html_text import op1_html_extraction
 from siltflow.llm.langid import op9_language_id
 from siltflow.llm.packing import op5_best_fit_packing
+from siltflow.llm.pii import op2_pii
 from siltflow.llm.quality import op6_quality_rules
 from siltflow.llm.simhash import op7_simhash_near_dedup
 from siltflow.llm.token_counts import op8_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
+    "op2_pii": op2_pii,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_rules": op6_quality_rules,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
