@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltflow.llm.chat import OP3_SQL, op3_chat_formatting
 from siltflow.llm.html_text import op1_html_extraction
 from siltflow.llm.langid import op9_language_id
 from siltflow.llm.packing import op5_best_fit_packing
@@ -17,6 +18,7 @@ from siltflow.llm.token_counts import op8_token_counts
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_pii": op2_pii,
+    "op3_chat_formatting": op3_chat_formatting,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_rules": op6_quality_rules,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
