@@ -10,6 +10,8 @@ given to the library whole.
 
 from __future__ import annotations
 
+import base64
+import os
 import re
 from collections.abc import Callable
 
@@ -43,7 +45,7 @@ class _Tier(dict):
 class UnitCache:
     """encode(unit) behind a bounded cache in the worker; frequent: values known beforehand by word."""
 
-    def __init__(self, encode: Callable[[str], object], limit: int = 300_000, frequent: dict | None = None):
+    def __init__(self, encode: Callable[[str], object], limit: int = 600_000, frequent: dict | None = None):
         self.encode = encode
         self.first = _Tier(encode, "", max(1, limit // 8), None)
         self.rest = _Tier(encode, " ", limit, frequent)
@@ -58,14 +60,17 @@ class UnitCache:
         return out
 
 
-def load_tokenizer(name: str):
-    """The library's tokenizer for a vocabulary file of public_tokenizers (.json or .model)."""
-    import os
-
+def vocabulary_path(name: str) -> str:
+    """The place of a vocabulary file of public_tokenizers; other paths stay as they are."""
     import public_tokenizers
 
+    return name if "/" in name else public_tokenizers.path(name)
+
+
+def load_tokenizer(name: str):
+    """The library's tokenizer for a vocabulary file (.json or .model)."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    path = name if "/" in name else public_tokenizers.path(name)
+    path = vocabulary_path(name)
     if path.endswith(".model"):
         import sentencepiece
 
@@ -73,3 +78,27 @@ def load_tokenizer(name: str):
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
+
+
+#: Characters for which the two libraries' tables agree: no control or special strings, Latin script.
+_PLAIN = re.compile(r"[\n\x20-;=-~\u00a1-\u024f]*")
+
+
+def unit_encoder(name: str) -> Callable[[str], list[int]]:
+    """ids of a unit or text as the .json tokenizer gives them.
+
+    If the same vocabulary lies beside it as ranks (.tiktoken), plain units are encoded from the
+    ranks, which takes a fraction of the time for the same ids; all else goes to the tokenizer.
+    """
+    library = load_tokenizer(name)
+    ranks_path = vocabulary_path(name)[: -len(".json")] + ".tiktoken"
+    if not os.path.exists(ranks_path):
+        return lambda u: library.encode(u, add_special_tokens=False).ids
+    import public_tokenizers
+    import tiktoken
+
+    with open(ranks_path, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    ordinary = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    plain = _PLAIN.fullmatch
+    return lambda u: ordinary(u) if plain(u) else library.encode(u, add_special_tokens=False).ids

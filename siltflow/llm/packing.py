@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siltflow.llm._common import arrow_map, cut, table
-from siltflow.llm._units import UnitCache, load_tokenizer
+from siltflow.llm._units import UnitCache, unit_encoder
 
 CAPACITY = 1024
 END_ID = 2
@@ -36,9 +36,8 @@ def pieces(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", capacity: int
     """Each document's ids with end_id, cut into pieces of capacity tokens of which the first may be shorter."""
 
     def make():
-        library = load_tokenizer(tokenizer)
-        as_bytes = lambda u: array("I", library.encode(u, add_special_tokens=False).ids).tobytes()
-        cache = UnitCache(as_bytes, limit=200_000)
+        ids_of = unit_encoder(tokenizer)
+        cache = UnitCache(lambda u: array("I", ids_of(u)).tobytes())
         end = array("I", [end_id]).tobytes()
 
         def step(ids, texts):
