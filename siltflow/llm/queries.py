@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from siltflow.llm.chat import OP3_SQL, op3_chat_formatting
+from siltflow.llm.decontam import op10_benchmark_decontamination
 from siltflow.llm.html_text import op1_html_extraction
 from siltflow.llm.langid import op9_language_id
 from siltflow.llm.packing import op5_best_fit_packing
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
 SQL: dict[str, str] = {}
