@@ -17,16 +17,18 @@ are ignored.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from siltflow.llm._common import arrow_map, table
+from siltflow.llm._common import arrow_map, ready, table
 
 PROFILE = 400
 DOC_GRAMS = 400
 DOCS_PER_LANG = 400
 SLICE = 1_500_000
+MIN_SCORE = 0.05
 UND = "und"
 _END = 0xFFFF
 
@@ -142,6 +144,32 @@ def learn(docs: DataFrame, lang: str = "lang", id_col: str = "doc_id", text: str
     return out
 
 
+class _Judge:
+    """For a batch of texts: the numbers of their languages (-1: none) and their scores."""
+
+    def __init__(self, profiles: dict[str, list[int]], profile: int, doc_grams: int):
+        self.grams, self.names = Grams(), sorted(profiles)
+        self.profile, self.doc_grams, self.own = profile, doc_grams, []
+        for x in self.names:
+            own = np.array(profiles[x], dtype=np.uint64)
+            order = np.argsort(own)
+            self.own.append((own[order], order))
+
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        doc, gram, rank = self.grams.ranked(texts, self.doc_grams)
+        size = len(texts)
+        m = np.bincount(doc, minlength=size)
+        best, lang = np.full(size, np.inf), np.full(size, -1)
+        for k, (own, place) in enumerate(self.own):
+            at = np.minimum(np.searchsorted(own, gram), len(own) - 1)
+            out_of = np.where(own[at] == gram, np.minimum(np.abs(place[at] - rank), self.profile), self.profile)
+            d = np.bincount(doc, out_of, size)
+            lang = np.where((d < best) & (m > 0), k, lang)
+            best = np.minimum(best, d)
+        score = np.where(lang >= 0, 1 - best / np.maximum(m * self.profile, 1), 0.0)
+        return lang, np.clip(score, 0, 1)
+
+
 def predict(docs: DataFrame, profiles: dict[str, list[int]], columns: list[str], text: str = "text", profile: int = PROFILE, doc_grams: int = DOC_GRAMS) -> DataFrame:
     """columns of docs with lang_pred and score (1: the n-grams rank as in the profile; 0: it has none of them)."""
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
@@ -149,28 +177,12 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], columns: list[str],
     schema = kept.drop("__text").schema
 
     def make():
-        grams, names = Grams(), sorted(shared.value)
-        table_ = []
-        for x in names:
-            own = np.array(shared.value[x], dtype=np.uint64)
-            order = np.argsort(own)
-            table_.append((own[order], order))
+        judge = _Judge(shared.value, profile, doc_grams)
 
         def step(*cols):
-            *keep, texts = cols
-            doc, gram, rank = grams.ranked(texts, doc_grams)
-            size = len(texts)
-            m = np.bincount(doc, minlength=size)
-            best, lang = np.full(size, np.inf), np.full(size, -1)
-            for k, (own, place) in enumerate(table_):
-                at = np.minimum(np.searchsorted(own, gram), len(own) - 1)
-                out_of = np.where(own[at] == gram, np.minimum(np.abs(place[at] - rank), profile), profile)
-                d = np.bincount(doc, out_of, size)
-                lang = np.where((d < best) & (m > 0), k, lang)
-                best = np.minimum(best, d)
-            score = np.where(lang >= 0, 1 - best / np.maximum(m * profile, 1), 0.0)
-            out = {f"c{i}": c for i, c in enumerate(keep)}
-            return out | {"lang_pred": [names[k] if k >= 0 else UND for k in lang], "score": np.clip(score, 0, 1).tolist()}
+            lang, score = judge(cols[-1])
+            out = {f"c{i}": c for i, c in enumerate(cols[:-1])}
+            return out | {"lang_pred": [judge.names[k] if k >= 0 else UND for k in lang], "score": score.tolist()}
 
         return step
 
@@ -179,9 +191,27 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], columns: list[str],
     return out.toDF(*[f.name for f in schema], "lang_pred", "score")
 
 
+def accepted(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text", min_score: float = MIN_SCORE, profile: int = PROFILE, doc_grams: int = DOC_GRAMS) -> DataFrame:
+    """The rows of docs, unchanged, whose text has a language: not `und`, and a score of at least min_score."""
+    ready(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(profiles)
+    at = docs.columns.index(text)
+
+    def run(batches):
+        judge = _Judge(shared.value, profile, doc_grams)
+        for batch in batches:
+            step = max(1, batch.num_rows // max(1, batch.nbytes // 16_000_000 + 1))
+            for start in range(0, batch.num_rows, step):
+                part = batch.slice(start, step)
+                lang, score = judge(part.column(at).to_pylist())
+                yield part.filter(pa.array((lang >= 0) & (score >= min_score)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op9_language_id(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     third = F.crc32(F.col("doc_id").cast("string")) % 3
     profiles = learn(docs.filter(third != 1))
-    held = docs.withColumn("held_out", F.coalesce(third == 1, F.lit(False))) if "held_out" not in docs.columns else docs.drop("held_out").withColumn("held_out", F.coalesce(third == 1, F.lit(False)))
+    held = docs.select("doc_id", "text", F.coalesce(third == 1, F.lit(False)).alias("held_out"))
     return predict(held, profiles, ["doc_id", "held_out"])

@@ -10,6 +10,7 @@ from siltflow.llm.chat import OP3_SQL, op3_chat_formatting
 from siltflow.llm.decontam import op10_benchmark_decontamination
 from siltflow.llm.html_text import op1_html_extraction
 from siltflow.llm.langid import op9_language_id
+from siltflow.llm.line_templates import op4_line_dedup
 from siltflow.llm.packing import op5_best_fit_packing
 from siltflow.llm.pii import op2_pii
 from siltflow.llm.quality import op6_quality_rules
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_pii": op2_pii,
     "op3_chat_formatting": op3_chat_formatting,
+    "op4_line_dedup": op4_line_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_quality_rules": op6_quality_rules,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,

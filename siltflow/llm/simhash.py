@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siltflow.llm._common import arrow_map, cut, ready, table
@@ -71,16 +72,16 @@ def fingerprint(text: str | None, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """id and fp (the fingerprint's bits as a signed long)."""
+    """id, doc_key (of id and text) and fp (the fingerprint's bits as a signed long)."""
 
     def make():
-        def step(ids, texts):
-            return {"id": ids, "fp": np.array([fingerprint(t) for t in texts], dtype=np.uint64).astype(np.int64)}
+        def step(ids, keys, texts):
+            return {"id": ids, "doc_key": keys, "fp": np.array([fingerprint(t) for t in texts], dtype=np.uint64).astype(np.int64)}
 
         return step
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    return arrow_map(docs.select(id_col, text), make, f"id {kind}, fp long")
+    return arrow_map(docs.select(id_col, F.xxhash64(id_col, text), text), make, f"id {kind}, doc_key long, fp long")
 
 
 def _gray_rank(fp: Column) -> Column:
@@ -209,14 +210,24 @@ def links(fps: DataFrame, limit: int = LIMIT, split: int = SPLIT) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", limit: int = LIMIT, split: int = SPLIT) -> DataFrame:
-    """id, fp and component_id (the smallest id reachable through linked fingerprints) of each document."""
+    """id, doc_key (of id and text), fp, root (its group's fingerprint) and component_id (the smallest id of the group) of each document."""
     of, _ = cut(fingerprints(docs, id_col, text), "fingerprints")
     fps, _ = cut(of.groupBy("fp").agg(F.min("id").alias("rep")), "classes")
     found = components(links(fps.select("fp"), limit, split))
     rooted = fps.join(found, F.col("fp") == F.col("id"), "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = rooted.join(least, "root").select(F.col("fp").alias("__fp"), "component_id")
-    return of.join(named, F.col("fp") == F.col("__fp")).select(F.col("id").alias(id_col), "fp", "component_id")
+    named = rooted.join(least, "root").select(F.col("fp").alias("__fp"), "root", "component_id")
+    return of.join(named, F.col("fp") == F.col("__fp")).select(F.col("id").alias(id_col), "doc_key", "fp", "root", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", limit: int = LIMIT, split: int = SPLIT) -> DataFrame:
+    """docs with one document of each group: that of the smallest id (nulls last)."""
+    groups = near_duplicates(docs, id_col, text, limit, split)
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "doc_key")).alias("f"))
+    keep, _ = cut(first.select(F.col("f.doc_key").alias("__keep")), "kept")
+    rows = docs.withColumn("__key", F.xxhash64(id_col, text)).join(keep, F.col("__key") == F.col("__keep"), "left_semi")
+    once = F.row_number().over(W.partitionBy("__key").orderBy("__key"))  # of repeated rows one
+    return rows.withColumn("__n", once).filter("__n = 1").select(*docs.columns)
 
 
 def op7_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
