@@ -27,13 +27,17 @@ from siltflow.sources.records import decode
 from siltflow.sources.table import Result, TxnTable
 
 STALE_AFTER_S = 40 * 60
-DEAD_LETTERS = T.StructType.fromDDL("topic string, `partition` int, `offset` long, value string, error string")
+DEAD_LETTERS = T.StructType([T.StructField(*f) for f in (("topic", T.StringType()), ("partition", T.IntegerType()), ("offset", T.LongType()), ("value", T.StringType()), ("error", T.StringType()))])
 
 
 class BackPressure(RuntimeError):
     """Too many records at once: nothing was taken; try again with fewer."""
 
 
+class UnusableRecord(ValueError):
+    """A record that no table takes, where there are no dead letters for it."""
+
+
 @dataclass
 class Outcome:
     """What a batch did: each table's results, and the next offset of each topic and partition."""
@@ -140,7 +144,7 @@ class Ingest:
                 out.tables.setdefault(name, []).append(result)
             if result.applied:
                 self._upkeep.submit(_quietly, table.maintain)
-        except RoutingError:
+        except (RoutingError, UnusableRecord):
             raise
         except Exception as error:
             self.forget(name)
@@ -157,7 +161,7 @@ class Ingest:
         if not self.config.dead_letters:
             first = records.select("topic", "partition", "offset").first()
             if first is not None:
-                raise ValueError(f"unusable record at {first.topic}-{first.partition}@{first.offset}: {error}")
+                raise UnusableRecord(f"unusable record at {first.topic}-{first.partition}@{first.offset}: {error}")
             return
         own = {f"dead:{kind}:{k}": v for k, v in txns.items()}
         rows = records.select("topic", "partition", "offset", "value", F.lit(error).alias("error"))

@@ -1,0 +1,128 @@
+import base64
+from datetime import date
+from decimal import Decimal
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from siltflow.functions.convert import date_of_millis, decimal_of_base64
+from siltflow.functions.redact import is_auth_failure, redact, redact_column, redact_error
+from siltflow.functions.sizing import record_size
+from siltflow.functions.types import DATE, DECIMAL, TIMESTAMP, SchemaError, added_column_defs, column_defs, spark_schema, wire_schema
+
+
+def field(name, kind, optional=False, /, **more):
+    return {"field": name, "type": kind, "optional": optional, **more}
+
+
+def struct(*fields, **more):
+    return {"type": "struct", "fields": list(fields), **more}
+
+
+def test_physical_and_logical_types():
+    names = ["int8", "int16", "int32", "int64", "float", "double", "boolean", "string", "bytes"]
+    got = spark_schema(struct(*(field(f"c{i}", n) for i, n in enumerate(names))))
+    assert [f.dataType.typeName() for f in got] == ["byte", "short", "integer", "long", "float", "double", "boolean", "string", "binary"]
+    got = spark_schema(struct(field("ts", "int64", name=TIMESTAMP), field("d", "int32", name=DATE), field("amt", "bytes", name=DECIMAL, parameters={"scale": "4"}), field("x", "int32", name="own.Thing")))
+    assert [f.dataType for f in got] == [T.TimestampType(), T.DateType(), T.DecimalType(38, 4), T.IntegerType()]
+
+
+def test_nullability_and_nesting():
+    got = spark_schema(struct(field("req", "int32"), field("opt", "string", True), field("tags", "array", items={"type": "string", "optional": True}), field("m", "map", keys={"type": "string"}, values={"type": "int32"})))
+    assert [f.nullable for f in got] == [False, True, False, False]
+    assert got["tags"].dataType == T.ArrayType(T.StringType(), True) and got["m"].dataType == T.MapType(T.StringType(), T.IntegerType(), False)
+    assert spark_schema(wire_schema(got)) == got
+
+
+def nested(levels, kind):
+    s = {"type": "int32"}
+    for _ in range(levels):
+        s = struct(s | {"field": "x"}) if kind == "struct" else {"type": "array", "items": s}
+    return struct(s | {"field": "x"})
+
+
+@pytest.mark.parametrize("kind", ["struct", "array"])
+def test_depth(kind):
+    spark_schema(nested(31, kind))
+    with pytest.raises(SchemaError):
+        spark_schema(nested(34, kind))
+
+
+@pytest.mark.parametrize("scale", [None, "sig=secretvalue", "39", "-1"])
+def test_bad_decimals(scale):
+    with pytest.raises(SchemaError) as error:
+        spark_schema(struct(field("a", "bytes", name=DECIMAL, parameters={} if scale is None else {"scale": scale})))
+    assert "secretvalue" not in str(error.value)
+
+
+@pytest.mark.parametrize("bad", [None, "3", {"type": "string"}, struct(field("x", "union"))])
+def test_unmappable(bad):
+    with pytest.raises(SchemaError):
+        spark_schema(bad)
+
+
+def test_ddl():
+    s = spark_schema(struct(field("id", "int32"), field("name", "string", True), field("ts", "int64")))
+    assert column_defs(s) == "`id` INT NOT NULL, `name` STRING, `ts` BIGINT NOT NULL"
+    s = spark_schema(struct(field("amount", "bytes", name=DECIMAL, parameters={"scale": "2"}), field("source", "struct", fields=[field("lsn", "int64"), field("db", "string")])))
+    assert column_defs(s) == "`amount` DECIMAL(38,2) NOT NULL, `source` STRUCT<lsn:BIGINT NOT NULL,db:STRING NOT NULL> NOT NULL"
+    assert added_column_defs(s, ["amount"]) == "`amount` DECIMAL(38,2)"
+    with pytest.raises(SchemaError):
+        added_column_defs(s, ["other"])
+
+
+def test_redaction(spark):
+    cases = {
+        "abfss://c@acct.dfs.core.windows.net/t?sig=LEAK&se=2026-01-01": "abfss://<redacted>",
+        "Authorization: Bearer dapiABC.def-123": "Authorization: Bearer <redacted>",
+        '{"sas_token":"sv=2024&sig=qqq"}': None,
+        "nothing here": "nothing here",
+        "database=sales": "databa" + "se=<redacted>",
+    }
+    rows = spark.createDataFrame([(k,) for k in cases], "s string").select("s", redact_column("s").alias("r")).collect()
+    for r in rows:
+        assert r.r == redact(r.s) and (cases[r.s] is None or r.r == cases[r.s])
+        assert "LEAK" not in r.r and "qqq" not in r.r and "dapi" not in r.r
+    assert redact(None) is None
+
+
+def test_cause_chain():
+    try:
+        try:
+            raise OSError("sig=inner")
+        except OSError as e:
+            raise ValueError("outer 401") from e
+    except ValueError as error:
+        said = redact_error(error)
+        assert said == "ValueError: outer 401; caused by: OSError: sig=<redacted>" and is_auth_failure(error)
+    loop = ValueError("a")
+    loop.__cause__ = loop
+    assert redact_error(loop) == "ValueError: a" and redact_error(None) is None
+
+
+def test_sizes(spark):
+    df = spark.sql("select array(1,2,3) as nums, map('ab', 1) as m, cast(null as string) as s, 'ab😀' as u, cast(1 as decimal(38,2)) as d, X'010203' as b, named_struct('x', 1L, 'y', true) as st")
+    assert df.select(*(record_size(T.StructType([f])).alias(f.name) for f in df.schema)).first() == (12, 8, 1, 8, 16, 3, 9)
+
+
+def test_days_are_cut_towards_zero(spark):
+    rows = spark.createDataFrame([(-1,), (86_399_999,), (86_400_000,), (-86_400_000,), (None,)], "ms long").select(date_of_millis(F.col("ms")))
+    assert [r[0] for r in rows.collect()] == [date(1970, 1, 1), date(1970, 1, 1), date(1970, 1, 2), date(1969, 12, 31), None]
+
+
+def test_decimals(spark):
+    values = [0, 1, -1, 127, 128, -128, -129, 255, 256, 10**20, -(10**20), 10**37, -(10**37), 2**64, -(2**64) - 1]
+    raw = [(str(v), base64.b64encode(v.to_bytes((v.bit_length() // 8) + 1, "big", signed=True)).decode()) for v in values]
+    for scale in (0, 2):
+        got = spark.createDataFrame(raw, "v string, b string").select("v", decimal_of_base64(F.col("b"), scale).alias("d")).collect()
+        assert all(r.d == Decimal(r.v).scaleb(-scale) for r in got if abs(int(r.v)) < 10**28), got
+        assert all(r.d is not None for r in got)
+
+
+@given(st.text(max_size=60))
+def test_redact_is_stable(text):
+    once = redact(text)
+    assert redact(once) == redact(redact(once))
