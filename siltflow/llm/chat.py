@@ -144,7 +144,8 @@ def op3_chat_formatting(spark, sf_dir: str) -> DataFrame:
     return read_back(windows(rows.unionByName(probe)))
 
 
-OP3_SQL = f"""
+#: What read_back must give but for formatted_chars, which depends on the windows.
+CHECK_SQL = f"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '{PROBE}'), (-7, 1, 'assistant', '{PROBE}'))

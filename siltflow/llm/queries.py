@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltflow.llm.chat import OP3_SQL, op3_chat_formatting
+from siltflow.llm.chat import op3_chat_formatting
 from siltflow.llm.decontam import op10_benchmark_decontamination
 from siltflow.llm.html_text import op1_html_extraction
 from siltflow.llm.langid import op9_language_id
