@@ -47,6 +47,7 @@ NOISE_WORDS = frozenset(
     "disqus footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices overlay pager pagination popup promo promoted promotion "
     "related recommended recommendations respond replies reply share sharing shoutbox sidebar signup skyscraper social sponsor sponsored subscribe toolbar widget".split()
 )
+NOT_ARTICLE = frozenset("ad advert comment promo related reply sponsored".split())
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 #: Elements that stay open until a parent ends, and what ends them.
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot", "thead"}, "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"}, "option": {"option"}}
@@ -64,14 +65,14 @@ class Node:
         self.in_link = tag == "a" or parent is not None and parent.in_link
 
 
-def _noisy(attrs: str) -> bool:
+def _noisy(attrs: str, words: frozenset[str]) -> bool:
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True
         if name == "role" and value.strip().lower() in NOISE_ROLES:
             return True
-        if name in ("class", "id") and any(x.lower() in NOISE_WORDS for x in _NAME_PARTS.findall(value)):
+        if name in ("class", "id") and any(x.lower() in words for x in _NAME_PARTS.findall(value)):
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
             return True
@@ -128,7 +129,7 @@ def parse(page: str) -> Node:
             continue
         if attrs.endswith("/") and tag not in BLOCK and tag != "a":
             continue
-        noise = at.noise or tag in NEVER or tag not in ("html", "body", "article", "main") and bool(attrs) and _noisy(attrs)
+        noise = at.noise or tag in NEVER or bool(attrs) and _noisy(attrs, NOT_ARTICLE if tag in ("article", "main") else NOISE_WORDS)
         node = Node(tag, at, noise)
         if not noise:
             at.kids.append(node)
@@ -197,7 +198,9 @@ def _score(root: Node) -> list[Node]:
         if not text:
             continue
         points = 1 + text.count(",") + min(len(text) / 100, 3)
-        share, up = 1.0, x if x.tag in CONTAINER else x.parent
+        # a block counts for what contains it; a div of text right below the body stands for itself
+        loose = x.tag in CONTAINER and (x.parent is None or x.parent.tag not in CONTAINER or x.parent.tag == "body")
+        share, up = 1.0, x if loose else x.parent
         while up is not None:
             if up.tag in CONTAINER:
                 up.score += points * share
@@ -218,27 +221,25 @@ def main_text(page: str | None) -> str:
     if not scored:
         return "\n".join(_blocks(root))
     best = max(scored, key=lambda x: x.score)
-    up = best
-    while up is not None:  # an article is kept whole
-        if up.tag == "article":
-            best = up
-        up = up.parent
+    articles = [x for x in scored if x.tag == "article"]
+    if len(articles) == 1:  # a page that marks one article says which container is best
+        best = articles[0]
+    above = [best]
+    while above[-1].parent is not None:
+        above.append(above[-1].parent)
+    for tag in ("article", "main"):  # an article is kept whole, or the main part where none is marked
+        if whole := [x for x in above if x.tag == tag]:
+            best = whole[-1]
+            break
     if best.parent is None:
         return "\n".join(_blocks(best))
-    least = max(10.0, 0.2 * best.score)
+    marked = best.tag in ("article", "main")
     out: list[str] = []
     for kid in best.parent.kids:
-        if kid is best:
-            out += _blocks(kid)
-        elif isinstance(kid, str):
+        if isinstance(kid, str):
             continue
-        elif kid.tag in CONTAINER and kid.score >= least:
-            out += _blocks(kid)
-        elif kid.tag == best.tag == "article":
-            out += _blocks(kid)
-        elif kid.tag == "p" and best.tag != "article" and kid.length > 80 and kid.linked < 0.25 * kid.length:
-            out += _blocks(kid)
-        elif kid.tag in ("h1", "h2", "h3", "ul", "ol", "blockquote", "pre", "table") and best.tag not in ("article", "main") and kid.length and kid.linked < 0.25 * kid.length and best.parent.tag in ("article", "main"):
+        prose = kid.tag == "p" and kid.length > 80 and kid.linked < 0.25 * kid.length
+        if kid is best or (kid.tag == best.tag if marked else prose or kid.tag in CONTAINER and kid.score >= max(2.0, 0.2 * best.score)):
             out += _blocks(kid)
     return "\n".join(out)
 
