@@ -12,8 +12,8 @@ that have what they need are scored in full. All above their threshold are retri
 no top-k.
 
 Retrieved pairs are verified on the exact words: of an item's distinct five-word shingles at
-least `overlap` must stand in the window, in its question (all but the last sentence) and in its
-answer (the last sentence) alike, where both have shingles of their own.
+least `overlap` must stand in the window. Question (all but the last sentence) and answer (the
+last sentence) must both be there: at least half of the distinct words of each.
 
 The index is read from the item table in slices of at most `slice_items` items, each broadcast
 and run against all documents, so its size in memory is bounded whatever the table's size.
@@ -58,7 +58,7 @@ class Index:
     """An inverted index of test items with block maxima."""
 
     def __init__(self, items: list[tuple[int, str]], recall_at: float = RECALL_AT, block: int = BLOCK):
-        self.ids, self.words, self.parts = [], [], []
+        self.ids, self.words, self.parts, self.shingles = [], [], [], []
         for i, text in items:
             w = words_of(text or "")
             if not w:
@@ -66,9 +66,8 @@ class Index:
             *question, answer = [s for s in map(words_of, _SENTENCE.split(text)) if s]
             self.ids.append(i)
             self.words.append(w)
-            question = [x for s in question for x in s]
-            both = len(question) >= SHINGLE and len(answer) >= SHINGLE
-            self.parts.append((_shingles(question), _shingles(answer)) if both else (_shingles(w), set()))
+            self.parts.append([p for p in ({x for s in question for x in s}, set(answer)) if p])
+            self.shingles.append(_shingles(w))
         n = len(self.ids)
         self.longest = max(map(len, self.words), default=0)
         tf = [Counter(w) for w in self.words]
@@ -155,9 +154,13 @@ class Index:
         own = self.weights[item]
         return sum(own.get(self.term[t], 0.0) for t in words if t in self.term)
 
-    def verify(self, item: int, found: set[tuple]) -> float:
-        """The least share of the item's question's and answer's shingles that are in found."""
-        return min(len(p & found) / len(p) for p in self.parts[item] if p)
+    def verify(self, item: int, window: list[str]) -> float:
+        """The share of the item's shingles that are in the window; 0 if its question or answer isn't there."""
+        words = set(window)
+        if any(2 * len(p & words) < len(p) for p in self.parts[item]):
+            return 0.0
+        found = _shingles(window, min(SHINGLE, len(self.words[item])))
+        return len(self.shingles[item] & found) / len(self.shingles[item])
 
     def search(self, texts: list[str | None], overlap: float = OVERLAP):
         """(text number, item, score, share, first word) of each verified pair, best window first."""
@@ -197,7 +200,7 @@ class Index:
             own = words[first_of[w] : first_of[w] + width]
             if (score := self.score(item, set(own))) < self.least[item] - 1e-9:
                 continue
-            share = self.verify(item, _shingles(own) if len(self.words[item]) >= SHINGLE else set(zip(*(own[j:] for j in range(len(self.words[item]))), strict=False)))
+            share = self.verify(item, own)
             if share >= overlap and (share, score) > best.get((i, item), (0, 0, 0))[:2]:
                 best[i, item] = (share, score, first_of[w])
 
