@@ -19,7 +19,7 @@ import hashlib
 import re
 
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltflow.llm._common import arrow_map, cut, table
@@ -127,14 +127,17 @@ def _co_occurrence(docs: DataFrame, text: str, near: int) -> DataFrame:
     return arrow_map(docs.select(text), make, "entity string, word string, line long").distinct()
 
 
+def _keyed_lines(docs: DataFrame, text: str) -> DataFrame:
+    lines = docs.select(F.explode(F.split(F.col(text), "\n", -1)).alias("line")).filter("line <> ''")
+    return lines.select("line", F.xxhash64("line").alias("key"))
+
+
 def _line_counts(docs: DataFrame, text: str, words: DataFrame, few: list[str] | None) -> DataFrame:
-    """(word, lines): in how many distinct lines of the corpus each word stands; the word null counts all lines.
+    """(word, lines): in how many distinct lines of the corpus each word stands.
 
     few: the words, if they are few enough to broadcast. Else words and their lines are joined.
     """
-    lines = docs.select(F.explode(F.split(F.col(text), "\n", -1)).alias("line")).filter("line <> ''")
-    keyed = lines.select("line", F.xxhash64("line").alias("key"))
-    total = keyed.agg(F.approx_count_distinct("key", 0.02).alias("lines")).select(F.lit(None).cast("string").alias("word"), "lines")
+    keyed = _keyed_lines(docs, text)
     if few is not None:
         shared = docs.sparkSession.sparkContext.broadcast(frozenset(few))
 
@@ -155,27 +158,37 @@ def _line_counts(docs: DataFrame, text: str, words: DataFrame, few: list[str] |
     else:
         split = F.expr(r"explode(array_distinct(regexp_extract_all(lower(line), '[\\p{L}\\p{M}]{3,}', 0)))")
         hits = keyed.select(F.col("key").alias("line"), split.alias("word")).join(words, "word", "left_semi").distinct()
-    return hits.groupBy("word").agg(F.count("*").alias("lines")).unionByName(total)
+    return hits.groupBy("word").agg(F.count("*").alias("lines"))
+
+
+def _disclosure(total: float, both: str, lines: str, entity_lines: str) -> Column:
+    """PMI of a word and an entity over the entity's information content; 0 if the entity has none."""
+    n = F.greatest(F.lit(total), F.col(lines), F.col(entity_lines))
+    content = F.log2(n / F.col(entity_lines))
+    return F.when(content > 0, F.log2(F.col(both) * n / (F.col(lines) * F.col(entity_lines))) / content).otherwise(0.0)
 
 
 def disclosing_terms(docs: DataFrame, text: str = "text", near: int = NEAR, min_lines: int = MIN_LINES, generalise_at: float = GENERALISE_AT) -> DataFrame:
-    """(word, disclosure): the words that tell of some entity at least generalise_at of its information content."""
+    """(word, disclosure): the words that tell of some entity at least generalise_at of its information content.
+
+    A word's lines near any entity are a lower bound of its lines in the corpus, and so bound its
+    disclosure from above: only pairs that can still reach generalise_at are counted in the corpus.
+    """
     pairs, _ = cut(_co_occurrence(docs, text, near), "pairs")
-    joint = pairs.filter("word is not null").groupBy("entity", "word").agg(F.count("*").alias("both")).filter(F.col("both") >= min_lines)
-    joint, _ = cut(joint, "joint")
+    near_some = pairs.filter("word is not null")
+    of_entity = pairs.filter("word is null").groupBy("entity").agg(F.count("*").alias("entity_lines"))
+    at_least = near_some.groupBy("word").agg(F.countDistinct("line").alias("near_lines"))
+    joint = near_some.groupBy("entity", "word").agg(F.count("*").alias("both")).filter(F.col("both") >= min_lines)
+    total = float(_keyed_lines(docs, text).agg(F.approx_count_distinct("key", 0.02)).first()[0])
+    joint = joint.join(of_entity, "entity").join(at_least, "word")
+    joint, _ = cut(joint.filter(_disclosure(total, "both", "near_lines", "entity_lines") >= generalise_at), "joint")
     words = joint.select("word").distinct()
     few = [r.word for r in words.limit(BROADCAST_TERMS + 1).collect()]
     if not few:
         return joint.select("word", F.lit(0.0).alias("disclosure")).limit(0)
     of_word, _ = cut(_line_counts(docs, text, words, few if len(few) <= BROADCAST_TERMS else None), "lines")
-    total = float(of_word.filter("word is null").first()["lines"])
-    of_entity = pairs.filter("word is null").groupBy("entity").agg(F.count("*").alias("entity_lines"))
-    told = joint.join(of_entity, "entity").join(of_word.filter("word is not null"), "word")
-    all_lines = F.greatest(F.lit(total), "lines", "entity_lines")
-    pmi = F.log2(F.col("both") * all_lines / (F.col("lines") * F.col("entity_lines")))
-    content = F.log2(all_lines / F.col("entity_lines"))
-    share = F.when(content > 0, pmi / content).otherwise(0.0)
-    return told.groupBy("word").agg(F.max(share).alias("disclosure")).filter(F.col("disclosure") >= generalise_at)
+    told = joint.join(of_word, "word").withColumn("disclosure", _disclosure(total, "both", "lines", "entity_lines"))
+    return told.groupBy("word").agg(F.max("disclosure").alias("disclosure")).filter(F.col("disclosure") >= generalise_at)
 
 
 def all_spans(text: str | None, terms: dict[str, float], remove_at: float = REMOVE_AT) -> tuple[list, list]:
