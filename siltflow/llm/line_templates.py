@@ -34,6 +34,7 @@ LONG_TOKENS = 20
 MIN_DOCS = 3
 COPY_SHARE = 0.5
 BROADCAST_TEMPLATES = 1_000_000
+HOT_KEYS = 10_000
 VARIABLE = "<*>"
 _FIELD = re.compile(r"\S*\d\S*")
 #: The kind of a template is kept in the two low bits of its key.
@@ -85,18 +86,33 @@ def line_keys(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_t
     return arrow_map(rows, make, "doc long, pos int, n int, keys array<long>, first array<long>")
 
 
+def _with_keys(left: DataFrame, keys: DataFrame, most: int) -> DataFrame:
+    """left's rows whose key is in keys (key, rows); keys of over `most` rows are broadcast, the others joined.
+
+    With n rows in left there are at most n / most broadcast keys, and no joined key has over
+    `most` rows, so one very common line doesn't meet in one task.
+    """
+    hot, cold = F.broadcast(keys.filter(F.col("rows") > most).select("key")), keys.filter(F.col("rows") <= most).select("key")
+    return left.join(hot, "key", "left_semi").unionByName(left.join(hot, "key", "left_anti").join(cold, "key", "left_semi"))
+
+
 def recurring_lines(lines: DataFrame, min_docs: int = MIN_DOCS, copy_share: float = COPY_SHARE) -> DataFrame:
     """(doc, dropped): the positions of the lines of recurring templates, from a stored table of line_keys."""
-    exact = F.element_at("keys", 1)
-    elsewhere = lines.filter(F.array_contains("first", exact)).groupBy(exact.alias("key")).agg(F.count("*").alias("docs")).filter("docs > 1")
-    in_doc = lines.select("doc", "n", exact.alias("key")).join(elsewhere, "key", "left").groupBy("doc").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("docs").isNotNull(), F.col("n")).otherwise(0)).alias("shared"))
-    own = in_doc.filter(F.col("shared") <= copy_share * F.col("all")).select("doc")
-    counted = lines.select("doc", "first").join(own, "doc", "left_semi").select(F.explode("first").alias("key")).groupBy("key").agg(F.count("*").alias("docs"))
+    most = max(64, lines.count() // HOT_KEYS)
+    exact = lines.select("doc", "n", F.element_at("keys", 1).alias("key"), F.array_contains("first", F.element_at("keys", 1)).cast("int").alias("new"))
+    elsewhere, _ = cut(exact.groupBy("key").agg(F.sum("new").alias("docs"), F.count("*").alias("rows")).filter("docs > 1").select("key", "rows"), "elsewhere")
+    shared = _with_keys(exact.select("doc", "n", "key"), elsewhere, most)
+    zero = F.lit(0).cast("int")
+    both = lines.select("doc", F.col("n").alias("all"), zero.alias("shared")).unionByName(shared.select("doc", zero.alias("all"), F.col("n").alias("shared")))
+    own = both.groupBy("doc").agg(F.sum("all").alias("all"), F.sum("shared").alias("shared")).filter(F.col("shared") <= copy_share * F.col("all")).select("doc")
+    counted = lines.select("doc", "first").join(own, "doc", "left_semi").select(F.explode("first").alias("key")).groupBy("key").agg(F.count("*").alias("rows"))
     least = F.when(F.col("key").bitwiseAND(F.lit(3)) == EXACT_LONG, min(2, min_docs)).otherwise(min_docs)
-    templates, _ = cut(counted.filter(F.col("docs") >= least).select("key"), "templates")
-    if templates.count() <= BROADCAST_TEMPLATES:  # else the join shuffles both sides
-        templates = F.broadcast(templates)
-    hit = lines.select("doc", "pos", F.explode("keys").alias("key")).join(templates, "key", "left_semi")
+    templates, _ = cut(counted.filter(F.col("rows") >= least), "templates")
+    exploded = lines.select("doc", "pos", F.explode("keys").alias("key"))
+    if templates.count() <= BROADCAST_TEMPLATES:
+        hit = exploded.join(F.broadcast(templates.select("key")), "key", "left_semi")
+    else:
+        hit = _with_keys(exploded, templates, most)
     return hit.groupBy("doc").agg(F.collect_set("pos").alias("dropped"))
 
 
