@@ -144,16 +144,31 @@ def op3_chat_formatting(spark, sf_dir: str) -> DataFrame:
     return read_back(windows(rows.unionByName(probe)))
 
 
-#: What read_back must give but for formatted_chars, which depends on the windows.
-CHECK_SQL = f"""
+#: The query in SQL: turns, tokens and cells as above, and each window's context from its first turn.
+OP3_SQL = rf"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '{PROBE}'), (-7, 1, 'assistant', '{PROBE}'))
+), t AS (
+  SELECT *, row_number() OVER w AS place, len(regexp_extract_all(text, '{PIECE}')) + 4 AS tokens,
+    {len(START) + len(END) + 2} + length(replace(replace(replace(role || text, '&', '&amp;'), '<', '&lt;'), '[', '&#91;')) AS chars
+  FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), s AS (
+  SELECT *, sum(tokens) OVER w - tokens AS start, lower(first(role) OVER w) = 'system' AS has_system, first(tokens) OVER w AS tokens1, first(chars) OVER w AS chars1
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY place ROWS UNBOUNDED PRECEDING)
+), z AS (
+  SELECT *, greatest({BUDGET - HISTORY_TOKENS} - CASE WHEN has_system THEN tokens1 ELSE 0 END, {BUDGET // 4}) // 2 AS size FROM s
+), o AS (
+  SELECT *, place = 1 OR tokens > size OR lag(start // size) OVER w <> start // size OR lag(tokens > size) OVER w <> (tokens > size) AS opens,
+    CASE WHEN has_system AND place > 1 THEN chars1 ELSE 0 END AS kept,
+    CASE WHEN NOT (has_system AND place = 2) AND lag(tokens) OVER w <= {HISTORY_TOKENS} THEN lag(chars) OVER w ELSE 0 END AS past1,
+    CASE WHEN NOT (has_system AND place = 3) AND lag(tokens) OVER w + lag(tokens, 2) OVER w <= {HISTORY_TOKENS} THEN lag(chars, 2) OVER w ELSE 0 END AS past2
+  FROM z WINDOW w AS (PARTITION BY conv_id ORDER BY place)
 ), e AS (
-  SELECT conv_id, count(*) AS n_turns,
-    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
-    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (lower(role) = 'assistant'), '') AS loss
-  FROM c GROUP BY conv_id
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY place) AS turns,
+    coalesce(string_agg(text, '' ORDER BY place) FILTER (lower(role) = 'assistant'), '') AS loss,
+    CAST(sum(chars) + sum(CASE WHEN opens THEN kept + past1 + past2 ELSE 0 END) AS BIGINT) AS formatted_chars
+  FROM o GROUP BY conv_id
 )
-SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256 FROM e
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM e
 """

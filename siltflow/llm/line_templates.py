@@ -139,3 +139,41 @@ def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
     out = drop_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), report=True)
     gone = F.coalesce(F.array_sort("__dropped"), F.expr("cast(array() as array<int>)"))
     return out.select("doc_id", F.size(gone).cast("long").alias("n_dropped"), F.array_join(gone.cast("array<string>"), ",").alias("dropped_lines"), F.length("text").cast("long").alias("n_chars_left"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+#: The query in SQL, with texts as keys, for tables whose ids are unique and whose white space is ASCII.
+OP4_SQL = rf"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents
+), r AS (
+  SELECT *, list_filter(string_split_regex(line, '\s+'), lambda x: x <> '') AS raw FROM l
+), f AS (
+  SELECT *, len(raw) AS n, list_transform(raw, lambda x: CASE WHEN regexp_matches(x, '\d') THEN '{VARIABLE}' ELSE x END) AS fields FROM r
+), t AS (
+  SELECT *, CASE WHEN len(list_filter(fields, lambda x: x <> '{VARIABLE}')) >= {MIN_TOKENS} THEN fields ELSE raw END AS tokens, 2 + (n - 2) // 2 AS half FROM f WHERE n >= {MIN_TOKENS}
+), k AS (
+  SELECT doc_id, pos, n, CASE WHEN n >= {LONG_TOKENS} THEN 'long' ELSE 'exact' END AS kind, array_to_string(tokens, ' ') AS key FROM t
+  UNION ALL
+  SELECT doc_id, pos, n, 'general', concat_ws(chr(1), n, tokens[1], tokens[2], 'head', array_to_string(tokens[3:half], ' ')) FROM t
+  WHERE n >= {MIN_GENERAL} AND len(list_filter(tokens[3:half], lambda x: x <> '{VARIABLE}')) >= {MIN_TOKENS}
+  UNION ALL
+  SELECT doc_id, pos, n, 'general', concat_ws(chr(1), n, tokens[1], tokens[2], 'tail', array_to_string(tokens[half + 1:], ' ')) FROM t
+  WHERE n >= {MIN_GENERAL} AND len(list_filter(tokens[half + 1:], lambda x: x <> '{VARIABLE}')) >= {MIN_TOKENS}
+), elsewhere AS (
+  SELECT key FROM k WHERE kind <> 'general' GROUP BY key HAVING count(DISTINCT doc_id) > 1
+), own AS (
+  SELECT doc_id FROM k LEFT JOIN elsewhere e USING (key) WHERE kind <> 'general' GROUP BY doc_id
+  HAVING coalesce(sum(n) FILTER (e.key IS NOT NULL), 0) <= {COPY_SHARE} * sum(n)
+), templates AS (
+  SELECT kind, key FROM k SEMI JOIN own USING (doc_id) GROUP BY kind, key HAVING count(DISTINCT doc_id) >= CASE kind WHEN 'long' THEN 2 ELSE {MIN_DOCS} END
+), gone AS (
+  SELECT DISTINCT doc_id, pos FROM k SEMI JOIN templates USING (kind, key)
+), left_ AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text FROM l ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
+), dropped AS (
+  SELECT doc_id, count(*) AS n_dropped, string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos) AS dropped_lines FROM gone GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_dropped, 0) AS n_dropped, coalesce(dropped_lines, '') AS dropped_lines,
+  CASE WHEN d.text IS NULL THEN NULL ELSE CAST(length(coalesce(x.text, '')) AS BIGINT) END AS n_chars_left, sha256(coalesce(x.text, '')) AS text_sha256
+FROM documents d LEFT JOIN dropped USING (doc_id) LEFT JOIN left_ x USING (doc_id)
+"""

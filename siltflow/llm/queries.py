@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltflow.llm.chat import op3_chat_formatting
+from siltflow.llm.chat import OP3_SQL, op3_chat_formatting
 from siltflow.llm.decontam import op10_benchmark_decontamination
 from siltflow.llm.html_text import op1_html_extraction
 from siltflow.llm.langid import op9_language_id
-from siltflow.llm.line_templates import op4_line_dedup
+from siltflow.llm.line_templates import OP4_SQL, op4_line_dedup
 from siltflow.llm.packing import op5_best_fit_packing
 from siltflow.llm.pii import op2_pii
 from siltflow.llm.quality import op6_quality_rules
@@ -30,4 +30,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op3_chat_formatting": OP3_SQL, "op4_line_dedup": OP4_SQL}

@@ -52,6 +52,19 @@ def test_pages_with_noise(seed):
     assert html_text.main_text(page) == "\n".join(["T", *(f"Sentence {k}, with & some, words é in it." for k in range(len(article)))])
 
 
+@pytest.mark.parametrize(("body", "want"), [
+    ("<div class=content><div>One, two and three.</div><div>Short.</div><div>Four, five, six, seven.</div></div><div class=x><a href=y>a link, and another</a></div>", "One, two and three.\nShort.\nFour, five, six, seven."),
+    ("<div class=top>Site</div><div class=story>All of the text, in one block, without any paragraph, at all.</div><div class=low>Imprint</div>", "All of the text, in one block, without any paragraph, at all."),
+    ("<div><h2>Title</h2><p>First, one.</p><ul><li>a<li>b</ul><table><tr><td>c<td>d</table><blockquote>e</blockquote><pre>f\n g</pre></div>", "Title\nFirst, one.\na\nb\nc\nd\ne\nf g"),
+    ("<main><section><h1>A</h1><p>b, c</p></section><section><p>d, e</p></section></main>", "A\nb, c\nd, e"),
+    ("<main><article class=has-comments><p>a, b</p></article><section><p>other, things, and more of them, by far</p></section></main>", "a, b"),
+    ("<article><p>a, b</p></article><article class=comment><p>nice, nice, nice</p></article><article><p>c</p></article>", "a, b\nc"),
+    ("<p>1 &lt; 2 &#x41; &amp;amp; &nbsp; x</p>", "1 < 2 A &amp; x"),
+])
+def test_other_pages(body, want):
+    assert html_text.main_text(f"<html><body>{body}</body></html>") == want
+
+
 def test_pages_query(spark):
     rows = run(spark, "op1_html_extraction")
     assert len(rows) == 50 and all(r.n_chars == len(r.text) and "<" not in r.text.replace("<>", "") or r.text for r in rows)
@@ -99,11 +112,13 @@ def test_disclosing_terms(spark, monkeypatch):
 # op3
 
 
-def test_chat_query(spark):
-    duckdb.sql(f"create or replace view conversations as select * from '{SF}/conversations.parquet'")
-    want = {r[0]: r[1:] for r in duckdb.sql(chat.CHECK_SQL).fetchall()}
-    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in run(spark, "op3_chat_formatting")}
-    assert got == want and -7 in got
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_against_sql(spark, name):
+    for table in ("conversations", "documents"):
+        duckdb.sql(f"create or replace view {table} as select * from '{SF}/{table}.parquet'")
+    want = duckdb.sql(SQL[name])
+    got = QUERIES[name](spark, SF).select(*want.columns).collect()
+    assert sorted(map(tuple, got)) == sorted(want.fetchall())
 
 
 @pytest.mark.parametrize(("budget", "history", "tokens"), [(64, 2, 30), (200, 3, 60), (1000, 0, 0)])
@@ -437,7 +452,7 @@ def test_decontamination_query(spark, texts):
     assert exact and exact <= set(got)
     for (d, i), r in got.items():
         a = decontam._shingles(decontam.words_of(items[i]))
-        assert r.overlap >= 0.8 and len(a & decontam._shingles(decontam.words_of(texts[d]))) >= 0.7 * len(a)
+        assert r.overlap >= 0.8 and len(a & decontam._shingles(decontam.words_of(texts[d]))) >= 0.8 * len(a)
 
 
 @pytest.mark.parametrize("block", [1, 4, 64])
@@ -454,6 +469,17 @@ def test_all_over_the_threshold_are_retrieved(block):
     assert got == want and want
 
 
+def test_changed_copies():
+    rng = random.Random(1)
+    words = [f"{rng.choice('abcdefgh')}{k}x" for k in range(40)]
+    item = " ".join(words[:33]) + ". " + " ".join(words[33:]) + "."
+    others = [(k, " ".join(rng.choice(words) + str(rng.randint(0, 9)) for _ in range(30))) for k in range(1, 20)]
+    index = decontam.Index([(0, item), *others])
+    hit = lambda w: [x[1] for x in index.search([" ".join(["pad"] * 70 + w + ["pad"] * 70)])]
+    assert hit([w.upper() + ";" for w in words]) == [0] and hit([*words[:35], "other", *words[36:]]) == [0]  # a changed word in the answer
+    assert hit(words[:33]) == [] and hit(words[20:]) == [] and hit(words[::-1]) == []
+
+
 def test_item_slices(spark):
     docs = spark.createDataFrame([(1, "before alpha beta gamma delta epsilon zeta eta after")], "doc_id long, text string")
     items = spark.createDataFrame([(k, "alpha beta gamma delta epsilon zeta eta" if k == 5 else f"other words number {k} here and there") for k in range(9)], "item_id long, text string")
