@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import threading
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -155,7 +156,7 @@ class TxnTable:
         by = [f"_by_{c}" for c in partition_columns]
         for c, name in zip(partition_columns, by, strict=True):
             df = df.withColumn(name, F.col(f"`{c}`"))
-        folder = f"data/{time.time_ns():020d}-{threading.get_ident() % 10**6}"
+        folder = f"data/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
         writer = df.write.mode("errorifexists")
         (writer.partitionBy(*by) if by else writer).parquet(f"{self.path}/{folder}")
         from urllib.parse import unquote
