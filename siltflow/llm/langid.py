@@ -27,6 +27,7 @@ from siltflow.llm._common import arrow_map, ready, table
 PROFILE = 400
 DOC_GRAMS = 400
 DOCS_PER_LANG = 400
+MAX_LANGS = 10_000
 SLICE = 1_500_000
 MIN_SCORE = 0.05
 UND = "und"
@@ -115,10 +116,19 @@ class Grams:
 
 def learn(docs: DataFrame, lang: str = "lang", id_col: str = "doc_id", text: str = "text", docs_per_lang: int = DOCS_PER_LANG, profile: int = PROFILE) -> dict[str, list[int]]:
     """Each language's n-grams by rank, from at most docs_per_lang of the given rows for each."""
-    by_hash = W.partitionBy("lang").orderBy("h", "u")
-    rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(id_col)).alias("h")).filter("lang is not null and text is not null").withColumn("u", F.xxhash64("text"))
-    chosen = rows.select("lang", "h", "u").withColumn("k", F.row_number().over(by_hash)).filter(F.col("k") <= docs_per_lang).drop("k").distinct()
-    sample = rows.join(chosen.hint("broadcast"), ["lang", "h", "u"])  # at most docs_per_lang short rows a language
+    rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(id_col)).alias("h")).filter("lang is not null")
+    # the docs_per_lang smallest hashes of each language: only hashes under a bound that some
+    # times as many pass are ranked, so the rows that meet don't grow with the input
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    known = counts.limit(MAX_LANGS + 1).collect()
+    small = F.broadcast if len(known) <= MAX_LANGS else (lambda x: x)  # beyond it the joins shuffle
+    if len(known) <= MAX_LANGS:
+        counts = docs.sparkSession.createDataFrame(known, "lang string, n long")
+    share = F.col("h") / F.lit(2.0**64) + 0.5
+    low = rows.select("lang", "h").join(small(counts), "lang").filter(share * F.col("n") <= 4 * docs_per_lang + 64)
+    ranked = low.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("h"))).filter(F.col("k") <= docs_per_lang)
+    bounds = ranked.groupBy(F.col("lang").alias("l")).agg(F.max("h").alias("most"))
+    sample = rows.join(small(bounds), F.col("lang") == F.col("l")).filter("h <= most and text is not null")
 
     def make():
         grams = Grams()
