@@ -29,13 +29,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder that spark.checkpoint.dir names; a folder of our own only where it is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base, app = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.applicationId
     if not base:
-        app = spark.sparkContext.applicationId
         if app not in _OWN_DIRS:
             _OWN_DIRS[app] = tempfile.mkdtemp(prefix="siltflow-")
         base = f"file://{_OWN_DIRS[app]}"
-    return f"{base.rstrip('/')}/siltflow"
+    return f"{base.rstrip('/')}/siltflow-llm-{app}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Removes this application's scratch tables; call it once all results are written."""
+    discard(spark, scratch_dir(spark))
 
 
 def cut(df: DataFrame, name: str) -> tuple[DataFrame, str]:

@@ -130,3 +130,12 @@ def test_stages(spark, tables, case, tmp_path):
         if k < len(corpus_pipeline.STAGES) - 1:
             assert out.columns == df.columns
         out.count()
+
+
+def test_scratch_tables(spark):
+    from siltflow.llm import _common
+
+    df, path = _common.cut(spark.range(3), "t")
+    assert path.startswith(_common.scratch_dir(spark)) and path.startswith(spark.conf.get("spark.checkpoint.dir")) and df.count() == 3
+    _common.discard(spark, path)
+    assert not spark._jvm.java.io.File(path.removeprefix("file://")).exists()
