@@ -13,7 +13,11 @@ in lines that other documents have too are copies of each other, which is not wh
 judges: they don't count as documents where a template recurs, so the lines of copied documents
 stay for the near-duplicate operator. Lines of recurring templates are dropped wherever they are.
 
-A null text stays null; lines without enough tokens stay; a text all of whose lines go is empty.
+Shorter lines have their exact template alone. They repeat by chance as well, so they must stand in
+`short_times` times `min_docs` documents, and in as many as the median recurring exact template of
+longer lines does. They have no part in what makes a copy, unless a document has no other lines.
+
+A null text stays null; lines without tokens stay; a text all of whose lines go is empty.
 Rows that repeat an id and text are copies of each other, so they count nowhere. Line ends are
 `\n` alone. An empty table gives an empty result; other columns are kept by `drop_lines`.
 """
@@ -32,13 +36,14 @@ MIN_TOKENS = 4
 MIN_GENERAL = 10
 LONG_TOKENS = 20
 MIN_DOCS = 3
+SHORT_TIMES = 10
 COPY_SHARE = 0.5
 BROADCAST_TEMPLATES = 1_000_000
 HOT_KEYS = 10_000
 VARIABLE = "<*>"
 _FIELD = re.compile(r"\S*\d\S*")
 #: The kind of a template is kept in the two low bits of its key.
-EXACT_LONG, EXACT, GENERAL = 0, 1, 2
+EXACT_LONG, EXACT, GENERAL, SHORT = 0, 1, 2, 3
 
 
 def _key(kind: int, *parts: str) -> int:
@@ -65,19 +70,32 @@ def template_keys(line: str, min_tokens: int = MIN_TOKENS, min_general: int = MI
     return keys
 
 
+def short_key(line: str, min_tokens: int = MIN_TOKENS) -> list[int]:
+    """The key of the exact template of a line of under min_tokens tokens; none for others and empty lines."""
+    tokens = line.split()
+    return [_key(SHORT, " ".join(tokens))] if 0 < len(tokens) < min_tokens else []
+
+
 def line_keys(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_tokens: int = MIN_TOKENS, min_general: int = MIN_GENERAL, long_tokens: int = LONG_TOKENS) -> DataFrame:
-    """(doc, pos, n, keys, first): each line with keys; first: those that no earlier line of its document has."""
+    """(doc, pos, n, keys, first): each line with keys; first: those that no earlier line of its document has.
+
+    n is the line's tokens, or 0 for a short line of a document that has longer ones.
+    """
 
     def make():
         def step(ids, texts):
             out: dict[str, list] = {k: [] for k in ("doc", "pos", "n", "keys", "first")}
             for i, t in zip(ids, texts, strict=True):
                 seen: set[int] = set()
+                own = []
                 for pos, line in enumerate(t.split("\n") if t else ()):
-                    if keys := template_keys(line, min_tokens, min_general, long_tokens):
-                        for name, v in zip(out, (i, pos, len(line.split()), keys, [k for k in keys if k not in seen]), strict=True):
-                            out[name].append(v)
+                    if keys := template_keys(line, min_tokens, min_general, long_tokens) or short_key(line, min_tokens):
+                        own.append((i, pos, len(line.split()), keys, [k for k in keys if k not in seen]))
                         seen.update(keys)
+                longer = any(n >= min_tokens for _, _, n, _, _ in own)
+                for _, pos, n, keys, first in own:
+                    for name, v in zip(out, (i, pos, 0 if longer and n < min_tokens else n, keys, first), strict=True):
+                        out[name].append(v)
             return out
 
         return step
@@ -106,8 +124,11 @@ def recurring_lines(lines: DataFrame, min_docs: int = MIN_DOCS, copy_share: floa
     both = lines.select("doc", F.col("n").alias("all"), zero.alias("shared")).unionByName(shared.select("doc", zero.alias("all"), F.col("n").alias("shared")))
     own = both.groupBy("doc").agg(F.sum("all").alias("all"), F.sum("shared").alias("shared")).filter(F.col("shared") <= copy_share * F.col("all")).select("doc")
     counted = lines.select("doc", "first").join(own, "doc", "left_semi").select(F.explode("first").alias("key")).groupBy("key").agg(F.count("*").alias("rows"))
-    least = F.when(F.col("key").bitwiseAND(F.lit(3)) == EXACT_LONG, min(2, min_docs)).otherwise(min_docs)
+    kind = F.col("key").bitwiseAND(F.lit(3))
+    least = F.when(kind == EXACT_LONG, min(2, min_docs)).otherwise(min_docs)
     templates, _ = cut(counted.filter(F.col("rows") >= least), "templates")
+    usual = templates.filter(kind.isin(EXACT_LONG, EXACT) & (F.col("rows") >= min_docs)).agg(F.percentile_approx("rows", 0.5)).first()[0]
+    templates = templates.filter((kind != SHORT) | (F.col("rows") >= max(SHORT_TIMES * min_docs, usual or 0)))
     exploded = lines.select("doc", "pos", F.explode("keys").alias("key"))
     if templates.count() <= BROADCAST_TEMPLATES:
         hit = exploded.join(F.broadcast(templates.select("key")), "key", "left_semi")
