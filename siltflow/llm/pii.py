@@ -88,10 +88,44 @@ def _entity(kind: str, value: str) -> str:
     return f"{kind}:{value.lower()}" if kind in ("email", "ip") else kind + ":" + "".join(_DIGIT.findall(value))
 
 
+def _word_spans(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, lower case) of each word of text."""
+    lower = text.lower()
+    if len(lower) != len(text):  # rare letters whose lower case is longer: by word
+        return [(m.start(), m.end(), m[0].lower()) for m in _WORD.finditer(text)]
+    return [(m.start(), m.end(), m[0]) for m in _WORD.finditer(lower)]
+
+
+def _words(text: str) -> set[str]:
+    """The distinct words of text, split as in _word_spans."""
+    lower = text.lower()
+    return {w.lower() for w in _WORD.findall(text)} if len(lower) != len(text) else set(_WORD.findall(lower))
+
+
+def _emit_words(keyed: DataFrame, few: list[str] | None = None) -> DataFrame:
+    """(word, line) for the words of keyed's text and key: those in few, or all of them."""
+    shared = None if few is None else keyed.sparkSession.sparkContext.broadcast(frozenset(few))
+
+    def make():
+        known = shared.value if shared else None
+
+        def step(texts, keys):
+            out: dict[str, list] = {"word": [], "line": []}
+            for t, k in zip(texts, keys, strict=True):
+                own = _words(t) if t else set()
+                for w in own if known is None else known & own:
+                    out["word"].append(w)
+                    out["line"].append(k)
+            return out
+
+        return step
+
+    return arrow_map(keyed, make, "word string, line long")
+
+
 def _near_words(line: str, spans: list[tuple[int, int, str]], near: int):
     """(entity, word) for the words that stand within `near` words of an entity of the line."""
-    words = [(m.start(), m.end(), m[0].lower()) for m in _WORD.finditer(line)]
-    words = [w for w in words if not any(w[0] < e and s < w[1] for s, e, _ in spans)]
+    words = [w for w in _word_spans(line) if not any(w[0] < e and s < w[1] for s, e, _ in spans)]
     found = set()
     for s, e, kind in spans:
         before = [w[2] for w in words if w[1] <= s][-near:]
@@ -138,26 +172,10 @@ def _line_counts(docs: DataFrame, text: str, words: DataFrame, few: list[str] |
     few: the words, if they are few enough to broadcast. Else words and their lines are joined.
     """
     keyed = _keyed_lines(docs, text)
-    if few is not None:
-        shared = docs.sparkSession.sparkContext.broadcast(frozenset(few))
-
-        def make():
-            known = shared.value
-
-            def step(texts, keys):
-                out: dict[str, list] = {"word": [], "line": []}
-                for t, k in zip(texts, keys, strict=True):
-                    for w in known.intersection(_WORD.findall(t.lower())):
-                        out["word"].append(w)
-                        out["line"].append(k)
-                return out
-
-            return step
-
-        hits = arrow_map(keyed, make, "word string, line long").distinct()
-    else:
-        split = F.expr(r"explode(array_distinct(regexp_extract_all(lower(line), '[\\p{L}\\p{M}]{3,}', 0)))")
-        hits = keyed.select(F.col("key").alias("line"), split.alias("word")).join(words, "word", "left_semi").distinct()
+    hits = _emit_words(keyed, few)
+    if few is None:
+        hits = hits.join(words, "word", "left_semi")
+    hits = hits.distinct()
     return hits.groupBy("word").agg(F.count("*").alias("lines"))
 
 
@@ -197,13 +215,8 @@ def all_spans(text: str | None, terms: dict[str, float], remove_at: float = REMO
     if not terms or not text:
         return base, base
     more = []
-    lower = text.lower()
-    if len(lower) != len(text):  # rare letters whose lower case is longer: by word
-        words = [(m.start(), m.end(), m[0].lower()) for m in _WORD.finditer(text)]
-    else:
-        words = [(m.start(), m.end(), m[0]) for m in _WORD.finditer(lower)]
     k = 0
-    for s, e, w in words:
+    for s, e, w in _word_spans(text):
         d = terms.get(w)
         if d is None:
             continue
@@ -239,8 +252,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text: str = "text", near: int
     else:  # each document gets the terms that it holds
         shared = None
         keyed = rows.withColumn("key", F.xxhash64("id", "text"))
-        split = F.expr(r"explode(array_distinct(regexp_extract_all(lower(text), '[\\p{L}\\p{M}]{3,}', 0)))")
-        held = keyed.select("key", split.alias("word")).distinct().join(terms, "word").groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("word", "disclosure"))).alias("own"))
+        held = _emit_words(keyed.select("text", "key")).select(F.col("line").alias("key"), "word").distinct().join(terms, "word").groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("word", "disclosure"))).alias("own"))
         rows = keyed.join(held, "key", "left").select("id", "text", "own")
 
     def make():

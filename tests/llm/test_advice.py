@@ -2,7 +2,7 @@
 
 import random
 
-from siltflow.llm import line_templates
+from siltflow.llm import line_templates, pii
 
 
 def _prose(rng, n):
@@ -19,3 +19,17 @@ def test_short_lines_recur(spark):
     out = {r.doc_id: r.text for r in line_templates.drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert not any("All rights reserved." in out[k] for k in range(40)) and all("See also" in out[k] for k in range(9))
     assert all(out[100 + k] == "Only this\nhere" for k in range(50))
+
+
+# op2
+
+
+def test_words_split_alike_on_both_ways(spark, monkeypatch):
+    rows = [f"Cafe\u0301teria \u0915\u0932\u092e\u0916\u0917\u0918 wrote to bob@x.org from zeppe\u0301lin number {k}" for k in range(6)] + [f"plain line number {k} with other words" for k in range(60)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    terms = sorted(map(tuple, pii.disclosing_terms(df).collect()))
+    found = sorted((r.doc_id, r.spans, r.sanitised_text) for r in pii.find(df).collect())
+    assert {"cafe", "teria", "lin"} <= {w for w, _ in terms}
+    monkeypatch.setattr(pii, "BROADCAST_TERMS", 0)
+    assert terms == sorted(map(tuple, pii.disclosing_terms(df).collect()))
+    assert found == sorted((r.doc_id, r.spans, r.sanitised_text) for r in pii.find(df).collect())
