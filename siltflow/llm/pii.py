@@ -1,13 +1,16 @@
 """Personal data: fixed patterns, and an information-theoretic pass for what gives it away.
 
 Base spans come from four patterns (see `base_spans`). The values found (say, one address) are
-the protected entities. Words near them are then weighed by corpus co-occurrence: with
-probabilities over distinct lines of the whole corpus, a word's disclosure of an entity is its
+the protected entities. Words near them in a line, and all words of their documents, are then
+weighed by corpus co-occurrence: with probabilities over distinct lines (or documents) of the
+whole corpus, a word's disclosure of an entity is its
 pointwise mutual information with the entity, divided by the entity's information content
 -log2 p(entity), which is what the word would tell if it never came without the entity. Words at
 or over `remove_at` are removed, words at or over `generalise_at` generalised, wherever they
-stand. Lines that are copies of each other count once, and a word must stand near the entity in
-at least `min_lines` distinct lines, so chance neighbours and copied documents disclose nothing.
+stand. Lines and documents that are copies of each other count once. A word must also stand with the
+entity more often than by chance: by Chernoff's bound on a Poisson count with the mean that the
+frequencies of both give, at level `alpha` over the number of words that stand with the entity. So
+one common line is enough for a rare word of a rare entity where the corpus is large.
 
 Null text counts as empty: no spans, no text. Repeated rows give repeated rows; an empty table
 gives an empty result; other columns are ignored.
@@ -27,7 +30,7 @@ from siltflow.llm._common import arrow_map, cut, table
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("term_removed", "term_generalised")
 NEAR = 8
-MIN_LINES = 3
+ALPHA = 0.05
 REMOVE_AT = 0.95
 GENERALISE_AT = 0.8
 BROADCAST_TERMS = 100_000
@@ -123,9 +126,29 @@ def _emit_words(keyed: DataFrame, few: list[str] | None = None) -> DataFrame:
     return arrow_map(keyed, make, "word string, line long")
 
 
-def _near_words(line: str, spans: list[tuple[int, int, str]], near: int):
-    """(entity, word) for the words that stand within `near` words of an entity of the line."""
-    words = [w for w in _word_spans(line) if not any(w[0] < e and s < w[1] for s, e, _ in spans)]
+def _merged(spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """The stretches that spans (ordered by start) cover, ordered and apart."""
+    out: list[tuple[int, int]] = []
+    for s, e, _ in spans:
+        if out and s < out[-1][1]:
+            out[-1] = out[-1][0], max(e, out[-1][1])
+        else:
+            out.append((s, e))
+    return out
+
+
+def _near_words(line: str, spans: list[tuple[int, int, str]], near: int | None):
+    """(entity, word) for the words within `near` words of an entity of the line, or (None) all its words."""
+    words, k = [], 0
+    edges = _merged(spans)
+    for w in _word_spans(line):
+        while k < len(edges) and edges[k][1] <= w[0]:
+            k += 1
+        if k == len(edges) or edges[k][0] >= w[1]:
+            words.append(w)
+    if near is None:
+        own = {w[2] for w in words}
+        return {(x, w) for x in {_entity(kind, line[s:e]) for s, e, kind in spans} for w in own}
     found = set()
     for s, e, kind in spans:
         before = [w[2] for w in words if w[1] <= s][-near:]
@@ -134,8 +157,11 @@ def _near_words(line: str, spans: list[tuple[int, int, str]], near: int):
     return found
 
 
-def _co_occurrence(docs: DataFrame, text: str, near: int) -> DataFrame:
-    """(entity, word, line): distinct; word is null once for each entity and line."""
+def _co_occurrence(docs: DataFrame, text: str, near: int | None) -> DataFrame:
+    """(entity, word, line): distinct; word is null once for each entity and line.
+
+    near: None for whole documents instead of lines, with all their words.
+    """
 
     def make():
         def step(texts):
@@ -144,10 +170,10 @@ def _co_occurrence(docs: DataFrame, text: str, near: int) -> DataFrame:
                 spans = base_spans(t) if t and ("@" in t or _DIGIT.search(t)) else []
                 lines: dict[int, list] = {}
                 for s, e, kind in spans:
-                    start = t.rfind("\n", 0, s) + 1
+                    start = 0 if near is None else t.rfind("\n", 0, s) + 1
                     lines.setdefault(start, []).append((s - start, e - start, kind))
                 for start, own in lines.items():
-                    end = t.find("\n", start)
+                    end = -1 if near is None else t.find("\n", start)
                     line = t[start : end if end >= 0 else len(t)]
                     key = xxhash.xxh64_intdigest(line.encode()) - (1 << 63)
                     for entity, word in sorted(_near_words(line, own, near)) + [(x, None) for x in sorted({_entity(k, line[s:e]) for s, e, k in own})]:
@@ -161,17 +187,19 @@ def _co_occurrence(docs: DataFrame, text: str, near: int) -> DataFrame:
     return arrow_map(docs.select(text), make, "entity string, word string, line long").distinct()
 
 
-def _keyed_lines(docs: DataFrame, text: str) -> DataFrame:
+def _keyed_lines(docs: DataFrame, text: str, whole: bool = False) -> DataFrame:
+    if whole:
+        return docs.select(F.col(text).alias("line"), F.xxhash64(text).alias("key")).filter("line <> ''")
     lines = docs.select(F.explode(F.split(F.col(text), "\n", -1)).alias("line")).filter("line <> ''")
     return lines.select("line", F.xxhash64("line").alias("key"))
 
 
-def _line_counts(docs: DataFrame, text: str, words: DataFrame, few: list[str] | None) -> DataFrame:
-    """(word, lines): in how many distinct lines of the corpus each word stands.
+def _line_counts(docs: DataFrame, text: str, words: DataFrame, few: list[str] | None, whole: bool = False) -> DataFrame:
+    """(word, lines): in how many distinct lines (whole: documents) of the corpus each word stands.
 
     few: the words, if they are few enough to broadcast. Else words and their lines are joined.
     """
-    keyed = _keyed_lines(docs, text)
+    keyed = _keyed_lines(docs, text, whole)
     hits = _emit_words(keyed, few)
     if few is None:
         hits = hits.join(words, "word", "left_semi")
@@ -186,8 +214,21 @@ def _disclosure(total: float, both: str, lines: str, entity_lines: str) -> Colum
     return F.when(content > 0, F.log2(F.col(both) * n / (F.col(lines) * F.col(entity_lines))) / content).otherwise(0.0)
 
 
-def disclosing_terms(docs: DataFrame, text: str = "text", near: int = NEAR, min_lines: int = MIN_LINES, generalise_at: float = GENERALISE_AT) -> DataFrame:
-    """(word, disclosure): the words that tell of some entity at least generalise_at of its information content.
+def _significant(total: float, both: str, lines: str, entity_lines: str, tested: str, alpha: float) -> Column:
+    """Whether the word stands with the entity more often than chance, by a bound that rises with lines."""
+    mean = F.col(lines) * F.col(entity_lines) / F.lit(max(total, 1.0))
+    k = F.col(both)
+    return (mean < k) & (k * (1 + F.log(mean / k)) - mean <= F.log(F.lit(alpha) / F.col(tested)))
+
+
+def disclosing_terms(docs: DataFrame, text: str = "text", near: int = NEAR, alpha: float = ALPHA, generalise_at: float = GENERALISE_AT) -> DataFrame:
+    """(word, disclosure): the words that tell of some entity at least generalise_at of its information content."""
+    by_line, by_doc = (_terms(docs, text, x, alpha, generalise_at) for x in (near, None))
+    return by_line.unionByName(by_doc).groupBy("word").agg(F.max("disclosure").alias("disclosure"))
+
+
+def _terms(docs: DataFrame, text: str, near: int | None, alpha: float, generalise_at: float) -> DataFrame:
+    """(word, disclosure), counted over lines or (near: None) whole documents.
 
     A word's lines near any entity are a lower bound of its lines in the corpus, and so bound its
     disclosure from above: only pairs that can still reach generalise_at are counted in the corpus.
@@ -196,17 +237,19 @@ def disclosing_terms(docs: DataFrame, text: str = "text", near: int = NEAR, min_
     near_some = pairs.filter("word is not null")
     of_entity = pairs.filter("word is null").groupBy("entity").agg(F.count("*").alias("entity_lines"))
     at_least = near_some.groupBy("word").agg(F.countDistinct("line").alias("near_lines"))
-    joint = near_some.groupBy("entity", "word").agg(F.count("*").alias("both")).filter(F.col("both") >= min_lines)
-    total = float(_keyed_lines(docs, text).agg(F.approx_count_distinct("key", 0.02)).first()[0])
-    joint = joint.join(of_entity, "entity").join(at_least, "word")
-    joint, _ = cut(joint.filter(_disclosure(total, "both", "near_lines", "entity_lines") >= generalise_at), "joint")
+    joint = near_some.groupBy("entity", "word").agg(F.count("*").alias("both"))
+    tested = joint.groupBy("entity").agg(F.count("*").alias("tested"))
+    total = float(_keyed_lines(docs, text, near is None).agg(F.approx_count_distinct("key", 0.02)).first()[0])
+    joint = joint.join(of_entity.join(tested, "entity"), "entity").join(at_least, "word")
+    likely = lambda lines: _significant(total, "both", lines, "entity_lines", "tested", alpha) & (_disclosure(total, "both", lines, "entity_lines") >= generalise_at)
+    joint, _ = cut(joint.filter(likely("near_lines")), "joint")
     words = joint.select("word").distinct()
     few = [r.word for r in words.limit(BROADCAST_TERMS + 1).collect()]
     if not few:
         return joint.select("word", F.lit(0.0).alias("disclosure")).limit(0)
-    of_word, _ = cut(_line_counts(docs, text, words, few if len(few) <= BROADCAST_TERMS else None), "lines")
-    told = joint.join(of_word, "word").withColumn("disclosure", _disclosure(total, "both", "lines", "entity_lines"))
-    return told.groupBy("word").agg(F.max("disclosure").alias("disclosure")).filter(F.col("disclosure") >= generalise_at)
+    of_word, _ = cut(_line_counts(docs, text, words, few if len(few) <= BROADCAST_TERMS else None, near is None), "lines")
+    told = joint.join(of_word, "word").filter(likely("lines")).withColumn("disclosure", _disclosure(total, "both", "lines", "entity_lines"))
+    return told.groupBy("word").agg(F.max("disclosure").alias("disclosure"))
 
 
 def all_spans(text: str | None, terms: dict[str, float], remove_at: float = REMOVE_AT) -> tuple[list, list]:
@@ -240,9 +283,9 @@ def sanitised(text: str | None, spans: list[tuple[int, int, str]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text: str = "text", near: int = NEAR, min_lines: int = MIN_LINES, generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT, with_text: bool = True) -> DataFrame:
+def find(docs: DataFrame, id_col: str = "doc_id", text: str = "text", near: int = NEAR, alpha: float = ALPHA, generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT, with_text: bool = True) -> DataFrame:
     """id, counts of the kinds, base_sha256, spans and (with_text) the sanitised text of each document."""
-    terms = disclosing_terms(docs, text, near, min_lines, generalise_at)
+    terms = cut(disclosing_terms(docs, text, near, alpha, generalise_at), "terms")[0]
     some = terms.limit(BROADCAST_TERMS + 1).collect()
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))

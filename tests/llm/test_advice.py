@@ -33,3 +33,16 @@ def test_words_split_alike_on_both_ways(spark, monkeypatch):
     monkeypatch.setattr(pii, "BROADCAST_TERMS", 0)
     assert terms == sorted(map(tuple, pii.disclosing_terms(df).collect()))
     assert found == sorted((r.doc_id, r.spans, r.sanitised_text) for r in pii.find(df).collect())
+
+
+def test_rare_names_of_rare_entities(spark):
+    rng = random.Random(4)
+    common = [_prose(rng, 1) for _ in range(40)]
+    prose = lambda n: " ".join(rng.choice(common) for _ in range(n))
+    rows = [f"{prose(12)}\n{prose(12)}" for _ in range(6000)]
+    rows[7] = f"{prose(5)} Zaphodius writes from ann@x.org {prose(5)}"  # one line
+    for k in (20, 21):  # another line of the same documents
+        rows[k] = f"{prose(9)} {prose(9)}\nMeet Trillianne here {k}\n{prose(9)}\n{prose(10)} bob@y.org {prose(10)}"
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.word for r in pii.disclosing_terms(df).collect()}
+    assert {"zaphodius", "trillianne"} <= got and not set(common) & got
