@@ -1,16 +1,22 @@
 """Personal data: fixed patterns, and an information-theoretic pass for what gives it away.
 
 Base spans come from four patterns (see `base_spans`). The values found (say, one address) are
-the protected entities. Words near them in a line, and all words of their documents, are then
-weighed by corpus co-occurrence: with probabilities over distinct lines (or documents) of the
-whole corpus, a word's disclosure of an entity is its
-pointwise mutual information with the entity, divided by the entity's information content
--log2 p(entity), which is what the word would tell if it never came without the entity. Words at
-or over `remove_at` are removed, words at or over `generalise_at` generalised, wherever they
-stand. Lines and documents that are copies of each other count once. A word must also stand with the
-entity more often than by chance: by Chernoff's bound on a Poisson count with the mean that the
-frequencies of both give, at level `alpha` over the number of words that stand with the entity. So
-one common line is enough for a rare word of a rare entity where the corpus is large.
+the protected entities. Corpus co-occurrence says how strongly a word reveals one: over the
+distinct documents of the whole corpus, a word's disclosure of an entity is its pointwise mutual
+information with it, divided by the entity's information content -log2 p(entity), which is what
+the word would tell if it never came without the entity. Words at or over `remove_at` are
+removed, words at or over `generalise_at` generalised, wherever they stand.
+
+Words and entities meet in a document. One document alone doesn't say which of its words go with
+an entity, so for an entity of one document only words near it in its line count (`near` on each
+side); for the others all words of their documents do. A word must also meet the entity more
+often than by chance: by Chernoff's bound on a Poisson count with the mean that the frequencies
+of both give, at level `alpha` over the number of words that meet the entity. So one document is
+enough for a rare word beside a rare entity, if the corpus is large. Copies count once.
+
+Words travel as 64-bit keys. Which words and entities matter goes to the workers as a filter of
+bounded size, and exact joins follow, so nothing but the terms themselves (up to
+`BROADCAST_TERMS`, beyond which they are joined) is collected.
 
 Null text counts as empty: no spans, no text. Repeated rows give repeated rows; an empty table
 gives an empty result; other columns are ignored.
@@ -20,20 +26,22 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 
+import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltflow.llm._common import arrow_map, cut, table
+from siltflow.llm._common import arrow_map, cut, discard, table
 
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("term_removed", "term_generalised")
 NEAR = 8
 ALPHA = 0.05
 REMOVE_AT = 0.95
-GENERALISE_AT = 0.8
-BROADCAST_TERMS = 100_000
+GENERALISE_AT = 0.9
+BROADCAST_TERMS = 1_000_000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -105,25 +113,40 @@ def _words(text: str) -> set[str]:
     return {w.lower() for w in _WORD.findall(text)} if len(lower) != len(text) else set(_WORD.findall(lower))
 
 
-def _emit_words(keyed: DataFrame, few: list[str] | None = None) -> DataFrame:
-    """(word, line) for the words of keyed's text and key: those in few, or all of them."""
-    shared = None if few is None else keyed.sparkSession.sparkContext.broadcast(frozenset(few))
+class _Keys(dict):
+    """64-bit keys of words, with a bounded memory."""
 
-    def make():
-        known = shared.value if shared else None
-
-        def step(texts, keys):
-            out: dict[str, list] = {"word": [], "line": []}
-            for t, k in zip(texts, keys, strict=True):
-                own = _words(t) if t else set()
-                for w in own if known is None else known & own:
-                    out["word"].append(w)
-                    out["line"].append(k)
-            return out
+    def __init__(self, limit: int = 400_000):
+        super().__init__()
+        self.limit = limit
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= self.limit:
+            self.clear()
+        value = self[word] = _key(word)
+        return value
+
+
+def _key(value: str) -> int:
+    """The hash that Spark's xxhash64 gives a string."""
+    k = xxhash.xxh64_intdigest(value.encode("utf-8", "surrogatepass"), 42)
+    return k - (1 << 64) if k >> 63 else k
 
-        return step
 
-    return arrow_map(keyed, make, "word string, line long")
+def _bitmap(keys: DataFrame, column: str) -> np.ndarray:
+    """A filter of at most 32 MB that holds every key: beyond its capacity it lets more others pass, never fewer."""
+    n = keys.count()
+    slots = 1 << min(28, max(16, (8 * n).bit_length()))
+    slot = F.col(column).bitwiseAND(F.lit(slots - 1))
+    words = keys.select(slot.alias("slot")).groupBy((F.shiftright("slot", 6)).alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits")).toArrow()
+    out = np.zeros(slots // 64, np.int64)
+    out[words["at"].to_numpy()] = words["bits"].to_numpy()
+    return out.view(np.uint64)
+
+
+def _passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    slot = keys.view(np.uint64) & np.uint64(64 * len(bits) - 1)
+    return (bits[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
 def _merged(spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
@@ -137,119 +160,136 @@ def _merged(spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
     return out
 
 
-def _near_words(line: str, spans: list[tuple[int, int, str]], near: int | None):
-    """(entity, word) for the words within `near` words of an entity of the line, or (None) all its words."""
+def _free_words(text: str, spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """The words of text outside the spans."""
     words, k = [], 0
     edges = _merged(spans)
-    for w in _word_spans(line):
+    for w in _word_spans(text):
         while k < len(edges) and edges[k][1] <= w[0]:
             k += 1
         if k == len(edges) or edges[k][0] >= w[1]:
             words.append(w)
-    if near is None:
-        own = {w[2] for w in words}
-        return {(x, w) for x in {_entity(kind, line[s:e]) for s, e, kind in spans} for w in own}
-    found = set()
+    return words
+
+
+def near_words(text: str, spans: list[tuple[int, int, str]], near: int = NEAR) -> set[tuple[str, str]]:
+    """(entity, word) for the words of the same line with fewer than near others between them and the entity."""
+    found: set[tuple[str, str]] = set()
+    lines: dict[int, list] = {}
     for s, e, kind in spans:
-        before = [w[2] for w in words if w[1] <= s][-near:]
-        after = [w[2] for w in words if w[0] >= e][:near]
-        found |= {(_entity(kind, line[s:e]), w) for w in before + after}
+        start = text.rfind("\n", 0, s) + 1
+        lines.setdefault(start, []).append((s - start, e - start, kind))
+    for start, own in lines.items():
+        end = text.find("\n", start)
+        line = text[start : end if end >= 0 else len(text)]
+        words = _free_words(line, own)
+        starts, ends = [w[0] for w in words], [w[1] for w in words]
+        for s, e, kind in own:
+            entity = _entity(kind, line[s:e])
+            before, after = bisect_right(ends, s), bisect_left(starts, e)
+            found |= {(entity, w[2]) for w in words[max(0, before - near) : before] + words[after : after + near]}
     return found
 
 
-def _co_occurrence(docs: DataFrame, text: str, near: int | None) -> DataFrame:
-    """(entity, word, line): distinct; word is null once for each entity and line.
+def _entity_rows(docs: DataFrame, text: str, near: int | None, wanted: np.ndarray | None = None) -> DataFrame:
+    """(entity, word, word_key, doc), with repeats; a null word stands for the entity itself.
 
-    near: None for whole documents instead of lines, with all their words.
+    With near: the words around the entities. Without: all words of the documents that hold
+    entities of the filter wanted.
     """
+    shared = None if wanted is None else docs.sparkSession.sparkContext.broadcast(wanted)
 
     def make():
+        keys = _Keys()
+
         def step(texts):
-            out: dict[str, list] = {"entity": [], "word": [], "line": []}
+            out: dict[str, list] = {"entity": [], "word": [], "word_key": [], "doc": []}
             for t in texts:
                 spans = base_spans(t) if t and ("@" in t or _DIGIT.search(t)) else []
-                lines: dict[int, list] = {}
-                for s, e, kind in spans:
-                    start = 0 if near is None else t.rfind("\n", 0, s) + 1
-                    lines.setdefault(start, []).append((s - start, e - start, kind))
-                for start, own in lines.items():
-                    end = -1 if near is None else t.find("\n", start)
-                    line = t[start : end if end >= 0 else len(t)]
-                    key = xxhash.xxh64_intdigest(line.encode()) - (1 << 63)
-                    for entity, word in sorted(_near_words(line, own, near)) + [(x, None) for x in sorted({_entity(k, line[s:e]) for s, e, k in own})]:
-                        out["entity"].append(entity)
-                        out["word"].append(word)
-                        out["line"].append(key)
+                if not spans:
+                    continue
+                doc = _key(t)
+                if near is not None:
+                    found = [(_key(x), w) for x, w in near_words(t, spans, near)]
+                    found += [(_key(x), None) for x in {_entity(k, t[s:e]) for s, e, k in spans}]
+                else:
+                    own = np.array([_key(x) for x in {_entity(k, t[s:e]) for s, e, k in spans}], np.int64)
+                    own = own[_passes(shared.value, own)].tolist()
+                    words = {w[2] for w in _free_words(t, spans)} if own else ()
+                    found = [(x, w) for x in own for w in words]
+                out["entity"] += [x for x, _ in found]
+                out["word"] += [w for _, w in found]
+                out["word_key"] += [None if w is None else keys[w] for _, w in found]
+                out["doc"] += [doc] * len(found)
             return out
 
         return step
 
-    return arrow_map(docs.select(text), make, "entity string, word string, line long").distinct()
+    return arrow_map(docs.select(text), make, "entity long, word string, word_key long, doc long")
 
 
-def _keyed_lines(docs: DataFrame, text: str, whole: bool = False) -> DataFrame:
-    if whole:
-        return docs.select(F.col(text).alias("line"), F.xxhash64(text).alias("key")).filter("line <> ''")
-    lines = docs.select(F.explode(F.split(F.col(text), "\n", -1)).alias("line")).filter("line <> ''")
-    return lines.select("line", F.xxhash64("line").alias("key"))
+def _held_words(docs: DataFrame, text: str, bits: np.ndarray) -> DataFrame:
+    """(word_key, doc), distinct: the words of each document that pass the filter."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
 
+    def make():
+        keys = _Keys()
 
-def _line_counts(docs: DataFrame, text: str, words: DataFrame, few: list[str] | None, whole: bool = False) -> DataFrame:
-    """(word, lines): in how many distinct lines (whole: documents) of the corpus each word stands.
+        def step(texts):
+            out: dict[str, list] = {"word_key": [], "doc": []}
+            for t in texts:
+                if t and (own := _words(t)):
+                    k = np.fromiter(map(keys.__getitem__, own), np.int64, len(own))
+                    k = k[_passes(shared.value, k)]
+                    out["word_key"].append(k)
+                    out["doc"].append(np.full(len(k), _key(t)))
+            return {k: np.concatenate(v) for k, v in out.items()} if out["doc"] else None
 
-    few: the words, if they are few enough to broadcast. Else words and their lines are joined.
-    """
-    keyed = _keyed_lines(docs, text, whole)
-    hits = _emit_words(keyed, few)
-    if few is None:
-        hits = hits.join(words, "word", "left_semi")
-    hits = hits.distinct()
-    return hits.groupBy("word").agg(F.count("*").alias("lines"))
+        return step
+
+    return arrow_map(docs.select(text), make, "word_key long, doc long").distinct()
 
 
-def _disclosure(total: float, both: str, lines: str, entity_lines: str) -> Column:
+def _disclosure(total: float, both: str, docs: str, entity_docs: str) -> Column:
     """PMI of a word and an entity over the entity's information content; 0 if the entity has none."""
-    n = F.greatest(F.lit(total), F.col(lines), F.col(entity_lines))
-    content = F.log2(n / F.col(entity_lines))
-    return F.when(content > 0, F.log2(F.col(both) * n / (F.col(lines) * F.col(entity_lines))) / content).otherwise(0.0)
+    n = F.greatest(F.lit(total), F.col(docs), F.col(entity_docs))
+    content = F.log2(n / F.col(entity_docs))
+    return F.when(content > 0, F.log2(F.col(both) * n / (F.col(docs) * F.col(entity_docs))) / content).otherwise(0.0)
 
 
-def _significant(total: float, both: str, lines: str, entity_lines: str, tested: str, alpha: float) -> Column:
-    """Whether the word stands with the entity more often than chance, by a bound that rises with lines."""
-    mean = F.col(lines) * F.col(entity_lines) / F.lit(max(total, 1.0))
+def _significant(total: float, both: str, docs: str, entity_docs: str, tested: str, alpha: float) -> Column:
+    """Whether the word stands with the entity more often than chance, by a bound that rises with docs."""
+    mean = F.col(docs) * F.col(entity_docs) / F.lit(max(total, 1.0))
     k = F.col(both)
     return (mean < k) & (k * (1 + F.log(mean / k)) - mean <= F.log(F.lit(alpha) / F.col(tested)))
 
 
 def disclosing_terms(docs: DataFrame, text: str = "text", near: int = NEAR, alpha: float = ALPHA, generalise_at: float = GENERALISE_AT) -> DataFrame:
-    """(word, disclosure): the words that tell of some entity at least generalise_at of its information content."""
-    by_line, by_doc = (_terms(docs, text, x, alpha, generalise_at) for x in (near, None))
-    return by_line.unionByName(by_doc).groupBy("word").agg(F.max("disclosure").alias("disclosure"))
-
+    """(word, disclosure): the words that tell of some entity at least generalise_at of its information content.
 
-def _terms(docs: DataFrame, text: str, near: int | None, alpha: float, generalise_at: float) -> DataFrame:
-    """(word, disclosure), counted over lines or (near: None) whole documents.
-
-    A word's lines near any entity are a lower bound of its lines in the corpus, and so bound its
-    disclosure from above: only pairs that can still reach generalise_at are counted in the corpus.
+    The documents in which a word meets any entity bound its documents in the corpus from below,
+    and so its disclosure from above: only pairs that can still reach generalise_at are counted
+    in the corpus.
     """
-    pairs, _ = cut(_co_occurrence(docs, text, near), "pairs")
-    near_some = pairs.filter("word is not null")
-    of_entity = pairs.filter("word is null").groupBy("entity").agg(F.count("*").alias("entity_lines"))
-    at_least = near_some.groupBy("word").agg(F.countDistinct("line").alias("near_lines"))
-    joint = near_some.groupBy("entity", "word").agg(F.count("*").alias("both"))
-    tested = joint.groupBy("entity").agg(F.count("*").alias("tested"))
-    total = float(_keyed_lines(docs, text, near is None).agg(F.approx_count_distinct("key", 0.02)).first()[0])
-    joint = joint.join(of_entity.join(tested, "entity"), "entity").join(at_least, "word")
-    likely = lambda lines: _significant(total, "both", lines, "entity_lines", "tested", alpha) & (_disclosure(total, "both", lines, "entity_lines") >= generalise_at)
-    joint, _ = cut(joint.filter(likely("near_lines")), "joint")
-    words = joint.select("word").distinct()
-    few = [r.word for r in words.limit(BROADCAST_TERMS + 1).collect()]
-    if not few:
-        return joint.select("word", F.lit(0.0).alias("disclosure")).limit(0)
-    of_word, _ = cut(_line_counts(docs, text, words, few if len(few) <= BROADCAST_TERMS else None, near is None), "lines")
-    told = joint.join(of_word, "word").filter(likely("lines")).withColumn("disclosure", _disclosure(total, "both", "lines", "entity_lines"))
-    return told.groupBy("word").agg(F.max("disclosure").alias("disclosure"))
+    pairs, pairs_at = cut(_entity_rows(docs, text, near).distinct(), "pairs")
+    of_entity = pairs.filter("word_key is null").groupBy("entity").agg(F.count("*").alias("entity_docs"))
+    again = of_entity.filter("entity_docs > 1").select("entity")
+    whole = _entity_rows(docs, text, None, _bitmap(again, "entity")).join(again, "entity", "left_semi")
+    both, both_at = cut(
+        pairs.filter("word_key is not null").unionByName(whole).distinct().groupBy("entity", "word", "word_key").agg(F.count("*").alias("both")), "both"
+    )
+    at_least = both.groupBy("word_key").agg(F.max("both").alias("least_docs"))
+    tested = both.groupBy("entity").agg(F.count("*").alias("tested"))
+    total = float(docs.filter(F.col(text) != "").select(F.approx_count_distinct(F.xxhash64(text), 0.02)).first()[0])
+    likely = lambda n: _significant(total, "both", n, "entity_docs", "tested", alpha) & (_disclosure(total, "both", n, "entity_docs") >= generalise_at)
+    joint, joint_at = cut(both.join(of_entity.join(tested, "entity"), "entity").join(at_least, "word_key").filter(likely("least_docs")), "joint")
+    words = joint.select("word_key").distinct()
+    counts = _held_words(docs, text, _bitmap(words, "word_key")).join(words, "word_key", "left_semi").groupBy("word_key").agg(F.count("*").alias("docs"))
+    told = joint.join(counts, "word_key").filter(likely("docs")).withColumn("disclosure", _disclosure(total, "both", "docs", "entity_docs"))
+    out, _ = cut(told.groupBy("word").agg(F.max("disclosure").alias("disclosure")), "terms")
+    for path in (pairs_at, both_at, joint_at):
+        discard(docs.sparkSession, path)
+    return out
 
 
 def all_spans(text: str | None, terms: dict[str, float], remove_at: float = REMOVE_AT) -> tuple[list, list]:
@@ -285,27 +325,31 @@ def sanitised(text: str | None, spans: list[tuple[int, int, str]]) -> str:
 
 def find(docs: DataFrame, id_col: str = "doc_id", text: str = "text", near: int = NEAR, alpha: float = ALPHA, generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT, with_text: bool = True) -> DataFrame:
     """id, counts of the kinds, base_sha256, spans and (with_text) the sanitised text of each document."""
-    terms = cut(disclosing_terms(docs, text, near, alpha, generalise_at), "terms")[0]
-    some = terms.limit(BROADCAST_TERMS + 1).collect()
+    terms = disclosing_terms(docs, text, near, alpha, generalise_at).select(F.xxhash64("word").alias("word_key"), "disclosure")
+    some = terms.limit(BROADCAST_TERMS + 1).toArrow()  # 16 bytes a term
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    if len(some) <= BROADCAST_TERMS:
-        shared = docs.sparkSession.sparkContext.broadcast({r.word: r.disclosure for r in some})
-        rows = rows.withColumn("own", F.lit(None).cast("map<string,double>"))
+    none = F.lit(None)
+    if some.num_rows <= BROADCAST_TERMS:
+        order = np.argsort(known := some["word_key"].to_numpy())
+        shared = docs.sparkSession.sparkContext.broadcast((known[order], some["disclosure"].to_numpy()[order]))
+        rows = rows.select("id", "text", none.cast("array<long>").alias("own"), none.cast("array<double>").alias("told"))
     else:  # each document gets the terms that it holds
         shared = None
-        keyed = rows.withColumn("key", F.xxhash64("id", "text"))
-        held = _emit_words(keyed.select("text", "key")).select(F.col("line").alias("key"), "word").distinct().join(terms, "word").groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("word", "disclosure"))).alias("own"))
-        rows = keyed.join(held, "key", "left").select("id", "text", "own")
+        held = _held_words(rows, "text", _bitmap(terms, "word_key")).join(terms, "word_key").groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("word_key", "disclosure"))).alias("own"))
+        rows = rows.withColumn("doc", F.xxhash64("text")).join(held, "doc", "left").select("id", "text", F.col("own.word_key").alias("own"), F.col("own.disclosure").alias("told"))
 
     def make():
-        def step(ids, texts, own):
+        keys = _Keys()
+
+        def step(ids, texts, own, told):
             out: dict[str, list] = {"id": ids, "base_sha256": [], "spans": [], "sanitised_text": [], **{f"n_{k}": [] for k in KINDS}}
-            for t, mine in zip(texts, own, strict=True):
-                base, spans = all_spans(t, shared.value if shared else dict(mine or ()), remove_at)
-                told = [",".join(f"{k}:{s}:{e}" for s, e, k in x) for x in (base, spans)]
-                out["base_sha256"].append(hashlib.sha256(told[0].encode()).hexdigest())
-                out["spans"].append(told[1])
+            for t, known, worth in zip(texts, own, told, strict=True):
+                known, worth = shared.value if shared else (np.array(known or [], np.int64), worth)
+                base, spans = all_spans(t, _terms_in(t, known, worth, keys), remove_at)
+                names = [",".join(f"{k}:{s}:{e}" for s, e, k in x) for x in (base, spans)]
+                out["base_sha256"].append(hashlib.sha256(names[0].encode()).hexdigest())
+                out["spans"].append(names[1])
                 out["sanitised_text"].append(sanitised(t, spans) if with_text else None)
                 for k in KINDS:
                     out[f"n_{k}"].append(sum(x[2] == k for x in base))
@@ -317,5 +361,15 @@ def find(docs: DataFrame, id_col: str = "doc_id", text: str = "text", near: int
     return (found if with_text else found.drop("sanitised_text")).withColumnRenamed("id", id_col)
 
 
+def _terms_in(text: str | None, known: np.ndarray, worth, keys: _Keys) -> dict[str, float]:
+    """The words of text that are among the terms (keys in rising order, and what each is worth)."""
+    if not text or not len(known):
+        return {}
+    own = list(_words(text))
+    mine = np.fromiter(map(keys.__getitem__, own), np.int64, len(own))
+    at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
+    return {own[i]: float(worth[at[i]]) for i in np.flatnonzero(known[at] == mine)}
+
+
 def op2_pii(spark, sf_dir: str) -> DataFrame:
     return find(table(spark, sf_dir, "documents"), with_text=False)
