@@ -275,11 +275,10 @@ def disclosing_terms(docs: DataFrame, text: str = "text", near: int = NEAR, alph
     of_entity = pairs.filter("word_key is null").groupBy("entity").agg(F.count("*").alias("entity_docs"))
     again = of_entity.filter("entity_docs > 1").select("entity")
     whole = _entity_rows(docs, text, None, _bitmap(again, "entity")).join(again, "entity", "left_semi")
-    both, both_at = cut(
-        pairs.filter("word_key is not null").unionByName(whole).distinct().groupBy("entity", "word", "word_key").agg(F.count("*").alias("both")), "both"
-    )
-    at_least = both.groupBy("word_key").agg(F.max("both").alias("least_docs"))
+    met, met_at = cut(pairs.filter("word_key is not null").unionByName(whole).distinct(), "met")
+    both = met.groupBy("entity", "word", "word_key").agg(F.count("*").alias("both"))
     tested = both.groupBy("entity").agg(F.count("*").alias("tested"))
+    at_least = met.select("word_key", "doc").distinct().groupBy("word_key").agg(F.count("*").alias("least_docs"))
     total = float(docs.filter(F.col(text) != "").select(F.approx_count_distinct(F.xxhash64(text), 0.02)).first()[0])
     likely = lambda n: _significant(total, "both", n, "entity_docs", "tested", alpha) & (_disclosure(total, "both", n, "entity_docs") >= generalise_at)
     joint, joint_at = cut(both.join(of_entity.join(tested, "entity"), "entity").join(at_least, "word_key").filter(likely("least_docs")), "joint")
@@ -287,7 +286,7 @@ def disclosing_terms(docs: DataFrame, text: str = "text", near: int = NEAR, alph
     counts = _held_words(docs, text, _bitmap(words, "word_key")).join(words, "word_key", "left_semi").groupBy("word_key").agg(F.count("*").alias("docs"))
     told = joint.join(counts, "word_key").filter(likely("docs")).withColumn("disclosure", _disclosure(total, "both", "docs", "entity_docs"))
     out, _ = cut(told.groupBy("word").agg(F.max("disclosure").alias("disclosure")), "terms")
-    for path in (pairs_at, both_at, joint_at):
+    for path in (pairs_at, met_at, joint_at):
         discard(docs.sparkSession, path)
     return out
 
