@@ -41,7 +41,10 @@ NEAR = 8
 ALPHA = 0.05
 REMOVE_AT = 0.95
 GENERALISE_AT = 0.9
-BROADCAST_TERMS = 1_000_000
+BROADCAST_TERMS = 300_000
+BROADCAST_LETTERS = 10_000_000
+#: Words are counted in one document of so many, by the hash of its text; the last round is exact.
+ROUNDS = (64, 8, 1)
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -268,8 +271,9 @@ def disclosing_terms(docs: DataFrame, text: str = "text", near: int = NEAR, alph
     """(word, disclosure): the words that tell of some entity at least generalise_at of its information content.
 
     The documents in which a word meets any entity bound its documents in the corpus from below,
-    and so its disclosure from above: only pairs that can still reach generalise_at are counted
-    in the corpus.
+    and so its disclosure from above; so do its documents in any part of the corpus. Only pairs
+    that can still reach generalise_at are counted further: in a 64th of the distinct documents,
+    in an 8th, and then in all, which gives the exact count of the few words left by then.
     """
     pairs, pairs_at = cut(_entity_rows(docs, text, near).distinct(), "pairs")
     of_entity = pairs.filter("word_key is null").groupBy("entity").agg(F.count("*").alias("entity_docs"))
@@ -282,9 +286,14 @@ def disclosing_terms(docs: DataFrame, text: str = "text", near: int = NEAR, alph
     total = float(docs.filter(F.col(text) != "").select(F.approx_count_distinct(F.xxhash64(text), 0.02)).first()[0])
     likely = lambda n: _significant(total, "both", n, "entity_docs", "tested", alpha) & (_disclosure(total, "both", n, "entity_docs") >= generalise_at)
     joint, joint_at = cut(both.join(of_entity.join(tested, "entity"), "entity").join(at_least, "word_key").filter(likely("least_docs")), "joint")
-    words = joint.select("word_key").distinct()
-    counts = _held_words(docs, text, _bitmap(words, "word_key")).join(words, "word_key", "left_semi").groupBy("word_key").agg(F.count("*").alias("docs"))
-    told = joint.join(counts, "word_key").filter(likely("docs")).withColumn("disclosure", _disclosure(total, "both", "docs", "entity_docs"))
+    for share in ROUNDS:
+        some = docs.filter(F.pmod(F.xxhash64(text), F.lit(share)) == 0)
+        words = joint.select("word_key").distinct()
+        counts = _held_words(some, text, _bitmap(words, "word_key")).join(words, "word_key", "left_semi").groupBy("word_key").agg(F.count("*").alias("docs"))
+        more = joint.join(counts, "word_key", "left").withColumn("least_docs", F.greatest("least_docs", F.coalesce("docs", F.lit(0)))).drop("docs")
+        last, (joint, joint_at) = joint_at, cut(more.filter(likely("least_docs")), "joint")
+        discard(docs.sparkSession, last)
+    told = joint.withColumn("disclosure", _disclosure(total, "both", "least_docs", "entity_docs"))
     out, _ = cut(told.groupBy("word").agg(F.max("disclosure").alias("disclosure")), "terms")
     for path in (pairs_at, met_at, joint_at):
         discard(docs.sparkSession, path)
@@ -324,28 +333,29 @@ def sanitised(text: str | None, spans: list[tuple[int, int, str]]) -> str:
 
 def find(docs: DataFrame, id_col: str = "doc_id", text: str = "text", near: int = NEAR, alpha: float = ALPHA, generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT, with_text: bool = True) -> DataFrame:
     """id, counts of the kinds, base_sha256, spans and (with_text) the sanitised text of each document."""
-    terms = disclosing_terms(docs, text, near, alpha, generalise_at).select(F.xxhash64("word").alias("word_key"), "disclosure")
-    some = terms.limit(BROADCAST_TERMS + 1).toArrow()  # 16 bytes a term
+    terms = disclosing_terms(docs, text, near, alpha, generalise_at)
+    few, letters = terms.agg(F.count("*"), F.coalesce(F.sum(F.length("word")), F.lit(0))).first()
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    none = F.lit(None)
-    if some.num_rows <= BROADCAST_TERMS:
-        order = np.argsort(known := some["word_key"].to_numpy())
-        shared = docs.sparkSession.sparkContext.broadcast((known[order], some["disclosure"].to_numpy()[order]))
-        rows = rows.select("id", "text", none.cast("array<long>").alias("own"), none.cast("array<double>").alias("told"))
+    if few <= BROADCAST_TERMS and letters <= BROADCAST_LETTERS:
+        shared = docs.sparkSession.sparkContext.broadcast({r.word: r.disclosure for r in terms.collect()})
+        rows = rows.withColumn("own", F.lit(None).cast("map<string,double>"))
     else:  # each document gets the terms that it holds
         shared = None
-        held = _held_words(rows, "text", _bitmap(terms, "word_key")).join(terms, "word_key").groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("word_key", "disclosure"))).alias("own"))
-        rows = rows.withColumn("doc", F.xxhash64("text")).join(held, "doc", "left").select("id", "text", F.col("own.word_key").alias("own"), F.col("own.disclosure").alias("told"))
+        keyed = terms.withColumn("word_key", F.xxhash64("word"))
+        held = _held_words(rows, "text", _bitmap(keyed, "word_key")).join(keyed, "word_key").groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("word", "disclosure"))).alias("own"))
+        rows = rows.withColumn("doc", F.xxhash64("text")).join(held, "doc", "left").select("id", "text", "own")
 
     def make():
-        keys = _Keys()
+        known = shared.value if shared else None
+        names_of = frozenset(known or ())
 
-        def step(ids, texts, own, told):
+        def step(ids, texts, own):
             out: dict[str, list] = {"id": ids, "base_sha256": [], "spans": [], "sanitised_text": [], **{f"n_{k}": [] for k in KINDS}}
-            for t, known, worth in zip(texts, own, told, strict=True):
-                known, worth = shared.value if shared else (np.array(known or [], np.int64), worth)
-                base, spans = all_spans(t, _terms_in(t, known, worth, keys), remove_at)
+            for t, mine in zip(texts, own, strict=True):
+                if known is not None:
+                    mine = {w: known[w] for w in names_of & _words(t)} if t else {}
+                base, spans = all_spans(t, dict(mine or ()), remove_at)
                 names = [",".join(f"{k}:{s}:{e}" for s, e, k in x) for x in (base, spans)]
                 out["base_sha256"].append(hashlib.sha256(names[0].encode()).hexdigest())
                 out["spans"].append(names[1])
@@ -360,15 +370,5 @@ def find(docs: DataFrame, id_col: str = "doc_id", text: str = "text", near: int
     return (found if with_text else found.drop("sanitised_text")).withColumnRenamed("id", id_col)
 
 
-def _terms_in(text: str | None, known: np.ndarray, worth, keys: _Keys) -> dict[str, float]:
-    """The words of text that are among the terms (keys in rising order, and what each is worth)."""
-    if not text or not len(known):
-        return {}
-    own = list(_words(text))
-    mine = np.fromiter(map(keys.__getitem__, own), np.int64, len(own))
-    at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
-    return {own[i]: float(worth[at[i]]) for i in np.flatnonzero(known[at] == mine)}
-
-
 def op2_pii(spark, sf_dir: str) -> DataFrame:
     return find(table(spark, sf_dir, "documents"), with_text=False)
