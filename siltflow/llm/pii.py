@@ -119,7 +119,7 @@ def _words(text: str) -> set[str]:
 class _Keys(dict):
     """64-bit keys of words, with a bounded memory."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 
