@@ -18,21 +18,16 @@ def date_of_millis(ms: Column) -> Column:
 
 
 def decimal_of_base64(col: Column, scale: int) -> Column:
-    """A decimal from base64 of its unscaled two's-complement bytes (at most 16); null if it doesn't fit."""
+    """A decimal from base64 of its unscaled two's-complement bytes (at most 16); null if it doesn't fit.
+
+    The bytes, filled up to 16, are two 64-bit halves: the upper one signed, the lower one not.
+    """
     raw = F.hex(F.unbase64(col))
-    negative = F.substring(raw, 1, 1) >= "8"
-    full = F.lpad(raw, 32, "0")
-    filled = F.when(negative, F.concat(F.repeat(F.lit("F"), 32 - F.length(raw)), raw)).otherwise(full)
-    total = None
-    for k in range(4):
-        word = F.conv(F.substring(filled, 1 + 8 * k, 8), 16, 10).cast("decimal(38,0)")
-        word = F.when(negative, F.lit(2**32 - 1).cast("decimal(38,0)") - word).otherwise(word)
-        total = word if total is None else F.try_add(F.try_multiply(total, F.lit(2**32).cast("decimal(10,0)")).try_cast("decimal(38,0)"), word).try_cast("decimal(38,0)")
-    signed = F.when(negative, -total - 1).otherwise(total)
-    text = F.abs(signed).cast("string")
-    padded = F.lpad(text, F.greatest(F.length(text), F.lit(scale + 1)), "0")
-    whole = F.concat(F.when(signed < 0, "-").otherwise(""), padded.substr(F.lit(1), F.length(padded) - scale))
-    return F.when(F.length(raw) > 32, None).otherwise(F.concat(whole, F.lit("."), padded.substr(F.length(padded) - scale + 1, F.lit(max(scale, 1)))) if scale else whole).try_cast(T.DecimalType(38, scale))
+    full = F.lpad(raw, 32, F.when(F.substring(raw, 1, 1) >= "8", "F").otherwise("0"))
+    high = F.conv(F.substring(full, 1, 16), 16, -10).cast("decimal(19,0)")
+    low = F.conv(F.substring(full, 17, 16), 16, 10).cast("decimal(20,0)")
+    whole = F.try_add(F.try_multiply(high, F.lit(str(2**64)).cast("decimal(20,0)")), low).cast("string")
+    return F.when(F.length(raw) <= 32, F.concat(whole, F.lit(f"E-{scale}")).try_cast(T.DecimalType(38, scale)))
 
 
 def json_schema(kind: T.DataType) -> T.DataType:

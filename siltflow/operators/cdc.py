@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siltflow.sources.table import Result, TxnTable
 
+DELETED, BUCKET, BUCKETS = "__deleted", "__bucket", 16
+
 
 def flatten_envelope(df: DataFrame, add: dict[str, str] | None = None, prefix: str = "__", rewrite_deletes: bool = True) -> DataFrame:
     """The after-image's columns with `<prefix>op` and others (add: name to source column).
@@ -32,23 +35,30 @@ def latest_per_key(df: DataFrame, keys: list[str], sequence_by: list[str]) -> Da
     return df.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")
 
 
-def scd1(target: DataFrame, source: DataFrame, keys: list[str], sequence: str, op: str = "op", guard_deletes: bool = True) -> DataFrame:
+def scd1(target: DataFrame, source: DataFrame, keys: list[str], sequence: str, op: str = "op", guard_deletes: bool = True, deleted: str | None = None) -> DataFrame:
     """target after the latest changes of source: matched deletes go, newer rows replace, unmatched others come in.
 
     A null op neither deletes nor inserts, and a null sequence never replaces. guard_deletes: a
     delete must be newer as well, which matters if source doesn't hold all changes.
+    deleted: a boolean column of target that marks deleted rows. They are kept with their
+    sequence, so an older change that comes again doesn't bring its key back.
     """
-    cols = target.columns
-    s, t = source.select(F.struct(*source.columns).alias("s"), *(F.col(k).alias(f"s_{k}") for k in keys)), target.select(F.struct(*cols).alias("t"), *(F.col(k).alias(f"t_{k}") for k in keys))
+    cols = [c for c in target.columns if c != deleted]
+    s, t = source.select(F.struct(*source.columns).alias("s"), *(F.col(k).alias(f"s_{k}") for k in keys)), target.select(F.struct(*target.columns).alias("t"), *(F.col(k).alias(f"t_{k}") for k in keys))
     on = [F.col(f"s_{k}") == F.col(f"t_{k}") for k in keys]
     both = t.join(s, on, "full_outer")
     matched, only_new = F.col("s").isNotNull() & F.col("t").isNotNull(), F.col("t").isNull()
     delete = F.coalesce(F.col(f"s.{op}") == "d", F.lit(False))
     newer = F.coalesce(F.col(f"s.{sequence}") > F.col(f"t.{sequence}"), F.lit(False))
-    gone = matched & delete & (newer if guard_deletes else F.lit(True))
     wanted = F.coalesce(F.col(f"s.{op}") != "d", F.lit(False))
-    new = F.struct(*(F.col(f"s.{c}") for c in cols))
-    row = F.when(gone, None).when(matched & newer & ~delete, new).when(only_new & wanted, new).when(~only_new, F.col("t"))
+    if deleted is None:
+        gone = matched & delete & (newer if guard_deletes else F.lit(True))
+        new = F.struct(*(F.col(f"s.{c}") for c in cols))
+        row = F.when(gone, None).when(matched & newer & ~delete, new).when(only_new & wanted, new).when(~only_new, F.col("t"))
+    else:
+        new = F.struct(*(delete.alias(c) if c == deleted else F.col(f"s.{c}").alias(c) for c in target.columns))
+        taken = matched & (newer if guard_deletes else newer | delete) | only_new & (wanted | delete)
+        row = F.when(taken, new).when(~only_new, F.col("t"))
     return both.select(row.alias("r")).filter("r is not null").select("r.*")
 
 
@@ -59,15 +69,42 @@ def scd2(changes: DataFrame, keys: list[str], sequence_by: list[str], op: str |
     return out.filter(F.coalesce(F.col(op) != "d", F.lit(True))) if op else out
 
 
-def apply_changes(bronze: DataFrame, target: TxnTable, keys: list[str], sequence_by: list[str], columns: list[str], apply_as_deletes: Column | None = None, stored_as_scd_type: int = 1, valid: str | None = None, txns: dict[str, int] | None = None) -> Result:
-    """Brings target up to date with all of bronze's changes, as current rows (type 1) or history (type 2)."""
+def current(target: TxnTable) -> DataFrame:
+    """The live rows of a table that apply_changes keeps (type 1): those of deleted keys aren't read."""
+    return target.read(where={DELETED: "false"}).drop(DELETED, BUCKET)
+
+
+def apply_changes(bronze: DataFrame, target: TxnTable, keys: list[str], sequence_by: list[str], columns: list[str], apply_as_deletes: Column | None = None, stored_as_scd_type: int = 1, valid: str | None = None, txns: dict[str, int] | None = None, buckets: int = BUCKETS) -> Result | None:
+    """Brings target up to date with bronze's changes, as current rows (type 1, see `current`) or history (type 2).
+
+    Type 1 takes any part of the changes, in any order. Its rows lie in buckets by key, and only
+    buckets that changes meet are read and rewritten; deleted keys stay with their sequence. Type 2
+    takes all changes. None: there were no changes.
+    """
     op = F.when(F.coalesce(apply_as_deletes if apply_as_deletes is not None else F.col("op") == "d", F.lit(False)), "d").otherwise("u")
     changes = bronze.withColumn("__op", op)
     if stored_as_scd_type == 2:
         out = scd2(changes, keys, sequence_by, "__op", valid or sequence_by[0]).select(*columns, "__start_at", "__end_at")
         return target.overwrite(out, txns)
-    latest = latest_per_key(changes, keys, sequence_by)
     kept = list(dict.fromkeys([*columns, sequence_by[0]]))
-    if not target.exists():
-        return target.overwrite(latest.filter("__op <> 'd'").select(*kept), txns)
-    return target.overwrite(scd1(target.read(), latest, keys, sequence_by[0], "__op").select(*kept), txns)
+    latest = latest_per_key(changes, keys, sequence_by).withColumn(BUCKET, F.pmod(F.hash(*keys), F.lit(buckets))).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = latest.select(*kept, (F.col("__op") == "d").alias(DELETED), BUCKET)
+        if not target.exists():
+            return target.overwrite(rows.repartition(BUCKET), txns, partition_columns=[BUCKET, DELETED])
+        met = sorted(r[0] for r in latest.select(BUCKET).distinct().collect())  # at most `buckets` numbers
+        if not met:
+            return None
+        old = target.read(where={BUCKET: [str(x) for x in met]})
+        return target.overwrite(scd1(old, latest, keys, sequence_by[0], "__op", deleted=DELETED).select(*old.columns).repartition(BUCKET), txns, where={BUCKET: {str(x) for x in met}})
+    finally:
+        latest.unpersist()
+
+
+def apply_new(bronze: TxnTable, target: TxnTable, keys: list[str], sequence_by: list[str], columns: list[str], name: str = "changes", **settings) -> Result | None:
+    """apply_changes with what bronze has got since the last call; target's own stamp says how far that was."""
+    stamp = f"cdc:{name}"
+    done, now = (target.snapshot().txns.get(stamp, -1) if target.exists() else -1), bronze.snapshot().version
+    if now <= done:
+        return None
+    return apply_changes(bronze.read_since(done, now), target, keys, sequence_by, columns, txns={stamp: now}, **settings)

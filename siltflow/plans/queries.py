@@ -85,16 +85,22 @@ def ingest_roundtrip_events(spark, sf_dir):
 
 @query("SELECT * FROM orders")
 def ingest_roundtrip_orders(spark, sf_dir):
-    t = TxnTable(spark, work_dir(spark, "orders"))
-    t.append(_table(spark, sf_dir, "orders"), {"q:orders-0": 0})
-    return t.read()
+    """Orders as change records and back."""
+    o = _table(spark, sf_dir, "orders")
+    placed = o.withColumn("part", (F.col("o_custkey") % 4).cast("int")).withColumn("off", F.col("o_orderkey"))
+    ingest = _ingest(spark, "orders")
+    ingest.batch(_records(placed, o.columns, "shop.app.orders"))
+    return ingest.table("bronze.app.orders").read().withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
 
 
 @query("SELECT * FROM lineitem")
 def ingest_roundtrip_lineitem(spark, sf_dir):
-    t = TxnTable(spark, work_dir(spark, "lineitem"))
-    t.append(_table(spark, sf_dir, "lineitem"), {"q:lineitem-0": 0})
-    return t.read()
+    """Line items as change records and back."""
+    x = _table(spark, sf_dir, "lineitem")
+    placed = x.withColumn("part", (F.col("l_orderkey") % 4).cast("int")).withColumn("off", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    ingest = _ingest(spark, "lineitem")
+    ingest.batch(_records(placed, x.columns, "shop.app.lineitem"))
+    return ingest.table("bronze.app.lineitem").read().withColumn("l_shipdate", F.col("l_shipdate").cast("timestamp_ntz"))
 
 
 @query("SELECT event_id, CASE op WHEN 'd' THEN 'b' || event_type ELSE event_type END AS event_type, value, op AS __op, ts_us AS __source_ts_us, CASE op WHEN 'd' THEN 'true' ELSE 'false' END AS __deleted FROM " + EVENTS_SQL)
@@ -221,21 +227,42 @@ def scd1_apply(spark, sf_dir):
     t = TxnTable(spark, work_dir(spark, "scd1-current"))
     for part in (bronze.filter("event_id % 3 <> 2"), bronze, bronze):
         cdc.apply_changes(part, t, ["user_id"], ["event_id"], ["user_id", "event_type", "value"])
-    return t.read()
+    return cdc.current(t)
 
 
 @query(SCD1_SQL)
 def replay_guard(spark, sf_dir):
-    """Older changes after newer ones leave current rows as they are."""
+    """Older changes after newer ones, creates and deleted keys included, leave current rows as they are."""
     bronze = _bronze(spark, sf_dir, "guard").read()
     t = TxnTable(spark, work_dir(spark, "guard-current"))
     cdc.apply_changes(bronze, t, ["user_id"], ["event_id"], ["user_id", "event_type", "value"])
     last = bronze.groupBy("user_id").agg(F.max("event_id").alias("m")).withColumnRenamed("user_id", "u")
-    older = bronze.join(last, (F.col("user_id") == F.col("u")) & (F.col("event_id") < F.col("m"))).filter("op <> 'c'").select(bronze.columns)
-    # keys that are gone would come back from old changes: a replay holds the key's later rows too
-    alive = t.read().select(F.col("user_id").alias("k"))
-    cdc.apply_changes(older.join(alive, F.col("user_id") == F.col("k"), "left_semi"), t, ["user_id"], ["event_id"], ["user_id", "event_type", "value"])
-    return t.read()
+    older = bronze.join(last, (F.col("user_id") == F.col("u")) & (F.col("event_id") < F.col("m"))).select(bronze.columns)
+    cdc.apply_changes(older, t, ["user_id"], ["event_id"], ["user_id", "event_type", "value"])
+    return cdc.current(t)
+
+
+@query(SCD1_SQL)
+def scd1_incremental(spark, sf_dir):
+    """Three commits of changes, each applied on its own from the files that it added."""
+    bronze, t = TxnTable(spark, work_dir(spark, "increments")), TxnTable(spark, work_dir(spark, "increments-current"))
+    e = _events(spark, sf_dir)
+    for k in (1, 0, 2):  # out of order
+        bronze.append(e.filter(F.col("event_id") % 3 == k), {"increments:events-0": (1, 0, 2).index(k)})
+        cdc.apply_new(bronze, t, ["user_id"], ["event_id"], ["user_id", "event_type", "value"])
+    return cdc.current(t)
+
+
+@query("SELECT count(*) AS n, count(*) FILTER (WHERE op = 'd') AS deletes FROM " + EVENTS_SQL)
+def tombstone_intake(spark, sf_dir):
+    """Records with a null value, as a source sends them after each delete, are set aside and don't hold up the others."""
+    e = _placed(_events(spark, sf_dir))
+    ingest = _ingest(spark, "tombstones")
+    records = _records(e, ["event_id", "op"]).withColumn("offset", F.col("offset") * 2)
+    after = records.filter(F.col("value").contains('"op":"d"')).select("topic", "partition", (F.col("offset") + 1).alias("offset"), F.lit(None).cast("string").alias("value"))
+    ingest.batch(records.unionAll(after))
+    n = ingest.table("bronze.app.events").read().agg(F.count("*").alias("n"))
+    return n.crossJoin(ingest.dead_letters.read().agg(F.count("*").alias("deletes")))  # one row by one row
 
 
 @query(f"SELECT user_id, event_type, value, event_id, ts_us, ts_us AS __start_at, e AS __end_at FROM (SELECT *, lead(ts_us) OVER (PARTITION BY user_id ORDER BY event_id) AS e FROM {EVENTS_SQL}) WHERE op <> 'd'")

@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 from typing import Protocol
+from urllib.parse import unquote, urlsplit
 
 from pyspark.sql import SparkSession
 
@@ -23,7 +24,7 @@ class LocalStorage:
 
     @staticmethod
     def _at(path: str) -> str:
-        return path.removeprefix("file://")
+        return unquote(urlsplit(path).path) if path.startswith("file:") else path
 
     def list(self, path: str) -> list[str]:
         at = self._at(path)
@@ -57,10 +58,11 @@ class LocalStorage:
 
 
 class HadoopStorage:
-    """Any file system that Spark reads. Creating relies on the store's own create without overwrite."""
+    """Any file system that Spark reads. A file is written aside and renamed, which fails if the name is taken."""
 
     def __init__(self, spark: SparkSession):
-        self._jvm, self._conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        self._jvm, self._gateway = spark._jvm, spark.sparkContext._gateway
+        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
 
     def _fs(self, path: str):
         p = self._jvm.org.apache.hadoop.fs.Path(path)
@@ -79,15 +81,31 @@ class HadoopStorage:
             stream.close()
 
     def create(self, path: str, text: str) -> bool:
+        """Writes path as a whole, or gives False if it is there already."""
         p, fs = self._fs(path)
+        if fs.exists(p):
+            return False
+        aside = self._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{uuid.uuid4().hex}.tmp")
+        stream = fs.create(aside, False)
+        try:
+            stream.write(text.encode("utf-8"))
+        finally:
+            stream.close()
+        try:
+            return self._rename(aside, p)
+        finally:
+            fs.delete(aside, False)
+
+    def _rename(self, aside, p) -> bool:
+        kinds = self._jvm.org.apache.hadoop.fs.Options.Rename
+        none = self._gateway.new_array(kinds, 1)
+        none[0] = kinds.NONE
         try:
-            stream = fs.create(p, False)
+            self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), self._conf).rename(aside, p, none)
         except Exception as error:
-            if "exist" in str(error).lower():
+            if "FileAlreadyExistsException" in str(error):
                 return False
             raise
-        stream.write(text.encode("utf-8"))
-        stream.close()
         return True
 
     def files(self, path: str) -> list[tuple[str, int]]:
@@ -108,13 +126,20 @@ def storage_for(spark: SparkSession, path: str) -> Storage:
 _OWN: dict[str, str] = {}
 
 
-def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder below spark.checkpoint.dir, or below a folder of our own where that is unset."""
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; where that is unset, one of our own, but on a single machine only."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = _OWN.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="siltflow-")
         _OWN[spark.sparkContext.applicationId] = base
-    return f"{base.rstrip('/')}/siltflow/{name}-{uuid.uuid4().hex[:12]}"
+    return base.rstrip("/")
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A new folder below shared_dir."""
+    return f"{shared_dir(spark)}/siltflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def dumps(actions: list[dict]) -> str:

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from siltflow.sources.storage import Storage, dumps, storage_for
 
 LOG = "_txn_log"
+POINTER = ".checkpoint.json"
 CHECKPOINT_EVERY = 10
 MAX_TRIES = 20
 
@@ -94,7 +95,12 @@ class TxnTable:
         return sorted(int(n[:20]) for n in self.storage.list(f"{self.path}/{LOG}") if len(n) == 25 and n.endswith(".json"))
 
     def _actions(self, version: int) -> list[dict]:
-        return [json.loads(x) for x in self.storage.read(self._log(f"{version:020d}.json")).splitlines()]
+        """A commit's actions; none if the file is only in part there (a commit always ends with its commitInfo)."""
+        try:
+            actions = [json.loads(x) for x in self.storage.read(self._log(f"{version:020d}.json")).splitlines()]
+        except ValueError:
+            return []
+        return actions if actions and "commitInfo" in actions[-1] else []
 
     def exists(self) -> bool:
         return self.snapshot().version >= 0
@@ -108,34 +114,49 @@ class TxnTable:
             if version is not None and version not in all_:
                 raise ValueError(f"there is no version {version} of {self.path}")
             base = self._kept.copy() if self._kept is not None and self._kept.version <= until else Snapshot()
-            points = [int(n[:20]) for n in names if n.endswith(".checkpoint.parquet")]
+            points = [int(n[:20]) for n in names if n.endswith(POINTER)]
             point = max((p for p in points if base.version < p <= until), default=None)
             if point is not None and point > base.version + 1:
                 base = self._from_checkpoint(point)
             for v in all_:
                 if base.version < v <= until:
-                    base.apply(v, self._actions(v))
+                    if not (actions := self._actions(v)):
+                        break  # its writer isn't done, or died: the table is as it was before
+                    base.apply(v, actions)
             if version is None:
                 self._kept = base.copy()
+            elif base.version != version:
+                raise ValueError(f"version {version} of {self.path} isn't whole")
             return base
 
-    def read(self, version: int | None = None, where: dict[str, str] | None = None) -> DataFrame:
-        """The table's rows; where: values of partition columns, by which files are left out unread."""
+    def read(self, version: int | None = None, where: dict[str, object] | None = None) -> DataFrame:
+        """The table's rows; where: values (or lists of them) of partition columns, by which files are left out unread."""
         snap = self.snapshot(version)
         if snap.schema is None:
             raise ValueError(f"there is no table at {self.path}")
-        wanted = {k: None if v is None else str(v) for k, v in (where or {}).items()}
-        paths = [f"{self.path}/{p}" for p, a in snap.files.items() if all(a["partitionValues"].get(k) == v for k, v in wanted.items())]
-        nullable = relaxed(snap.schema)
+        wanted = {k: {None if x is None else str(x) for x in (v if isinstance(v, list | set) else [v])} for k, v in (where or {}).items()}
+        files = [p for p, a in snap.files.items() if all(a["partitionValues"].get(k) in v for k, v in wanted.items())]
+        return self._scan(_folders(files), snap.schema)
+
+    def read_since(self, version: int, until: int | None = None) -> DataFrame:
+        """The rows that appends after a version, up to another (the latest by default), have added."""
+        snap = self.snapshot(until)
+        files = [a["add"]["path"] for v in self._versions() if version < v <= snap.version for a in self._actions(v) if "add" in a]
+        return self._scan(_folders([p for p in files if p in snap.files]), snap.schema)
+
+    def _scan(self, paths: list[str], schema: T.StructType) -> DataFrame:
+        nullable = relaxed(schema)
         if not paths:
             return self.spark.createDataFrame([], nullable)
-        return self.spark.read.schema(nullable).parquet(*paths)
+        return self.spark.read.schema(nullable).option("recursiveFileLookup", True).parquet(*(f"{self.path}/{p}" for p in paths))
 
     def history(self) -> DataFrame:
         """One row a version: operation, mode, whether a blind append, rows, files and bytes written."""
         rows = []
         for v in self._versions():
-            info = next((a["commitInfo"] for a in self._actions(v) if "commitInfo" in a), {})
+            if not (actions := self._actions(v)):
+                break
+            info = actions[-1]["commitInfo"]
             m = info.get("operationMetrics", {})
             rows.append((v, info.get("timestamp"), info.get("operation"), info.get("operationParameters", {}).get("mode"), info.get("isBlindAppend"), *(int(m[k]) if k in m else None for k in ("numOutputRows", "numFiles", "numOutputBytes"))))
         return self.spark.createDataFrame(rows, "version long, timestamp long, operation string, mode string, is_blind_append boolean, num_output_rows long, num_files long, num_output_bytes long")
@@ -242,8 +263,11 @@ class TxnTable:
 
         return self.commit(build)
 
-    def overwrite(self, df: DataFrame, txns: dict[str, int] | None = None, schema: T.StructType | None = None) -> Result:
-        """Replaces all rows: one commit that removes the files and adds new ones."""
+    def overwrite(self, df: DataFrame, txns: dict[str, int] | None = None, schema: T.StructType | None = None, partition_columns: list[str] | None = None, where: dict[str, set[str]] | None = None) -> Result:
+        """Replaces rows: one commit that removes files and adds new ones.
+
+        where: of some partition columns the values whose files go; all files go by default.
+        """
         schema, txns = schema or df.schema, dict(txns or {})
         wrote: list = []
         base: list[int] = []
@@ -254,11 +278,12 @@ class TxnTable:
             base.append(s.version)
             if s.version != base[0]:
                 raise CommitConflict(f"{self.path} changed while it was rewritten")
+            by = s.partition_columns if s.version >= 0 else partition_columns or []
             if not wrote:
-                wrote.append(self._write_files(df, schema, s.partition_columns))
+                wrote.append(self._write_files(df, schema, by))
             adds, n, size = wrote[0]
-            head = [] if s.version >= 0 and s.schema == schema else [{"protocol": {"minReaderVersion": 1, "minWriterVersion": 1}}, self._meta(schema, s.partition_columns)]
-            gone = [{"remove": {"path": p, "dataChange": True}} for p in s.files]
+            head = [] if s.version >= 0 and s.schema == schema else [{"protocol": {"minReaderVersion": 1, "minWriterVersion": 1}}, self._meta(schema, by)]
+            gone = [{"remove": {"path": p, "dataChange": True}} for p, a in s.files.items() if all(a["partitionValues"].get(k) in v for k, v in (where or {}).items())]
             return [*head, *({"txn": {"appId": k, "version": v}} for k, v in sorted(txns.items())), *gone, *adds, self._info("WRITE", n, len(adds), size, mode="Overwrite")]
 
         return self.commit(build)
@@ -266,25 +291,36 @@ class TxnTable:
     # upkeep
 
     def maintain(self, every: int = CHECKPOINT_EVERY) -> int | None:
-        """Writes a checkpoint of the latest version that is a multiple of every; the version, if it is new."""
+        """Writes a checkpoint of the latest version that is a multiple of every; the version, if it is new.
+
+        A checkpoint's files lie in a folder of their own; only once they are complete a pointer
+        file says so, and readers go by pointers alone.
+        """
         latest = max(self._versions(), default=-1)
         point = latest - latest % every
-        if point <= 0 or f"{point:020d}.checkpoint.parquet" in self.storage.list(f"{self.path}/{LOG}"):
+        if point <= 0 or f"{point:020d}{POINTER}" in self.storage.list(f"{self.path}/{LOG}"):
             return None
         snap = self.snapshot(point)
         rows = [("metaData", json.dumps(self._meta(snap.schema, snap.partition_columns)["metaData"]))]
         rows += [("txn", json.dumps({"appId": k, "version": v})) for k, v in snap.txns.items()]
         rows += [("add", json.dumps(a)) for a in snap.files.values()]
-        self.spark.createDataFrame(rows, "kind string, action string").coalesce(1).write.mode("ignore").parquet(self._log(f"{point:020d}.checkpoint.parquet"))
-        return point
+        folder = f"_checkpoints/{point:020d}-{uuid.uuid4().hex[:8]}"
+        self.spark.createDataFrame(rows, "kind string, action string").coalesce(1).write.parquet(self._log(folder))
+        return point if self.storage.create(self._log(f"{point:020d}{POINTER}"), dumps([{"folder": folder, "actions": len(rows)}])) else None
 
     def _from_checkpoint(self, version: int) -> Snapshot:
         out = Snapshot()
-        rows = self.spark.read.schema("kind string, action string").parquet(self._log(f"{version:020d}.checkpoint.parquet")).collect()
-        out.apply(version, [{r.kind: json.loads(r.action)} for r in rows])
+        folder = json.loads(self.storage.read(self._log(f"{version:020d}{POINTER}")))["folder"]
+        rows = self.spark.read.schema("kind string, action string").parquet(self._log(folder)).toLocalIterator()
+        out.apply(version, ({r.kind: json.loads(r.action)} for r in rows))
         return out
 
 
+def _folders(files: list[str]) -> list[str]:
+    """The innermost folders of files. One write fills such a folder and commits add or remove it as a whole, so it can be read as one path."""
+    return list(dict.fromkeys(f.rpartition("/")[0] for f in files))
+
+
 def _mismatch(table: T.StructType, rows: T.StructType) -> str | None:
     from siltflow.operators.evolution import same_type
 

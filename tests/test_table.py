@@ -140,3 +140,73 @@ def test_versions_are_quick_to_find(spark, tmp_path):
     for _ in range(50):
         t.snapshot()
     assert time.time() - began < 2
+
+
+def test_half_written_checkpoint_and_version(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    t = TxnTable(spark, path)
+    for k in range(12):
+        t.append(rows(spark, 2, 2 * k).coalesce(1), {"a": k})
+    log = tmp_path / "t" / "_txn_log"
+    (log / "_checkpoints" / "00000000000000000010-aaaa").mkdir(parents=True)  # still in writing
+    (log / "00000000000000000010.checkpoint.parquet").mkdir()
+    assert TxnTable(spark, path).read().count() == 24
+    assert t.maintain() == 10 and t.maintain() is None
+    assert TxnTable(spark, path).read().count() == 24 and TxnTable(spark, path).snapshot().txns == {"a": 11}
+    whole = (log / "00000000000000000011.json").read_text()
+    for cut in (0, 10, len(whole.splitlines()[0]) + 1, len(whole) - 5):  # a version still in writing
+        (log / "00000000000000000012.json").write_text(whole[:cut])
+        again = TxnTable(spark, path)
+        assert again.read().count() == 24 and again.snapshot().version == 11 and again.history().count() == 12
+
+
+@pytest.mark.parametrize("prefix", ["", "file:", "file://"])
+def test_local_urls(spark, tmp_path, prefix):
+    t = TxnTable(spark, f"{prefix}{tmp_path}/u")
+    t.append(rows(spark, 3))
+    assert t.read().count() == 3 and (tmp_path / "u" / "_txn_log").is_dir()
+
+
+def test_hadoop_create_once(spark, tmp_path):
+    s, path = HadoopStorage(spark), f"file://{tmp_path}/log/1.json"
+    assert s.create(path, "a\n") and not s.create(path, "b\n") and s.read(path) == "a\n" and [n for n in s.list(f"file://{tmp_path}/log") if not n.endswith(".crc")] == ["1.json"]
+
+
+def test_rewrite_of_some_partitions(spark, tmp_path):
+    t = TxnTable(spark, f"{tmp_path}/t")
+    df = rows(spark, 12).withColumn("k", F.col("id") % 3)
+    t.overwrite(df, partition_columns=["k"])
+    kept = {p for p, a in t.snapshot().files.items() if a["partitionValues"]["k"] != "1"}
+    t.overwrite(df.filter("k = 1 and id > 4"), where={"k": {"1"}})
+    assert kept <= set(t.snapshot().files) and sorted(r.id for r in t.read().collect()) == [0, 2, 3, 5, 6, 7, 8, 9, 10, 11]
+    assert sorted(r.id for r in t.read(where={"k": ["1", "2"]}).collect()) == [2, 5, 7, 8, 10, 11]
+
+
+def test_stale_replays_of_deleted_keys(spark, tmp_path):
+    from siltflow.operators import cdc
+
+    change = lambda *x: spark.createDataFrame(list(x), "id int, name string, op string, seq long")
+    t = TxnTable(spark, f"{tmp_path}/t")
+    apply = lambda df: cdc.apply_changes(df, t, ["id"], ["seq"], ["id", "name"])
+    apply(change((1, "a", "c", 10), (2, "b", "c", 11)))
+    apply(change((1, None, "d", 20)))
+    apply(change((1, "a", "c", 10), (3, None, "d", 5)))  # stale, and a delete before its create
+    apply(change((3, "c", "c", 4)))
+    assert [tuple(r)[:2] for r in cdc.current(t).collect()] == [(2, "b")]
+    apply(change((1, "again", "c", 30), (3, "c", "c", 6), (2, "old", "u", 1)))
+    assert sorted(tuple(r)[:2] for r in cdc.current(t).collect()) == [(1, "again"), (2, "b"), (3, "c")]
+    assert apply(change()) is None and t.read().count() == 3
+
+
+def test_only_met_buckets_are_rewritten(spark, tmp_path):
+    from siltflow.operators import cdc
+
+    bronze, t = TxnTable(spark, f"{tmp_path}/b"), TxnTable(spark, f"{tmp_path}/t")
+    change = lambda low, high, seq: spark.range(low, high).selectExpr("id", "'u' AS op", f"{seq}L AS seq")
+    bronze.append(change(0, 200, 1))
+    cdc.apply_new(bronze, t, ["id"], ["seq"], ["id"])
+    before = set(t.snapshot().files)
+    bronze.append(change(7, 8, 2))
+    cdc.apply_new(bronze, t, ["id"], ["seq"], ["id"])
+    assert len(before - set(t.snapshot().files)) == 1 and cdc.current(t).filter("seq = 2").count() == 1 and cdc.current(t).count() == 200
+    assert cdc.apply_new(bronze, t, ["id"], ["seq"], ["id"]) is None
