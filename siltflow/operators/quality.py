@@ -8,25 +8,48 @@ from pyspark.sql import functions as F
 PART = ("topic", "partition")
 
 
-def usable_schema(value: Column) -> Column:
-    """The schema text of a record value {"schema": struct, "payload": object}; null if it isn't one."""
+OPEN, BETWEEN = '{"schema":', ',"payload":'
+
+
+def envelopes(records: DataFrame) -> DataFrame:
+    """Adds head (all before the payload) and payload (a text) of values {"schema": struct, "payload": object}; nulls for others.
+
+    Converters write the two without blanks and in this order. Such values are cut at the fixed
+    text between them; only others are parsed.
+    """
+    value, head, rest = F.col("value"), F.col("head"), F.col("rest")
+    cut = records.withColumns({"head": F.substring_index(value, BETWEEN, 1), "rest": F.substring_index(value, BETWEEN, -1)})
+    once = F.octet_length(head) + F.octet_length(rest) + F.lit(len(BETWEEN)) == F.octet_length(value)
+    plain = F.coalesce(once & head.startswith(OPEN + "{") & rest.startswith("{") & rest.endswith("}}"), F.lit(False))
+    cut = cut.withColumn("plain", plain)
     schema, payload = F.get_json_object(value, "$.schema"), F.get_json_object(value, "$.payload")
     ok = (F.get_json_object(schema, "$.type") == "struct") & F.ltrim(payload).startswith("{")
-    return F.when(ok, schema)
+    return cut.withColumns({
+        "head": F.when(F.col("plain"), head).when(ok, F.concat(F.lit(OPEN), schema)),
+        "payload": F.when(F.col("plain"), F.substring(rest, F.lit(1), F.length(rest) - 1)).when(ok, payload),
+    }).drop("rest", "plain")
+
+
+def schemas(records: DataFrame) -> DataFrame:
+    """For each topic, partition and head (null: none): the first and last offset, the rows, and in `wanted` the
+    schema without blanks if it is a struct's. One row a distinct text, so only these are parsed."""
+    found = envelopes(records).groupBy(*PART, "head").agg(F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"), F.count("*").alias("n"))
+    schema = F.get_json_object(F.concat("head", F.lit("}")), "$.schema")
+    return found.withColumn("wanted", F.when(F.get_json_object(schema, "$.type") == "struct", schema))
 
 
 def reference_schemas(records: DataFrame) -> DataFrame:
-    """For each topic and partition the first usable schema by offset, the last offset and the number of rows."""
-    return records.groupBy(*PART).agg(
-        F.min_by("schema", F.when(F.col("schema").isNotNull(), F.col("offset"))).alias("reference"),
-        F.max("offset").alias("last_offset"), F.count("*").alias("n"),
-    )
+    """For each topic and partition the first usable schema by offset, the last offset, the rows, and by their hashes the heads that
+    say the same as the reference, with their rows."""
+    every = schemas(records)
+    reference = every.groupBy(*PART).agg(F.min_by("wanted", F.when(F.col("wanted").isNotNull(), F.col("first_offset"))).alias("reference"), F.max("last_offset").alias("last_offset"), F.sum("n").alias("n"))
+    same = every.join(reference.select(*PART, "reference"), [*PART]).filter("wanted = reference").groupBy(*PART).agg(F.collect_list(F.xxhash64("head")).alias("heads"), F.sum("n").alias("fit"))
+    return reference.join(same, [*PART], "left").select(*PART, "reference", "last_offset", "n", F.coalesce("heads", F.expr("cast(array() as array<long>)")).alias("heads"), F.coalesce("fit", F.lit(0)).alias("fit"))
 
 
-def split(records: DataFrame, reference: Column) -> tuple[DataFrame, DataFrame]:
-    """Records of the reference schema, and all others: tombstones, values without a schema, other schemas."""
-    good = F.coalesce(F.col("schema") == reference, F.lit(False))
-    return records.filter(good), records.filter(~good)
+def fits(heads: Column) -> Column:
+    """Whether a record with its head is of the wanted schema: others are tombstones, values without a schema, other schemas."""
+    return F.coalesce(F.array_contains(heads, F.xxhash64("head")) & F.col("head").isNotNull(), F.lit(False))
 
 
 def app_id(name: str) -> Column:

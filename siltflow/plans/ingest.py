@@ -12,8 +12,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +26,7 @@ from siltflow.sources.records import decode
 from siltflow.sources.table import Result, TxnTable
 
 STALE_AFTER_S = 40 * 60
+RECORD = ("topic", "partition", "offset", "value")
 DEAD_LETTERS = T.StructType([T.StructField(*f) for f in (("topic", T.StringType()), ("partition", T.IntegerType()), ("offset", T.LongType()), ("value", T.StringType()), ("error", T.StringType()))])
 
 
@@ -74,14 +74,12 @@ class Ingest:
     # a batch
 
     def batch(self, records: DataFrame) -> Outcome:
-        """Ingests records (topic, partition, offset, value). Replays, in whatever cut, add nothing twice."""
-        rows = records.select("topic", "partition", "offset", "value", quality.usable_schema(F.col("value")).alias("schema")).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            return self._batch(rows)
-        finally:
-            rows.unpersist()
+        """Ingests records (topic, partition, offset, value). Replays, in whatever cut, add nothing twice.
 
-    def _batch(self, rows: DataFrame) -> Outcome:
+        records is read once for the schemas and offsets that it has and once for each table and
+        schema, so cache what is costly to make. Rows that come in between the two are left.
+        """
+        rows = records.select("topic", "partition", "offset", "value")
         parts = quality.reference_schemas(rows).collect()  # a row for each topic and partition
         out = Outcome()
         if sum(p.n for p in parts) > self.config.max_buffered > 0:
@@ -108,38 +106,48 @@ class Ingest:
 
     def _flush_schema(self, rows: DataFrame, name: str, reference: str | None, parts: list, out: Outcome) -> None:
         """The partitions of one table whose reference schema is the same, in one commit."""
-        mine = rows.join(F.broadcast(self.spark.createDataFrame([(p.topic, p.partition) for p in parts], "topic string, `partition` int")), ["topic", "partition"])
+        own = self.spark.createDataFrame([(p.topic, p.partition, p.last_offset, p.heads) for p in parts], "topic string, `partition` int, last long, heads array<long>")
+        topics = sorted({p.topic for p in parts})
+        mine = rows.filter(F.col("topic").isin(topics)).join(F.broadcast(own), ["topic", "partition"]).filter("offset <= last").drop("last")
         txns = {f"{self.config.name}:{p.topic}-{p.partition}": p.last_offset for p in parts}
         if reference is None:
             self._dead(mine, "no record of the partition has a usable schema", txns, name, out)
             return
-        good, poison = quality.split(mine, F.lit(reference))
         try:
             schema = spark_schema(reference)
-            parsed = decode(good, schema).persist(StorageLevel.MEMORY_AND_DISK)
+            parsed = decode(quality.envelopes(mine), schema).withColumn("ok", F.col("ok") & quality.fits(F.col("heads")))
         except SchemaError as error:
             self._dead(mine, redact_error(error), txns, name, out)
             return
+        set_aside = lambda: self._dead(parsed.filter("not ok").select(*RECORD), "not a record of the partition's schema", txns, name, out)
         try:
-            bad = parsed.filter("not ok").select("topic", "partition", "offset", "value")
-            self._dead(poison.select("topic", "partition", "offset", "value").unionAll(bad), "not a record of the partition's schema", txns, name, out)
-            fit = parsed.filter("ok").select("topic", "partition", "offset", "record")
             table = self.table(name)
-            if table.exists() and self.config.schema_evolution is not Evolution.NONE:
+            exists = table.exists()
+            if exists and self.config.schema_evolution is not Evolution.NONE:
                 change = diff(table.snapshot().schema, schema, self.config.schema_evolution is Evolution.MERGE)
                 if change.breaking:
-                    self._dead(parsed.filter("ok").select("topic", "partition", "offset", "value"), f"schema change: {change.breaking}", txns, f"{name}/schema", out)
+                    set_aside()
+                    self._dead(parsed.filter("ok").select(*RECORD), f"schema change: {change.breaking}", txns, f"{name}/schema", out)
                     return
                 if change.changed:
                     table.add_columns(list(change.added))
-            elif not table.exists() and not self.config.auto_create_tables:
+            elif not exists and not self.config.auto_create_tables:
                 raise RoutingError(f"there is no table {name}, and auto_create_tables is off")
-            values = fit.select("topic", "partition", "offset", *(F.col("record")[f.name].alias(f"v{i}") for i, f in enumerate(schema)))
+            if any(p.fit < p.n for p in parts) and not self.config.dead_letters:
+                set_aside()
+            seen = Observation()
+            counted = parsed.select("topic", "partition", "offset", "ok", *(F.col("record")[f.name].alias(f"v{i}") for i, f in enumerate(schema))).observe(seen, F.count_if(~F.col("ok")).alias("bad"))
+            values = counted.filter("ok")
             fresh = lambda df, applied: quality.not_applied(df, applied, self.config.name)
             named = lambda df: df.select(*(F.col(f"v{i}").alias(f.name) for i, f in enumerate(schema)))
-            applied = table.snapshot().txns if table.exists() else {}
+            applied = table.snapshot().txns if exists else {}
             known = {k: applied[k] for k in txns if k in applied}
-            result = table.append(named(fresh(values, known)), txns, fresh=_same_base(named, fresh, values, known), partition_columns=list(self.config.partition_columns), schema=schema)
+
+            def written() -> None:  # what can't be used is set aside before the rest is committed
+                if seen.get["bad"]:
+                    set_aside()
+
+            result = table.append(named(fresh(values, known)), txns, fresh=_same_base(named, fresh, values, known), partition_columns=list(self.config.partition_columns), schema=schema, written=written)
             with self._lock:
                 out.tables.setdefault(name, []).append(result)
             if result.applied:
@@ -152,9 +160,8 @@ class Ingest:
                 raise RuntimeError(f"table {name}: {redact_error(error)}") from None
             with self._lock:
                 out.errors.append(redact_error(error))
-            self._dead(parsed.filter("ok").select("topic", "partition", "offset", "value"), redact_error(error), txns, f"{name}/write", out)
-        finally:
-            parsed.unpersist()
+            set_aside()
+            self._dead(parsed.filter("ok").select(*RECORD), redact_error(error), txns, f"{name}/write", out)
 
     def _dead(self, records: DataFrame, error: str, txns: dict[str, int], kind: str, out: Outcome) -> None:
         """Sets records aside, once however often they are replayed; without dead letters they end the batch."""

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from siltflow.functions.convert import json_schema, of_json, to_json_value
 from siltflow.functions.types import wire_schema
+from siltflow.operators.quality import envelopes
 
 
 def _complete(col: Column, schema: T.StructType) -> Column:
@@ -24,11 +25,13 @@ def _complete(col: Column, schema: T.StructType) -> Column:
 
 
 def decode(records: DataFrame, schema: T.StructType) -> DataFrame:
-    """Adds record (a struct of schema) and ok (it parsed, and has what is required)."""
+    """Adds record (a struct of schema) and ok (it parsed, and has what is required), from payload or else from value."""
     shape = json_schema(schema)
     corrupt = "__corrupt"
-    parsed = F.from_json(F.get_json_object("value", "$.payload"), T.StructType([*shape.fields, T.StructField(corrupt, T.StringType())]), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
-    rows = records.withColumn("__parsed", parsed)
+    if "payload" not in records.columns:
+        records = envelopes(records).drop("head")
+    parsed = F.from_json("payload", T.StructType([*shape.fields, T.StructField(corrupt, T.StringType())]), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    rows = records.withColumn("__parsed", parsed).drop("payload")
     rows = rows.withColumn("record", of_json(F.col("__parsed"), schema))
     ok = F.coalesce(F.col("__parsed")[corrupt].isNull() & _complete(F.col("record"), schema), F.lit(False))
     return rows.withColumn("ok", ok).drop("__parsed")

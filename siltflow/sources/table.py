@@ -233,11 +233,12 @@ class TxnTable:
         info = {"timestamp": int(time.time() * 1000), "operation": operation, "isBlindAppend": mode == "Append", "operationMetrics": {"numOutputRows": str(rows), "numFiles": str(files), "numOutputBytes": str(size)}}
         return {"commitInfo": info | ({"operationParameters": {"mode": mode}} if mode else {})}
 
-    def append(self, df: DataFrame, txns: dict[str, int] | None = None, fresh: Callable[[DataFrame, dict[str, int]], DataFrame] | None = None, partition_columns: list[str] | None = None, schema: T.StructType | None = None) -> Result:
+    def append(self, df: DataFrame, txns: dict[str, int] | None = None, fresh: Callable[[DataFrame, dict[str, int]], DataFrame] | None = None, partition_columns: list[str] | None = None, schema: T.StructType | None = None, written: Callable[[], None] | None = None) -> Result:
         """Adds df's rows in one commit that stamps txns; makes the table if there is none.
 
         Rows already applied are left out: without fresh, the append is skipped as a whole if every
         stamp is applied; fresh(df, applied versions) filters rows where stamps cover them in part.
+        written: called once the files are there, before they are committed.
         """
         txns = dict(txns or {})
         schema = schema or df.schema
@@ -256,6 +257,8 @@ class TxnTable:
                 missing = [f for f in own if f.name not in schema.names]
                 rows = rows.withColumns({f.name: F.lit(None).cast(relaxed(f.dataType)) for f in missing}) if missing else rows
                 wrote.update(key=key, files=self._write_files(rows, own, s.partition_columns if s.version >= 0 else partition_columns or []))
+                if written:
+                    written()
             adds, n, size = wrote["files"]
             head = [] if s.version >= 0 else [{"protocol": {"minReaderVersion": 1, "minWriterVersion": 1}}, self._meta(schema, partition_columns or [])]
             stamps = [{"txn": {"appId": k, "version": v}} for k, v in sorted(txns.items()) if s.txns.get(k, -1) < v]
