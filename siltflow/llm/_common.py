@@ -28,9 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder that spark.checkpoint.dir names; a folder of our own only where it is unset."""
+    """The shared folder that spark.checkpoint.dir names; where it is unset one of our own, but on a single machine only."""
     base, app = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.applicationId
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         if app not in _OWN_DIRS:
             _OWN_DIRS[app] = tempfile.mkdtemp(prefix="siltflow-")
         base = f"file://{_OWN_DIRS[app]}"

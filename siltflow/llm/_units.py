@@ -11,6 +11,7 @@ given to the library whole.
 from __future__ import annotations
 
 import base64
+import json
 import os
 import re
 from collections.abc import Callable
@@ -67,6 +68,18 @@ def vocabulary_path(name: str) -> str:
     return name if "/" in name else public_tokenizers.path(name)
 
 
+def splits_at_spaces(name: str) -> bool:
+    """Whether a vocabulary file's pre-tokenizer never lets a pre-token cross the place before a space: byte level with
+    the usual pattern, no normaliser, and no special string but SPECIAL."""
+    if not name.endswith(".json"):
+        return False
+    with open(vocabulary_path(name), encoding="utf-8") as f:
+        own = json.load(f)
+    before = own.get("pre_tokenizer") or {}
+    usual = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+    return bool(usual and own.get("normalizer") is None and {t["content"] for t in own.get("added_tokens") or []} <= {SPECIAL})
+
+
 def load_tokenizer(name: str):
     """The library's tokenizer for a vocabulary file (.json or .model)."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")

@@ -15,8 +15,9 @@ Retrieved pairs are verified on the exact words: of an item's distinct five-word
 least `overlap` must stand in the window. Question (all but the last sentence) and answer (the
 last sentence) must both be there: at least half of the distinct words of each.
 
-The index is read from the item table in slices of at most `slice_items` items, each broadcast
-and run against all documents, so its size in memory is bounded whatever the table's size.
+The index is read from the item table in slices of about `slice_items` items or SLICE_LETTERS
+characters, each broadcast and run against all documents, so its size in memory is bounded whatever the
+table's size. Frequencies and lengths are always those of the whole table.
 
 Null or empty texts of documents have no passages. Items without five words are matched as a
 whole run of words; items without words (null texts too) are never found. Repeated rows and
@@ -28,19 +29,23 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltflow.llm._common import arrow_map, table
+from siltflow.llm._common import arrow_map, cut, table
 
 SHINGLE = 5
 OVERLAP = 0.8
 RECALL_AT = 0.6
 BLOCK = 8
 SLICE_ITEMS = 20_000
+SLICE_LETTERS = 50_000_000
+#: Index entries that are looked at together.
+ENTRIES = 1 << 20
 K1, B = 1.2, 0.75
 _WORD = re.compile(r"[^\W_]+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -54,10 +59,20 @@ def _shingles(words: list[str], k: int = SHINGLE) -> set[tuple]:
     return set(zip(*(words[i:] for i in range(k)), strict=False)) if len(words) >= k else {tuple(words)} if words else set()
 
 
+@dataclass(frozen=True)
+class Corpus:
+    """Figures of all items: how many have words, their mean and greatest length in words, and in how many a term stands."""
+
+    n: int
+    mean: float
+    longest: int
+    df: dict[str, int]
+
+
 class Index:
     """An inverted index of test items with block maxima."""
 
-    def __init__(self, items: list[tuple[int, str]], recall_at: float = RECALL_AT, block: int = BLOCK):
+    def __init__(self, items: list[tuple[int, str]], recall_at: float = RECALL_AT, block: int = BLOCK, corpus: Corpus | None = None):
         self.ids, self.words, self.parts, self.shingles = [], [], [], []
         for i, text in items:
             w = words_of(text or "")
@@ -69,12 +84,13 @@ class Index:
             self.parts.append([p for p in ({x for s in question for x in s}, set(answer)) if p])
             self.shingles.append(_shingles(w))
         n = len(self.ids)
-        self.longest = max(map(len, self.words), default=0)
         tf = [Counter(w) for w in self.words]
         df = Counter(t for c in tf for t in c)
-        mean = sum(map(len, self.words)) / max(n, 1)
+        if corpus is None:  # these are all items
+            corpus = Corpus(n, sum(map(len, self.words)) / max(n, 1), max(map(len, self.words), default=0), df)
+        self.longest, mean = corpus.longest, corpus.mean
         self.term = {t: k for k, t in enumerate(sorted(df))}
-        idf = {t: math.log(1 + (n - d + 0.5) / (d + 0.5)) for t, d in df.items()}
+        idf = {t: math.log(1 + (corpus.n - corpus.df[t] + 0.5) / (corpus.df[t] + 0.5)) for t in df}
         weights: list[dict[int, float]] = []
         for d, c in enumerate(tf):
             norm = K1 * (1 - B + B * len(self.words[d]) / mean)
@@ -128,16 +144,19 @@ class Index:
         return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
 
     def candidates(self, window: np.ndarray, term: np.ndarray) -> list[tuple[int, int]]:
-        """(window, item): all pairs that may be over the items' thresholds. The pairs (window, term) are distinct."""
+        """(window, item): all pairs that may be over the items' thresholds. The pairs (window, term) are distinct and ordered."""
         if not len(term):
             return []
         size = self.start[term + 1] - self.start[term]
+        if size.sum() > ENTRIES and window[0] != window[-1]:  # windows are ordered; a few at a time, so memory is bounded
+            half = np.searchsorted(size.cumsum(), size.sum() / 2)
+            at = np.searchsorted(window, window[half], "left") or np.searchsorted(window, window[half], "right")
+            return self.candidates(window[:at], term[:at]) + self.candidates(window[at:], term[at:])
         entry = self._spread(self.start[term], size)
         cell = np.repeat(window, size) * self.blocks + self.at_block[entry]
         # a block whose maxima can't sum to the least need in it is skipped
-        low = int(cell.min()) if len(cell) else 0
-        bound = np.bincount(cell - low, self.best[entry])
-        keep = (bound >= self.block_needs[(np.arange(len(bound)) + low) % self.blocks] - 1e-9)[cell - low] if len(cell) else np.zeros(0, bool)
+        cells, where = np.unique(cell, return_inverse=True)  # only those that occur
+        keep = (np.bincount(where, self.best[entry], len(cells)) >= self.block_needs[cells % self.blocks] - 1e-9)[where]
         if not keep.any():
             return []
         # in the blocks that are left: their postings, and the items that have what they need
@@ -210,20 +229,49 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text).alias("doc_key"), F.col(text).alias("text"))
     rows = items.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text")).filter("text is not null")
-    n = rows.count()
+    n, letters = rows.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    parts = max(1, -(-n // slice_items), -(-letters // SLICE_LETTERS))
+    if parts == 1:
+        return _against(own, [(r.item_id, r.text) for r in rows.collect()], None, kind, overlap, recall_at).withColumnRenamed("id", id_col)
+    # huge item tables: slices of like size, dealt by row so that copies don't gather, all with the figures of the whole table
+    dealt, _ = cut(rows.withColumn("part", F.monotonically_increasing_id() % parts), "items")
+    terms, _ = cut(_terms(dealt), "terms")
+    n, mean, longest = terms.filter("term is null").agg(F.count("*"), F.avg("length"), F.max("length")).first()
+    df = terms.filter("term is not null").groupBy("term").agg(F.count("*").alias("df"))
     out = None
-    for part in range(max(1, -(-n // slice_items))):  # one slice for all but huge item tables
-        mine = rows if n <= slice_items else rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(-(-n // slice_items))) == part)
-        found = _against(own, [(r.item_id, r.text) for r in mine.collect()], kind, overlap, recall_at)
+    for part in range(parts):
+        mine = [(r.item_id, r.text) for r in dealt.filter(F.col("part") == part).collect()]
+        known = df.join(terms.filter((F.col("part") == part) & F.col("term").isNotNull()).select("term").distinct(), "term").collect()  # a slice's terms
+        found = _against(own, mine, Corpus(n, mean or 0.0, longest or 0, {r.term: r.df for r in known}), kind, overlap, recall_at)
         out = found if out is None else out.unionAll(found)
     return out.withColumnRenamed("id", id_col)
 
 
-def _against(own: DataFrame, items: list[tuple[int, str]], kind: str, overlap: float, recall_at: float) -> DataFrame:
-    shared = own.sparkSession.sparkContext.broadcast(sorted(items, key=lambda x: (x[0] is None, x[0] or 0, x[1])))
+def _terms(items: DataFrame) -> DataFrame:
+    """(part, term, length): the distinct terms of each item, and one row with a null term for each item that has any."""
+
+    def make():
+        def step(parts, texts):
+            out: dict[str, list] = {"part": [], "term": [], "length": []}
+            for p, t in zip(parts, texts, strict=True):
+                if w := words_of(t):
+                    own = [None, *set(w)]
+                    out["part"] += [p] * len(own)
+                    out["term"] += own
+                    out["length"] += [len(w)] * len(own)
+            return out
+
+        return step
+
+    return arrow_map(items.select("part", "text"), make, "part long, term string, length long")
+
+
+def _against(own: DataFrame, items: list[tuple[int, str]], corpus: Corpus | None, kind: str, overlap: float, recall_at: float) -> DataFrame:
+    spark = own.sparkSession
+    shared = spark.sparkContext.broadcast((sorted(items, key=lambda x: (x[0] is None, x[0] or 0, x[1])), corpus))
 
     def make():
-        index = Index(shared.value, recall_at)
+        index = Index(shared.value[0], recall_at, corpus=shared.value[1])
 
         def step(ids, keys, texts):
             got = index.search(texts, overlap)

@@ -22,14 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from siltflow.llm._common import arrow_map, ready, table
+from siltflow.llm._common import arrow_map, cut, discard, ready, table
 
 PROFILE = 400
 DOC_GRAMS = 400
 DOCS_PER_LANG = 400
 MAX_LANGS = 10_000
 SLICE = 1_500_000
-MIN_SCORE = 0.05
+SLACK = 0.65
 UND = "und"
 _END = 0xFFFF
 
@@ -42,7 +42,7 @@ class Grams:
 
     def _codes(self, text: str) -> np.ndarray:
         c = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        return np.where(self.letter[c], (c & 0xFFFF) ^ (c >> 16), 0).astype(np.uint64)
+        return np.where(self.letter[c], np.maximum((c & 0xFFFF) ^ (c >> 16), 1), 0).astype(np.uint64)  # 0: no letter
 
     @staticmethod
     def _keys(c: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -114,8 +114,8 @@ class Grams:
         return doc[keep], gram[keep], rank[keep]
 
 
-def learn(docs: DataFrame, lang: str = "lang", id_col: str = "doc_id", text: str = "text", docs_per_lang: int = DOCS_PER_LANG, profile: int = PROFILE) -> dict[str, list[int]]:
-    """Each language's n-grams by rank, from at most docs_per_lang of the given rows for each."""
+def sample(docs: DataFrame, lang: str = "lang", id_col: str = "doc_id", text: str = "text", docs_per_lang: int = DOCS_PER_LANG) -> DataFrame:
+    """(lang, text) of the docs_per_lang documents of each language whose ids have the smallest hashes."""
     rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(id_col)).alias("h")).filter("lang is not null")
     # the docs_per_lang smallest hashes of each language: only hashes under a bound that some
     # times as many pass are ranked, so the rows that meet don't grow with the input
@@ -128,7 +128,28 @@ def learn(docs: DataFrame, lang: str = "lang", id_col: str = "doc_id", text: str
     low = rows.select("lang", "h").join(small(counts), "lang").filter(share * F.col("n") <= 4 * docs_per_lang + 64)
     ranked = low.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy("h"))).filter(F.col("k") <= docs_per_lang)
     bounds = ranked.groupBy(F.col("lang").alias("l")).agg(F.max("h").alias("most"))
-    sample = rows.join(small(bounds), F.col("lang") == F.col("l")).filter("h <= most and text is not null")
+    return rows.join(small(bounds), F.col("lang") == F.col("l")).filter("h <= most and text is not null").select("lang", "text")
+
+
+def learn(docs: DataFrame, lang: str = "lang", id_col: str = "doc_id", text: str = "text", docs_per_lang: int = DOCS_PER_LANG, profile: int = PROFILE) -> dict[str, list[int]]:
+    """Each language's n-grams by rank, from at most docs_per_lang of the given rows for each."""
+    return _profiles(sample(docs, lang, id_col, text, docs_per_lang), profile)
+
+
+def learn_with_limits(docs: DataFrame, lang: str = "lang", id_col: str = "doc_id", text: str = "text", docs_per_lang: int = DOCS_PER_LANG, profile: int = PROFILE) -> tuple[dict[str, list[int]], dict[str, float]]:
+    """The profiles, and for each language the score under which a text isn't taken for it.
+
+    The limit is SLACK times the score that all but a 100th of the language's own sample reach.
+    """
+    chosen, path = cut(sample(docs, lang, id_col, text, docs_per_lang), "sample")
+    profiles = _profiles(chosen, profile)
+    own = predict(chosen, profiles, ["lang"], profile=profile).filter("lang = lang_pred")
+    limits = own.groupBy("lang").agg(F.percentile_approx("score", 0.01, 10_000).alias("low")).collect()  # a row a language
+    discard(docs.sparkSession, path)
+    return profiles, {r.lang: SLACK * r.low for r in limits}
+
+
+def _profiles(chosen: DataFrame, profile: int) -> dict[str, list[int]]:
 
     def make():
         grams = Grams()
@@ -146,7 +167,7 @@ def learn(docs: DataFrame, lang: str = "lang", id_col: str = "doc_id", text: str
 
         return step
 
-    counted = arrow_map(sample.select("lang", "text"), make, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = arrow_map(chosen.select("lang", "text"), make, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     top = counted.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "gram"))).filter(F.col("k") <= profile)
     out: dict[str, list[int]] = {}
     for r in top.orderBy("lang", "k").collect():  # profile rows a language
@@ -201,20 +222,21 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], columns: list[str],
     return out.toDF(*[f.name for f in schema], "lang_pred", "score")
 
 
-def accepted(docs: DataFrame, profiles: dict[str, list[int]], text: str = "text", min_score: float = MIN_SCORE, profile: int = PROFILE, doc_grams: int = DOC_GRAMS) -> DataFrame:
-    """The rows of docs, unchanged, whose text has a language: not `und`, and a score of at least min_score."""
+def accepted(docs: DataFrame, profiles: dict[str, list[int]], limits: dict[str, float] | None = None, text: str = "text", profile: int = PROFILE, doc_grams: int = DOC_GRAMS) -> DataFrame:
+    """The rows of docs, unchanged, whose text has a language: not `und`, and a score of at least that language's limit (0 if it has none)."""
     ready(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(profiles)
     at = docs.columns.index(text)
 
     def run(batches):
         judge = _Judge(shared.value, profile, doc_grams)
+        least = np.array([*((limits or {}).get(x, 0.0) for x in judge.names), 0.0])  # the last for none
         for batch in batches:
             step = max(1, batch.num_rows // max(1, batch.nbytes // 16_000_000 + 1))
             for start in range(0, batch.num_rows, step):
                 part = batch.slice(start, step)
                 lang, score = judge(part.column(at).to_pylist())
-                yield part.filter(pa.array((lang >= 0) & (score >= min_score)))
+                yield part.filter(pa.array((lang >= 0) & (score >= least[lang])))
 
     return docs.mapInArrow(run, docs.schema)
 
