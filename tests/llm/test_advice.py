@@ -102,3 +102,36 @@ def test_terms_by_brute_force(spark):
     sure = {w for w, v in brute_terms(rows, generalise_at=pii.GENERALISE_AT + 0.02, alpha=pii.ALPHA / 2).items()}
     loose = {w for w, v in brute_terms(rows, generalise_at=pii.GENERALISE_AT - 0.02, alpha=2 * pii.ALPHA).items()}
     assert want and sure <= set(got) <= loose and all(abs(got[w] - want[w]) < 0.02 for w in set(got) & set(want))
+
+
+def test_variable_words_in_short_and_long_lines(spark):
+    rng = random.Random(6)
+    name = lambda: _prose(rng, 1)
+    own = lambda k: f"{_prose(rng, 30)}\n{_prose(rng, 25)}"
+    rows = [(k, f"{own(k)}\nPosted by {name()} in news and {name()} today\nShare this story on Facebook with {name()} and also follow {name()}") for k in range(12)]
+    rows += [(100 + k, f"{own(k)}\nPage {k} of {k + 40} pages\nPosted by {name()} in {('Sports', 'News', 'Arts')[k % 3]}") for k in range(100)]
+    out = {r.doc_id: r.text for r in line_templates.drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(out[k].count("\n") == 1 and "Posted" not in out[k] and "Share" not in out[k] for k in range(12))
+    assert all(out[100 + k].count("\n") == 1 and "pages" not in out[100 + k] and "Posted" not in out[100 + k] for k in range(100))
+
+
+def test_boilerplate_that_outweighs_the_text(spark):
+    rng = random.Random(7)
+    passage, licence = _prose(rng, 60), "All of this page is under the licence that its publisher states on the first page of the site"
+    rows = [(k, f"{_prose(rng, 40)}\n{passage}") for k in range(200)] + [(300 + k, f"{_prose(rng, 8)}\n{licence}") for k in range(20)]
+    out = {r.doc_id: r.text for r in line_templates.drop_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all("\n" not in t and t for t in out.values())
+
+
+def test_near_copies_survive(spark):
+    rng = random.Random(8)
+    original = [_prose(rng, 25).split() for _ in range(6)]
+    rows = [(999, "\n".join(map(" ".join, original)))]
+    for k in range(60):  # a word or two are changed in each copy
+        lines = [list(x) for x in original]
+        for _ in range(2):
+            lines[rng.randrange(6)][rng.randrange(25)] = _prose(rng, 1)
+        rows.append((k, "\n".join(map(" ".join, lines))))
+    rows += [(2000 + k, f"{_prose(rng, 30)}\n{_prose(rng, 30)}") for k in range(20)]
+    out = line_templates.drop_lines(spark.createDataFrame(rows, "doc_id long, text string"), report=True)
+    assert out.filter("__dropped is not null").count() == 0

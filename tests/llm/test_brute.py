@@ -188,28 +188,64 @@ def test_escapes(spark):
 
 def brute_lines(rows):
     """{doc: positions}, by the definition, from (doc, text) of distinct documents."""
-    keys = {d: [(p, len(x.split()), line_templates.template_keys(x)) for p, x in enumerate(t.split("\n"))] for d, t in rows}
-    having = collections.defaultdict(set)
-    for d, own in keys.items():
-        for _, _, k in own:
-            if k:
-                having[k[0]].add(d)
-    original = set()
-    for d, own in keys.items():
-        total = sum(n for _, n, k in own if k)
-        if sum(n for _, n, k in own if k and len(having[k[0]]) > 1) <= 0.5 * total:
-            original.add(d)
-    docs_of = collections.defaultdict(set)
-    for d in original:
-        for _, _, k in keys[d]:
-            for x in k:
-                docs_of[x].add(d)
-    recurs = lambda k: len(docs_of[k]) >= (2 if k & 3 == line_templates.EXACT_LONG else 3)
-    return {d: sorted(p for p, _, k in own if any(map(recurs, k))) for d, own in keys.items()}
+    V = line_templates.VARIABLE
+    lines, exact, leaves = {}, collections.defaultdict(list), collections.defaultdict(list)
+    for d, t in rows:
+        for p, line in enumerate(t.split("\n")):
+            raw = line.split()
+            n = len(raw)
+            if not n:
+                continue
+            masked = [V if re.search(r"\d", x) else x for x in raw]
+            fixed = sum(x != V for x in masked)
+            tokens = masked if fixed else raw
+            lines[d, p] = n
+            if fixed >= 4:
+                exact["long" if n >= 20 else "exact", *tokens].append((d, p))
+            else:
+                if fixed and n >= 4:
+                    exact["exact", *raw].append((d, p))
+                exact["short", *tokens].append((d, p))
+            if n >= 5 and fixed:
+                for k in range(3):
+                    part = tuple(tokens[2 + (n - 2) * k // 3 : 2 + (n - 2) * (k + 1) // 3])
+                    if sum(x != V for x in (*tokens[:2], *part)) >= (4 if n >= 10 else 3):
+                        leaves[n, tokens[0], tokens[1], k, part].append((d, p, tokens))
+    docs_in = lambda own: {x[0] for x in own}
+    shared = {(d, p) for own in exact.values() if len(docs_in(own)) > 1 for d, p in own}
+    shared |= {(d, p) for key, own in leaves.items() if key[0] >= 10 and len(docs_in(own)) > 1 for d, p, _ in own}
+    copies = set()
+    for d in {d for d, _ in shared}:
+        mine = {p: n for (e, p), n in lines.items() if e == d}
+        if max(mine.values()) >= 4:
+            mine = {p: n if n >= 4 else 0 for p, n in mine.items()}
+        if sum(n for p, n in mine.items() if (d, p) not in shared) < 0.2 * sum(mine.values()):
+            copies.add(d)
+    count = lambda docs: len(docs - copies) + bool(docs & copies)
+    usual = sorted(c for key, own in exact.items() if key[0] != "short" and len(docs_in(own)) > 1 and (c := count(docs_in(own))) >= 3)
+    many = max(30, usual[(len(usual) + 1) // 2 - 1] if usual else 0)
+    gone = {x for key, own in exact.items() if len(docs_in(own)) > 1 and count(docs_in(own)) >= {"long": 2, "exact": 3, "short": many}[key[0]] for x in own}
+    for (n, *_), own in leaves.items():
+        if count(docs_in(own)) < 3:
+            continue
+        at = collections.defaultdict(set)
+        for d, _, tokens in own:
+            for x in enumerate(tokens):
+                at[x].add(d)
+        merged = collections.defaultdict(list)
+        for d, p, tokens in own:
+            merged[tuple(x for x in enumerate(tokens) if x[1] != V and count(at[x]) >= 3)].append((d, p))
+        for template, mine in merged.items():
+            if 2 * len(template) >= n and count(docs_in(mine)) >= (3 if len(template) >= 6 else many):
+                gone |= set(mine)
+    out = {d: [] for d, _ in rows}
+    for d, p in sorted(gone):
+        out[d].append(p)
+    return out
 
 
 def test_line_query(spark, texts):
-    want = brute_lines(texts.items())
+    want = brute_lines(list(texts.items()))
     got = {r.doc_id: r for r in run(spark, "op4_line_dedup")}
     for d, t in texts.items():
         left = "\n".join(x for p, x in enumerate(t.split("\n")) if p not in set(want[d]))
@@ -533,7 +569,7 @@ def test_pipeline(spark, texts):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     kept = {r.doc_id: r.text for r in corpus_pipeline.language_id(spark, docs, SF).collect()}
     assert kept == {d: t for d, t in texts.items() if re.search(r"[^\W\d_]", t)}
-    gone = brute_lines(kept.items())
+    gone = brute_lines(list(kept.items()))
     kept = {d: "\n".join(x for p, x in enumerate(t.split("\n")) if p not in set(gone[d])) for d, t in kept.items()}
     group = plain_components({d: plain_fingerprint(t) for d, t in kept.items()})
     kept = {d: t for d, t in kept.items() if group[d] == d}
