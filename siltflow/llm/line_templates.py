@@ -6,7 +6,8 @@ lines whose variable fields leave one of their thirds alone meet in a leaf. Toke
 are variable fields from the start. In each leaf lines are merged by position: a token that
 stands at its place in at least `min_docs` documents of the leaf is constant, any other is a
 variable field. A line's template is what is left constant; at least half of the line must be.
-Besides, each line has the exact template of all its tokens.
+First, though, each line has the exact template of all its tokens; leaves merge the lines that
+recurring exact templates leave.
 
 A template recurs if it stands in at least `min_docs` documents (two are enough for an exact
 template of `long_tokens` or more). Templates with few fixed tokens, under MIN_TOKENS of an exact
@@ -46,9 +47,10 @@ LONG_TOKENS = 20
 MIN_DOCS = 3
 SHORT_TIMES = 10
 OWN_SHARE = 0.2
-BROADCAST_KEYS = 1_000_000
+BROADCAST_KEYS = 200_000
 HOT_KEYS = 10_000
 VARIABLE = "<*>"
+_DIGIT = re.compile(r"\d")
 _FIELD = re.compile(r"\S*\d\S*")
 #: The kind of a key is kept in its three low bits.
 EXACT_LONG, EXACT, SHORT, LEAF, SHORT_LEAF = range(5)
@@ -66,7 +68,7 @@ def parse_line(line: str) -> tuple[list[str], list[int]]:
     if not n:
         return raw, []
     tokens, fixed = raw, n
-    if any(map(str.isdigit, line)):
+    if _DIGIT.search(line):
         tokens = [VARIABLE if _FIELD.fullmatch(t) else t for t in raw]
         fixed = n - tokens.count(VARIABLE)
         if not fixed:
@@ -160,18 +162,21 @@ def recurring_lines(lines: DataFrame, min_docs: int = MIN_DOCS, own_share: float
     shared = met.filter(kind != SHORT_LEAF).select("doc", "pos", "n").distinct().groupBy("doc").agg(F.sum("n").alias("shared"))
     total = lines.select("doc", "n").groupBy("doc").agg(F.sum("n").alias("total"))
     copies = stored(shared.join(total, "doc").filter(F.col("total") - F.col("shared") < own_share * F.col("total")).select("doc", F.lit(1).alias("copy")), "copies")
-    counted = stored(_counted(met, copies).filter(F.col("docs") >= min(2, min_docs)), "counted")
-    exact = counted.filter(kind < SHORT)
-    usual = exact.filter(F.col("docs") >= min_docs).agg(F.percentile_approx("docs", 0.5)).first()[0]
+    exact = stored(_counted(met.filter(kind <= SHORT), copies).filter(F.col("docs") >= min(2, min_docs)), "exact")
+    usual = exact.filter((kind < SHORT) & (F.col("docs") >= min_docs)).agg(F.percentile_approx("docs", 0.5)).first()[0]
     many = max(short_times * min_docs, usual or 0)
     recurs = F.when(kind == EXACT_LONG, min(2, min_docs)).when(kind == EXACT, min_docs).when(kind == SHORT, many)
-    gone = _few_or_joined(met.select("doc", "pos", "key"), stored(counted.filter(F.col("docs") >= recurs), "templates"), most).select("doc", "pos")
-    # leaves of several documents: constants by position, and the templates that they leave
-    leaves = stored(counted.filter((kind >= LEAF) & (F.col("docs") >= min_docs)), "leaves")
+    gone = stored(_few_or_joined(met.filter(kind <= SHORT).select("doc", "pos", "key"), stored(exact.filter(F.col("docs") >= recurs), "templates"), most).select("doc", "pos").distinct(), "exact-gone")
+    # leaves of the lines that are left, with several documents: constants by position, and the templates that they leave
+    left = met.filter(kind > SHORT).join(gone, ["doc", "pos"], "left_anti")
+    enough = F.when(F.max("n") > MIN_FIXED, min_docs).otherwise(many)  # of so few tokens a merged template has under MIN_FIXED
+    leaves = _counted(left, copies).join(left.groupBy("key").agg(enough.alias("enough")), "key").filter(F.col("docs") >= F.col("enough"))
+    leaves = stored(leaves.select("key", "docs"), "leaves")
     leafy = lines.filter("tokens is not null").select("doc", "pos", "tokens", F.explode("keys").alias("key"))
     words = F.split("tokens", " ")
-    inside = stored(_few_or_joined(leafy.filter(kind >= LEAF), leaves, most).select("doc", "pos", F.col("key").alias("leaf"), F.size(words).alias("n"), F.posexplode(words).alias("at", "token")).filter(F.col("token") != VARIABLE)
-        .select("doc", "pos", "leaf", "n", "at", F.xxhash64("token").alias("token"), F.xxhash64("leaf", "at", "token").alias("key")), "inside")
+    leafy = _few_or_joined(leafy.filter(kind >= LEAF), leaves, most).join(gone, ["doc", "pos"], "left_anti")
+    inside = leafy.select("doc", "pos", F.col("key").alias("leaf"), F.size(words).alias("n"), F.posexplode(words).alias("at", "token")).filter(F.col("token") != VARIABLE)
+    inside = stored(inside.select("doc", "pos", "leaf", "n", "at", F.xxhash64("token").alias("token"), F.xxhash64("leaf", "at", "token").alias("key")), "inside")
     constant = stored(_counted(inside, copies).filter(F.col("docs") >= min_docs), "constant")
     fixed = F.sort_array(F.collect_list(F.struct("at", "token")))
     merged = _few_or_joined(inside, constant, most).groupBy("doc", "pos", "leaf", "n").agg(fixed.alias("fixed"))
@@ -194,7 +199,7 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_
     lines, path = cut(line_keys(docs, id_col, text), "lines")
     gone = recurring_lines(lines, min_docs, own_share).select(F.col("doc").alias("__gone"), F.col("dropped").alias("__dropped"))
     discard(docs.sparkSession, path)
-    joined = docs.withColumn("__doc", F.xxhash64(id_col, text)).join(gone, F.col("__doc") == F.col("__gone"), "left")
+    joined = docs.withColumn("__doc", F.xxhash64(id_col, text)).join(gone.hint("shuffle_hash"), F.col("__doc") == F.col("__gone"), "left")
     parts = F.split(F.col(text), "\n", -1)
     left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__dropped"))
     joined = joined.withColumn("__parts", F.when(F.col("__dropped").isNotNull(), parts))
@@ -244,15 +249,19 @@ WITH l AS (
   SELECT w.doc_id FROM weights w LEFT JOIN (SELECT DISTINCT doc_id, pos, 1 AS hit FROM met WHERE kind <> 'short leaf') m USING (doc_id, pos)
   GROUP BY w.doc_id HAVING count(hit) > 0 AND sum(w) - coalesce(sum(w) FILTER (hit = 1), 0) < {OWN_SHARE} * sum(w)
 ), counted AS (
-  SELECT kind, key, count(DISTINCT m.doc_id) FILTER (c.doc_id IS NULL) + max(CASE WHEN c.doc_id IS NULL THEN 0 ELSE 1 END) AS docs FROM met m LEFT JOIN copies c USING (doc_id) GROUP BY kind, key
+  SELECT kind, key, count(DISTINCT m.doc_id) FILTER (c.doc_id IS NULL) + max(CASE WHEN c.doc_id IS NULL THEN 0 ELSE 1 END) AS docs FROM met m LEFT JOIN copies c USING (doc_id)
+  WHERE kind IN ('long', 'exact', 'short') GROUP BY kind, key
 ), many AS (
   SELECT greatest({SHORT_TIMES * MIN_DOCS}, coalesce(quantile_disc(docs, 0.5), 0)) AS bar FROM counted WHERE kind IN ('long', 'exact') AND docs >= {MIN_DOCS}
 ), exact_gone AS (
   SELECT doc_id, pos FROM met JOIN counted USING (kind, key), many WHERE docs >= CASE kind WHEN 'long' THEN 2 WHEN 'exact' THEN {MIN_DOCS} WHEN 'short' THEN bar END
+), left_rows AS (
+  SELECT * FROM leaf_rows ANTI JOIN exact_gone USING (doc_id, pos)
 ), leaves AS (
-  SELECT key FROM counted WHERE kind IN ('leaf', 'short leaf') AND docs >= {MIN_DOCS}
+  SELECT key FROM left_rows m LEFT JOIN copies c USING (doc_id), many GROUP BY key, bar
+  HAVING count(DISTINCT m.doc_id) FILTER (c.doc_id IS NULL) + max(CASE WHEN c.doc_id IS NULL THEN 0 ELSE 1 END) >= CASE WHEN max(n) > {MIN_FIXED} THEN {MIN_DOCS} ELSE bar END
 ), inside AS (
-  SELECT doc_id, pos, key, n, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS place FROM leaf_rows SEMI JOIN leaves USING (key)
+  SELECT doc_id, pos, key, n, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS place FROM left_rows SEMI JOIN leaves USING (key)
 ), constant AS (
   SELECT key, place, token FROM inside LEFT JOIN copies c USING (doc_id) WHERE token <> '{VARIABLE}' GROUP BY key, place, token
   HAVING count(DISTINCT inside.doc_id) FILTER (c.doc_id IS NULL) + max(CASE WHEN c.doc_id IS NULL THEN 0 ELSE 1 END) >= {MIN_DOCS}

@@ -225,9 +225,9 @@ def brute_lines(rows):
     usual = sorted(c for key, own in exact.items() if key[0] != "short" and len(docs_in(own)) > 1 and (c := count(docs_in(own))) >= 3)
     many = max(30, usual[(len(usual) + 1) // 2 - 1] if usual else 0)
     gone = {x for key, own in exact.items() if len(docs_in(own)) > 1 and count(docs_in(own)) >= {"long": 2, "exact": 3, "short": many}[key[0]] for x in own}
+    before = set(gone)
     for (n, *_), own in leaves.items():
-        if count(docs_in(own)) < 3:
-            continue
+        own = [x for x in own if x[:2] not in before]
         at = collections.defaultdict(set)
         for d, _, tokens in own:
             for x in enumerate(tokens):
