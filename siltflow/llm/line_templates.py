@@ -172,10 +172,10 @@ def recurring_lines(lines: DataFrame, min_docs: int = MIN_DOCS, own_share: float
     enough = F.when(F.max("n") > MIN_FIXED, min_docs).otherwise(many)  # of so few tokens a merged template has under MIN_FIXED
     leaves = _counted(left, copies).join(left.groupBy("key").agg(enough.alias("enough")), "key").filter(F.col("docs") >= F.col("enough"))
     leaves = stored(leaves.select("key", "docs"), "leaves")
-    leafy = lines.filter("tokens is not null").select("doc", "pos", "tokens", F.explode("keys").alias("key"))
+    leafy = lines.filter("tokens is not null").select("doc", "pos", "n", "tokens", F.explode("keys").alias("key"))
     words = F.split("tokens", " ")
     leafy = _few_or_joined(leafy.filter(kind >= LEAF), leaves, most).join(gone, ["doc", "pos"], "left_anti")
-    inside = leafy.select("doc", "pos", F.col("key").alias("leaf"), F.size(words).alias("n"), F.posexplode(words).alias("at", "token")).filter(F.col("token") != VARIABLE)
+    inside = leafy.select("doc", "pos", F.col("key").alias("leaf"), "n", F.posexplode(words).alias("at", "token")).filter(F.col("token") != VARIABLE)
     inside = stored(inside.select("doc", "pos", "leaf", "n", "at", F.xxhash64("token").alias("token"), F.xxhash64("leaf", "at", "token").alias("key")), "inside")
     constant = stored(_counted(inside, copies).filter(F.col("docs") >= min_docs), "constant")
     fixed = F.sort_array(F.collect_list(F.struct("at", "token")))
@@ -200,11 +200,13 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_
     gone = recurring_lines(lines, min_docs, own_share).select(F.col("doc").alias("__gone"), F.col("dropped").alias("__dropped"))
     discard(docs.sparkSession, path)
     joined = docs.withColumn("__doc", F.xxhash64(id_col, text)).join(gone.hint("shuffle_hash"), F.col("__doc") == F.col("__gone"), "left")
-    parts = F.split(F.col(text), "\n", -1)
-    left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__dropped"))
-    joined = joined.withColumn("__parts", F.when(F.col("__dropped").isNotNull(), parts))
-    kept = F.array_join(F.transform(left, lambda i: F.element_at("__parts", i + 1)), "\n")
-    joined = joined.withColumn(text, F.when(F.col("__dropped").isNotNull(), kept).otherwise(F.col(text)))
+
+    def kept(parts):  # parts is bound once
+        left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__dropped"))
+        return F.array_join(F.transform(left, lambda i: F.element_at(parts, i + 1)), "\n")
+
+    cleaned = F.transform(F.array(F.split(F.col(text), "\n", -1)), kept)[0]
+    joined = joined.withColumn(text, F.when(F.col("__dropped").isNotNull(), cleaned).otherwise(F.col(text)))
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.when(F.col("__dropped").isNotNull(), F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return joined.select(*docs.columns, *(["__dropped"] if report else []))
@@ -213,8 +215,10 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
     """Per document: how many lines went, which, and the digest of the text that is left."""
     out = drop_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), report=True)
-    gone = F.coalesce(F.array_sort("__dropped"), F.expr("cast(array() as array<int>)"))
-    return out.select("doc_id", F.size(gone).cast("long").alias("n_dropped"), F.array_join(gone.cast("array<string>"), ",").alias("dropped_lines"), F.length("text").cast("long").alias("n_chars_left"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+    gone = F.coalesce(F.sort_array("__dropped"), F.expr("cast(array() as array<int>)"))
+    said = F.transform(F.array("text"), lambda t: F.struct(F.length(t).cast("long").alias("n"), F.sha2(F.coalesce(t, F.lit("")), 256).alias("h")))[0]  # the text is made once
+    out = out.select("doc_id", F.size(gone).cast("long").alias("n_dropped"), F.array_join(gone.cast("array<string>"), ",").alias("dropped_lines"), said.alias("said"))
+    return out.select("doc_id", "n_dropped", "dropped_lines", F.col("said.n").alias("n_chars_left"), F.col("said.h").alias("text_sha256"))
 
 
 #: The query in SQL, with texts as keys, for tables whose ids are unique and whose white space is ASCII.
