@@ -3,16 +3,16 @@
 Fingerprints: the majority bit, at each of 64 places, of the XXH64 values of a text's 3-word
 shingles. Equal fingerprints are merged first, so copies cost nothing further on.
 
-Index: its upper nodes are masked bit patterns. Two fingerprints that differ in at most 2 bits
-agree in at least two of their four 16-bit blocks, so each goes to six nodes, one for each pair
-of blocks, and every link is found in some node. A node with more than `split` members is
-factored once more: of the remaining 32 bits' four 8-bit blocks two agree as well, which leaves
-16 free bits, hence at most 65,536 members; no node is cut short. Within a node the members lie
-in Gray-code order, where neighbours share long patterns. They are grouped into leaves and
-branches with the bits that all members share; differences of those bits accumulate on the way
-down, and pairs of groups beyond the limit are left whole. What remains is compared bit by bit.
-A node emits a spanning forest of its links, and components are joined across nodes by
-alternating stars.
+Index: fingerprints are range-sorted by Gray rank, where neighbours share long bit patterns, and
+cut into runs of neighbours. What all members of a run share is its masked pattern; what FAN
+neighbouring runs share is factored out into a node above them, and so on up to the root. Every
+run goes down this tree: differences accumulate from the bits that each level adds, and a node
+beyond the limit is left with all below it. Two fingerprints within the limit differ in no more of
+their runs' shared bits, so the runs that are reached hold all links. Only pairs of such runs meet,
+by joins on the run; in a pair, short stretches are left out by their patterns again and the rest
+is compared bit by bit. The tree has a bounded size (runs grow with the table), so it is broadcast;
+members are never collected. A pair of runs emits a spanning forest of its links, and components
+are joined across pairs by alternating stars.
 
 Null text counts as empty; texts without words have fingerprint zero and are linked like any
 other. A null id takes part but names no component. Repeated rows give repeated rows; an empty
@@ -22,7 +22,6 @@ table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import re
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +35,12 @@ from siltflow.llm.components import components
 
 SEED = 42
 LIMIT = 2
-SPLIT = 4096
+LEAF = 128
+FAN = 16
+#: Runs get longer beyond this many, so that the tree over them stays within a few MB.
+MAX_RUNS = 1 << 17
 _CHUNK = 1 << 22
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
-_PAIRS = list(combinations(range(4), 2))
 
 
 def _word_lists(data: bytes):
@@ -90,60 +91,116 @@ def _gray_rank(fp: Column) -> Column:
     return fp
 
 
-def _block(fp: Column, at: int, bits: int) -> Column:
-    return F.shiftrightunsigned(fp, at).bitwiseAND(F.lit((1 << bits) - 1))
-
-
-def index_nodes(fps: DataFrame, split: int = SPLIT) -> DataFrame:
-    """(node, gray, fp): every distinct fingerprint in each node of the index that it shares with others."""
-    fp = F.col("fp")
-    keys = [F.lit(m << 56).bitwiseOR(F.shiftleft(_block(fp, 16 * i, 16), 32)).bitwiseOR(F.shiftleft(_block(fp, 16 * j, 16), 16)) for m, (i, j) in enumerate(_PAIRS)]
-    upper = fps.select("fp", F.explode(F.array(*keys)).alias("node"))
-    shared = upper.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1")
-    upper = upper.join(shared, "node")
-    lower = []
-    for m, pair in enumerate(_PAIRS):
-        rest = [16 * b + h for b in range(4) if b not in pair for h in (0, 8)]
-        for s, (i, j) in enumerate(_PAIRS):
-            key = F.shiftleft(_block(fp, rest[i], 8), 8).bitwiseOR(_block(fp, rest[j], 8)).bitwiseOR(F.lit((s + 1) << 52))
-            lower.append(F.when(F.shiftright("node", 56) == m, F.col("node").bitwiseOR(key)))
-    by_sub = [F.coalesce(*(lower[6 * m + s] for m in range(6))) for s in range(6)]
-    nodes = F.when(F.col("n") > split, F.array(*by_sub)).otherwise(F.array("node"))
-    return upper.select("fp", F.explode(nodes).alias("node")).withColumn("gray", _gray_rank(fp))
-
-
-def _patterns(x: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of each run of size members: the bits that all share, and their values."""
-    starts = np.arange(0, len(x), size)
-    every, some = np.bitwise_and.reduceat(x, starts), np.bitwise_or.reduceat(x, starts)
-    mask = ~(every ^ some)
-    return mask, every & mask
-
-
-def links_in_node(x: np.ndarray, limit: int = LIMIT, leaf: int = 16, fan: int = 16) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of members (in Gray order) that differ in at most limit bits, by descending pairs of groups."""
-    leaf_mask, leaf_bits = _patterns(x, leaf)
-    top_mask, top_bits = _patterns(x, leaf * fan)
-    left, right = [], []
-    for a in range(len(top_mask)):
-        common = top_mask[a] & top_mask[a:]
-        over = np.bitwise_count((top_bits[a] ^ top_bits[a:]) & common)
-        for b in np.flatnonzero(over <= limit) + a:
-            la = np.arange(a * fan, min((a + 1) * fan, len(leaf_mask)))
-            lb = np.arange(b * fan, min((b + 1) * fan, len(leaf_mask)))
-            both = leaf_mask[la][:, None] & leaf_mask[lb][None, :] & ~common[b - a]
-            more = np.bitwise_count((leaf_bits[la][:, None] ^ leaf_bits[lb][None, :]) & both) + over[b - a]
-            i, j = np.nonzero(more <= limit)
-            for p, q in zip(la[i], lb[j], strict=True):
-                if p <= q:
-                    s, t = x[p * leaf : (p + 1) * leaf], x[q * leaf : (q + 1) * leaf]
-                    k, m = np.nonzero(np.bitwise_count(s[:, None] ^ t[None, :]) <= limit)
-                    k, m = k + p * leaf, m + q * leaf
-                    left.append(k[k < m])
-                    right.append(m[k < m])
-    if not left:
-        return np.zeros(0, int), np.zeros(0, int)
-    return np.concatenate(left), np.concatenate(right)
+def _patterns(mask: np.ndarray, bits: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each run of size nodes: the bits that all share, and their values."""
+    starts = np.arange(0, len(bits), size)
+    every, some = np.bitwise_and.reduceat(bits, starts), np.bitwise_or.reduceat(bits, starts)
+    shared = np.bitwise_and.reduceat(mask, starts) & ~(every ^ some)
+    return shared, every & shared
+
+
+def runs(fps: DataFrame, leaf: int) -> DataFrame:
+    """(run, mask, bits, members): distinct fingerprints range-sorted by Gray rank, in runs of up to leaf neighbours.
+
+    mask has the bits that all members share and bits their values. Runs are numbered in Gray order.
+    """
+    ready(fps.sparkSession)
+    rank = _gray_rank(F.col("fp")).bitwiseXOR(F.lit(-(1 << 63)))  # in the order of unsigned numbers
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = fps.select("fp", rank.alias("rank")).repartitionByRange(parts, "rank").sortWithinPartitions("rank").select("fp")
+    schema = pa.schema([("run", pa.int64()), ("mask", pa.int64()), ("bits", pa.int64()), ("members", pa.list_(pa.int64()))])
+
+    def cut_runs(batches):
+        from pyspark import TaskContext
+
+        first, rest = TaskContext.get().partitionId() << 32, np.zeros(0, np.uint64)
+        for batch in batches:
+            rest = np.concatenate([rest, batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)])
+            if len(rest) >= 64 * leaf:
+                own, rest = rest[: len(rest) // leaf * leaf], rest[len(rest) // leaf * leaf :]
+                yield made(own, first)
+                first += len(own) // leaf
+        if len(rest):
+            yield made(rest, first)
+
+    def made(own: np.ndarray, first: int) -> pa.RecordBatch:
+        mask, bits = _patterns(np.full(len(own), ~np.uint64(0)), own, leaf)
+        at = np.append(np.arange(0, len(own), leaf), len(own)).astype(np.int32)
+        members = pa.ListArray.from_arrays(pa.array(at), pa.array(own.view(np.int64)))
+        return pa.RecordBatch.from_arrays([pa.array(first + np.arange(len(mask))), pa.array(mask.view(np.int64)), pa.array(bits.view(np.int64)), members], schema=schema)
+
+    return ordered.mapInArrow(cut_runs, "run long, mask long, bits long, members array<long>")
+
+
+class Tree:
+    """The upper nodes over runs: level by level, what FAN neighbours share is factored out into their parent."""
+
+    def __init__(self, run: np.ndarray, mask: np.ndarray, bits: np.ndarray, fan: int = FAN):
+        order = np.argsort(run)
+        self.run, self.fan = run[order], fan
+        self.levels = [(mask[order], bits[order])]
+        while len(self.levels[-1][0]) > fan:
+            self.levels.append(_patterns(*self.levels[-1], fan))
+
+    def near(self, mask: np.uint64, bits: np.uint64, limit: int) -> tuple[np.ndarray, int]:
+        """The runs whose shared bits differ from the given ones in at most limit places, and how many nodes were looked at.
+
+        Going down, a node's differences are those of its parent and of the bits that it shares beyond
+        its parent's; a node over the limit is left with all below it.
+        """
+        top = len(self.levels) - 1
+        at, over, known = np.arange(len(self.levels[top][0])), np.int64(0), np.uint64(0)
+        seen = 0
+        for level in range(top, -1, -1):
+            own_mask, own_bits = self.levels[level]
+            seen += len(at)
+            fresh = own_mask[at] & mask & ~known
+            over = over + np.bitwise_count((own_bits[at] ^ bits) & fresh).astype(np.int64)
+            keep = over <= limit
+            at, over = at[keep], over[keep]
+            if level:
+                known = np.repeat(own_mask[at], self.fan)
+                over = np.repeat(over, self.fan)
+                at = (at[:, None] * self.fan + np.arange(self.fan)).ravel()
+                inside = at < len(self.levels[level - 1][0])
+                at, over, known = at[inside], over[inside], known[inside]
+        return self.run[at], seen
+
+
+def run_pairs(groups: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """(a, b), a <= b: the runs that may hold fingerprints within limit bits of each other, by descending the tree."""
+    nodes = groups.select("run", "mask", "bits").toArrow()  # at most MAX_RUNS and one a partition
+    shared = groups.sparkSession.sparkContext.broadcast(tuple(nodes[c].to_numpy().view(np.uint64 if c != "run" else np.int64) for c in ("run", "mask", "bits")))
+
+    def make():
+        tree = Tree(*shared.value)
+
+        def step(run, mask, bits):
+            out = {"a": [], "b": []}
+            for r, m, v in zip(run, np.array(mask, np.int64).view(np.uint64), np.array(bits, np.int64).view(np.uint64), strict=True):
+                found, _ = tree.near(m, v, limit)
+                found = found[found >= r]
+                out["a"].append(np.full(len(found), r))
+                out["b"].append(found)
+            return {k: np.concatenate(v) for k, v in out.items()} if run else None
+
+        return step
+
+    return arrow_map(groups.select("run", "mask", "bits"), make, "a long, b long")
+
+
+def links_between(x: np.ndarray, y: np.ndarray, limit: int, size: int = 16) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of members of two runs within limit bits; short stretches of both are left out by what they share."""
+    x_mask, x_bits = _patterns(np.full(len(x), ~np.uint64(0)), x, size)
+    y_mask, y_bits = _patterns(np.full(len(y), ~np.uint64(0)), y, size)
+    far = np.bitwise_count((x_bits[:, None] ^ y_bits[None, :]) & x_mask[:, None] & y_mask[None, :]) > limit
+    i, j = np.nonzero(~far)
+    if not len(i):
+        return i, j
+    within = np.arange(size)
+    p, q = np.minimum(i[:, None] * size + within, len(x) - 1), np.minimum(j[:, None] * size + within, len(y) - 1)
+    n, k, m = np.nonzero(np.bitwise_count(x[p][:, :, None] ^ y[q][:, None, :]) <= limit)
+    return p[n, k], q[n, m]
 
 
 def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -159,70 +216,46 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _edges(node: np.ndarray, x: np.ndarray, limit: int, small: int = 16) -> tuple[np.ndarray, np.ndarray]:
-    """Links of whole nodes; small ones are compared by shifted copies, all at once."""
-    if not len(x):
-        return x, x
-    new = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
-    sizes = np.diff(np.append(new, len(x)))
-    tiny = np.repeat(sizes <= small, sizes)
-    u, v = [], []
-    for k in range(1, small):
-        at = np.flatnonzero(tiny[:-k] & (node[:-k] == node[k:])) if k < len(x) else []
-        if not len(at):
-            break
-        at = at[np.bitwise_count(x[at] ^ x[at + k]) <= limit]
-        u.append(x[at])
-        v.append(x[at + k])
-    for start, size in zip(new[sizes > small], sizes[sizes > small], strict=True):
-        own = x[start : start + size]
-        i, j = links_in_node(own, limit)
-        label = _forest(size, i, j)
-        at = np.flatnonzero(label != np.arange(size))
-        u.append(own[at])
-        v.append(own[label[at]])
-    return (np.concatenate(u), np.concatenate(v)) if u else (x[:0], x[:0])
-
-
-def links(fps: DataFrame, limit: int = LIMIT, split: int = SPLIT) -> DataFrame:
-    """Edges (u, v) that connect all distinct fingerprints within limit bits (at most 2) of each other."""
-    if limit > 2:
-        raise ValueError("the index's nodes hold all links of at most 2 bits only")
-    ready(fps.sparkSession)
-    nodes = index_nodes(fps, split)
-    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    nodes = nodes.repartition(parts, "node").sortWithinPartitions("node", "gray")
+def links(fps: DataFrame, limit: int = LIMIT, leaf: int = LEAF) -> DataFrame:
+    """Edges (u, v) that connect all distinct fingerprints within limit bits of each other."""
+    groups, _ = cut(runs(fps, max(leaf, -(-fps.count() // MAX_RUNS))), "runs")
+    pairs, _ = cut(run_pairs(groups, limit), "run-pairs")
+    members = lambda x: groups.select(F.col("run").alias(x), F.col("members").alias(f"of_{x}"))
+    met = pairs.join(members("a"), "a").join(members("b"), "b")
 
-    def run(batches):
-        node, x = np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        kind = pa.schema([("u", pa.int64()), ("v", pa.int64())])
-        for batch in batches:
-            node = np.concatenate([node, batch.column(0).to_numpy(zero_copy_only=False)])
-            x = np.concatenate([x, batch.column(1).to_numpy(zero_copy_only=False).astype(np.uint64)])
-            last = np.searchsorted(node, node[-1]) if len(node) else 0  # the last node may go on
-            u, v = _edges(node[:last], x[:last], limit)
-            node, x = node[last:], x[last:]
-            yield pa.RecordBatch.from_arrays([u.astype(np.int64), v.astype(np.int64)], schema=kind)
-        u, v = _edges(node, x, limit)
-        yield pa.RecordBatch.from_arrays([u.astype(np.int64), v.astype(np.int64)], schema=kind)
+    def make():
+        def step(x, y):
+            out = {"u": [np.zeros(0, np.int64)], "v": [np.zeros(0, np.int64)]}
+            for own, other in zip(x, y, strict=True):
+                own, other = np.array(own, np.int64).view(np.uint64), np.array(other, np.int64).view(np.uint64)
+                i, j = links_between(own, other, limit)
+                if len(i):  # a forest of the links says the same
+                    both = np.concatenate([own, other]).view(np.int64)
+                    label = _forest(len(both), i, j + len(own))
+                    at = np.flatnonzero(both != both[label])
+                    out["u"].append(both[at])
+                    out["v"].append(both[label[at]])
+            return {k: np.concatenate(v) for k, v in out.items()}
+
+        return step
 
-    return nodes.select("node", "fp").mapInArrow(run, "u long, v long")
+    return arrow_map(met.select("of_a", "of_b"), make, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", limit: int = LIMIT, split: int = SPLIT) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", limit: int = LIMIT, leaf: int = LEAF) -> DataFrame:
     """id, doc_key (of id and text), fp, root (its group's fingerprint) and component_id (the smallest id of the group) of each document."""
     of, _ = cut(fingerprints(docs, id_col, text), "fingerprints")
     fps, _ = cut(of.groupBy("fp").agg(F.min("id").alias("rep")), "classes")
-    found = components(links(fps.select("fp"), limit, split))
+    found = components(links(fps.select("fp"), limit, leaf))
     rooted = fps.join(found, F.col("fp") == F.col("id"), "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = rooted.join(least, "root").select(F.col("fp").alias("__fp"), "root", "component_id")
     return of.join(named, F.col("fp") == F.col("__fp")).select(F.col("id").alias(id_col), "doc_key", "fp", "root", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", limit: int = LIMIT, split: int = SPLIT) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", limit: int = LIMIT, leaf: int = LEAF) -> DataFrame:
     """docs with one document of each group: that of the smallest id (nulls last)."""
-    groups = near_duplicates(docs, id_col, text, limit, split)
+    groups = near_duplicates(docs, id_col, text, limit, leaf)
     first = groups.groupBy("root").agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "doc_key")).alias("f"))
     keep, _ = cut(first.select(F.col("f.doc_key").alias("__keep")), "kept")
     rows = docs.withColumn("__key", F.xxhash64(id_col, text)).join(keep, F.col("__key") == F.col("__keep"), "left_semi")

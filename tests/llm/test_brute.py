@@ -395,9 +395,9 @@ def test_simhash_query(spark, texts):
     assert {r.doc_id: (r.fingerprint, r.component_id) for r in got} == {d: (f"{fps[d]:016x}", want[d]) for d in texts}
 
 
-@pytest.mark.parametrize("split", [4, 4096])
-def test_links_of_crowded_fingerprints(spark, split):
-    """Chains of near fingerprints in crowded nodes; with a low split the nodes are factored once more."""
+@pytest.mark.parametrize("leaf", [4, 128])
+def test_links_of_crowded_fingerprints(spark, leaf):
+    """Chains of near fingerprints in crowded runs."""
     rng = random.Random(9)
     fps, x = {}, rng.getrandbits(64)
     for k in range(1500):
@@ -408,7 +408,7 @@ def test_links_of_crowded_fingerprints(spark, split):
         fps[k] = base
     signed = [(k, v - (1 << 64) if v >> 63 else v) for k, v in fps.items()]
     df = spark.createDataFrame(signed, "id long, fp long")
-    edges = simhash.links(df.select("fp").distinct(), split=split)
+    edges = simhash.links(df.select("fp").distinct(), leaf=leaf)
     root = {r.id: r.root for r in components(edges).collect()}
     groups = collections.defaultdict(set)
     for k, v in signed:
@@ -419,16 +419,53 @@ def test_links_of_crowded_fingerprints(spark, split):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
 
 
-def test_links_in_node():
-    rng = np.random.default_rng(4)
-    x = np.unique(np.uint64(rng.integers(1 << 62)) ^ rng.integers(0, 1 << 12, 700).astype(np.uint64))
+def in_gray_order(x):
     gray = x.copy()
     for k in (1, 2, 4, 8, 16, 32):
         gray ^= gray >> np.uint64(k)
-    x = x[np.argsort(gray)]
-    i, j = simhash.links_in_node(x)
-    a, b = np.nonzero(np.triu(np.bitwise_count(x[:, None] ^ x[None, :]) <= 2, 1))
-    assert sorted(zip(i.tolist(), j.tolist(), strict=True)) == sorted(zip(a.tolist(), b.tolist(), strict=True))
+    return x[np.argsort(gray)]
+
+
+def test_links_between_runs():
+    rng = np.random.default_rng(4)
+    x = in_gray_order(np.unique(np.uint64(rng.integers(1 << 62)) ^ rng.integers(0, 1 << 12, 700).astype(np.uint64)))
+    a, b = x[:333], x[100:]
+    i, j = simhash.links_between(a, b, 2)
+    p, q = np.nonzero(np.bitwise_count(a[:, None] ^ b[None, :]) <= 2)
+    assert set(zip(i.tolist(), j.tolist(), strict=True)) == set(zip(p.tolist(), q.tolist(), strict=True))
+
+
+@pytest.mark.parametrize("limit", [0, 2, 5])
+def test_tree_reaches_all_near_runs_and_no_others(limit):
+    """Against all pairs of patterns; most nodes are left unseen, by groups."""
+    rng = np.random.default_rng(5)
+    x = in_gray_order(np.unique(rng.integers(0, 1 << 63, 40_000).astype(np.uint64)))
+    mask, bits = simhash._patterns(np.full(len(x), ~np.uint64(0)), x, 8)
+    run = np.arange(len(mask)) * 3
+    tree, shuffled = simhash.Tree(run, mask, bits), rng.permutation(len(run))
+    assert len(tree.levels) > 3 and all((a[1] == b[1]).all() for a, b in zip(tree.levels, simhash.Tree(run[shuffled], mask[shuffled], bits[shuffled]).levels, strict=True))
+    looked = 0
+    for k in range(0, len(run), 97):
+        found, seen = tree.near(mask[k], bits[k], limit)
+        assert found.tolist() == run[np.bitwise_count((bits ^ bits[k]) & mask & mask[k]) <= limit].tolist()
+        looked += seen
+    assert looked < len(run) * len(range(0, len(run), 97)) * (0.5 if limit <= 2 else 1)
+
+
+def test_runs_are_the_sorted_table(spark):
+    rng = random.Random(3)
+    fps = sorted({rng.getrandbits(64) for _ in range(3000)})
+    df = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in fps], "fp long")
+    rows = simhash.runs(df, 16).orderBy("run").collect()
+    members = np.array([m for r in rows for m in r.members], np.int64).view(np.uint64)
+    assert (members == in_gray_order(np.array(fps, np.uint64))).all() and max(len(r.members) for r in rows) == 16
+    for r in rows:
+        own = np.array(r.members, np.int64).view(np.uint64)
+        mask = ~(np.bitwise_and.reduce(own) ^ np.bitwise_or.reduce(own))
+        assert np.int64(r.mask).view(np.uint64) == mask and np.int64(r.bits).view(np.uint64) == own[0] & mask
+    n = len(rows)
+    pairs = simhash.run_pairs(simhash.cut(simhash.runs(df, 16), "r")[0], 2).count()
+    assert n <= pairs < n * n / 4  # whole groups of runs are left out
 
 
 def test_long_texts_in_chunks(monkeypatch):
