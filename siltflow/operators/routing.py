@@ -37,7 +37,7 @@ def _part(value: str, topic: str) -> str:
         raise RoutingError(f"topic {topic[:80]!r} gives a name part of {len(value)} characters, over {MAX_IDENTIFIER}")
     if not IDENTIFIER.fullmatch(value):
         # never folded to another character: two topics could then share a table
-        raise RoutingError(f"topic {topic!r} gives {value!r}, which isn't a name part [A-Za-z0-9_]; use ${{topic[N]}} or an override")
+        raise RoutingError(f"topic {topic!r}: {value!r} can't be part of a table name (letters A to Z, digits and _ only)")
     return value
 
 
@@ -80,8 +80,12 @@ class Catalog:
     def __init__(self, root: str, partition_columns: tuple[str, ...] = ()):
         self.root, self.partition_columns = root.rstrip("/"), partition_columns
 
-    def resolve(self, name: str) -> Target:
+    def resolve(self, name: str, schema=None) -> Target:
+        """The table's place; a table is made by its first commit, so a schema changes nothing."""
         try:
             return Target(name, "/".join([self.root, *(_part(p, name) for p in name.split("."))]), partition_columns=self.partition_columns)
         except Exception as error:
             raise RoutingError(f"table {redact(name)} can't be resolved: {redact_error(error)}") from None
+
+    def add_columns(self, name: str, schema, names: list[str]) -> None:
+        """Nothing to tell anyone: the table's own log holds its columns."""

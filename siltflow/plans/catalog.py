@@ -6,6 +6,13 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.sql import types as T
+
+from siltflow.functions.redact import is_already_exists, redact, redact_error
+from siltflow.functions.types import added_column_defs, column_defs
+from siltflow.operators.routing import RoutingError, Target
+from siltflow.plans.credentials import ScopedSecrets, storage_conf
+
 #: send(method, path, body) -> (status, JSON answer)
 Send = Callable[[str, str, dict | None], tuple[int, dict]]
 
@@ -37,6 +44,7 @@ class CatalogClient:
         return answer
 
     def get_table(self, name: str) -> TableInfo:
+        """A table's id and place; NotFound if the catalog lacks it."""
         answer = self._ask("GET", f"{self.api}/tables/{name}")
         return TableInfo(answer["table_id"], answer["storage_location"])
 
@@ -87,3 +95,73 @@ class StagedCommits:
                 self.highest_published = max(self.highest_published, version)
                 out.append(version)
         return out
+
+
+class FakeCatalog:
+    """A catalog in memory behind the same calls as a real one, for tests and queries: it knows only tables that were created."""
+
+    def __init__(self, root: str):
+        self.root = root.rstrip("/")
+        self.tables: dict[str, dict] = {}
+        self.statements: list[str] = []
+        self.calls: list[tuple[str, str, str]] = []
+
+    def __call__(self, method: str, path: str, body: dict | None, token: str = "") -> tuple[int, dict]:
+        self.calls.append((method, path, token))
+        last = path.rsplit("/", 1)[-1]
+        if "/tables/" in path:
+            return (200, self.tables[last]) if last in self.tables else (404, {})
+        if last == "temporary-table-credentials":
+            return 200, {"sas_token": f"sig={body['table_id']}"}
+        self.statements.append(body["statement"])
+        if body["statement"].startswith("CREATE TABLE"):
+            name = body["statement"].split("(")[0].removeprefix("CREATE TABLE IF NOT EXISTS ").replace("`", "").strip()
+            self.tables.setdefault(name, {"table_id": f"id-{len(self.tables)}", "storage_location": f"{self.root}/{name.replace('.', '/')}"})
+        return 200, {"statement_id": "s", "status": {"state": "SUCCEEDED"}}
+
+
+class RemoteCatalog:
+    """Tables that a catalog service knows: their places, vended secrets and file-system settings, and DDL for new ones and new columns."""
+
+    def __init__(self, client: CatalogClient, secrets: ScopedSecrets, warehouse: str = "", provider: str = "", partition_columns: tuple[str, ...] = ()):
+        self.client, self.secrets, self.warehouse, self.provider = client, secrets, warehouse, provider
+        self.partition_columns = partition_columns
+
+    def resolve(self, name: str, schema: T.StructType | None = None) -> Target:
+        """The table; with a schema it is made first if the catalog lacks it."""
+        try:
+            try:
+                info = self.client.get_table(name)
+            except NotFound:
+                if schema is None:
+                    raise
+                self._make(name, schema)
+                info = self.client.get_table(name)
+            secret = self.client.credentials(info.table_id).get("sas_token")
+            conf = storage_conf(info.location, secret, self.secrets, self.provider)
+            return Target(name, info.location, info.table_id, self.partition_columns, conf)
+        except Exception as error:
+            raise RoutingError(f"table {redact(name)} can't be resolved: {redact_error(error)}") from None
+
+    def _make(self, name: str, schema: T.StructType) -> None:
+        try:
+            self.client.execute(self.warehouse, f"CREATE TABLE IF NOT EXISTS {_dotted(name)} ({column_defs(schema)})")
+        except Exception as error:
+            if not is_already_exists(error):
+                raise
+
+    def add_columns(self, name: str, schema: T.StructType, names: list[str]) -> None:
+        try:
+            self.client.execute(self.warehouse, f"ALTER TABLE {_dotted(name)} ADD COLUMNS ({added_column_defs(schema, names)})")
+        except Exception as error:
+            if not is_already_exists(error):  # another writer was first
+                raise
+
+
+def _dotted(name: str) -> str:
+    return ".".join(f"`{p}`" for p in name.split("."))
+
+
+def authorised(send: Callable[[str, str, dict | None, str], tuple[int, dict]], token: Callable[[], str]) -> Send:
+    """A Send whose every request asks for the token of the moment."""
+    return lambda method, path, body: send(method, path, body, token())

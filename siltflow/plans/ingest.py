@@ -16,11 +16,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from siltflow.functions.redact import redact_error
+from siltflow.functions.redact import is_auth_failure, redact_error
 from siltflow.functions.types import SchemaError, spark_schema
 from siltflow.operators import quality
 from siltflow.operators.evolution import Evolution, diff
 from siltflow.operators.routing import Catalog, RoutingError, table_name
+from siltflow.plans import flush
 from siltflow.plans.config import IngestConfig
 from siltflow.sources.records import decode
 from siltflow.sources.table import Result, TxnTable
@@ -49,9 +50,10 @@ class Outcome:
 
 
 class Ingest:
-    def __init__(self, spark: SparkSession, config: IngestConfig, clock: Callable[[], float] = time.monotonic):
-        self.spark, self.config, self.clock = spark, config, clock
-        self.catalog = Catalog(config.root, config.partition_columns)
+    def __init__(self, spark: SparkSession, config: IngestConfig, clock: Callable[[], float] = time.monotonic, catalog: Catalog | None = None, coordinator: Callable | None = None):
+        """catalog: where tables are (by default below config.root); coordinator: who ratifies commits (by default nobody: the first to create a version's file has it)."""
+        self.spark, self.config, self.clock, self.coordinator = spark, config, clock, coordinator
+        self.catalog = catalog or Catalog(config.root, config.partition_columns)
         self._tables: dict[str, tuple[TxnTable, float]] = {}
         self._lock = threading.Lock()
         self._upkeep = ThreadPoolExecutor(1, thread_name_prefix="upkeep")
@@ -59,12 +61,16 @@ class Ingest:
 
     # tables
 
-    def table(self, name: str) -> TxnTable:
-        """The table of that name, resolved anew after 40 minutes."""
+    def table(self, name: str, schema: T.StructType | None = None) -> TxnTable:
+        """The table of that name, resolved anew after 40 minutes; with a schema, a catalog may make it."""
         with self._lock:
             kept = self._tables.get(name)
             if kept is None or self.clock() - kept[1] >= STALE_AFTER_S:
-                kept = self._tables[name] = (TxnTable(self.spark, self.catalog.resolve(name).path), self.clock())
+                target = self.catalog.resolve(name, schema)
+                conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+                for k, v in target.storage_conf.items():
+                    conf.set(k, v)
+                kept = self._tables[name] = (TxnTable(self.spark, target.path, coordinator=self.coordinator), self.clock())
             return kept[0]
 
     def forget(self, name: str) -> None:
@@ -95,6 +101,16 @@ class Ingest:
             raise failed[0]
         return out
 
+    def backlog(self, records: DataFrame) -> list[Outcome]:
+        """Ingests stored records as buffers with the dials flush_size and flush_bytes would have: one batch for each flush of theirs.
+
+        records should be cached or stored; it is read for each of them.
+        """
+        size = F.octet_length("value")
+        planned = flush.plan(records, max(self.config.flush_size, 0), max(self.config.flush_bytes, 0), size)
+        last = planned.agg(F.max("flush")).first()[0]
+        return [self.batch(planned.filter(F.col("flush") == k).drop("flush")) for k in range(0 if last is None else last + 1)]
+
     def _flush(self, rows: DataFrame, name: str, parts: list, out: Outcome) -> None:
         groups: dict[str | None, list] = {}
         for p in parts:
@@ -121,7 +137,7 @@ class Ingest:
             return
         set_aside = lambda: self._dead(parsed.filter("not ok").select(*RECORD), "not a record of the partition's schema", txns, name, out)
         try:
-            table = self.table(name)
+            table = self.table(name, schema if self.config.auto_create_tables else None)
             exists = table.exists()
             if exists and self.config.schema_evolution is not Evolution.NONE:
                 change = diff(table.snapshot().schema, schema, self.config.schema_evolution is Evolution.MERGE)
@@ -130,6 +146,7 @@ class Ingest:
                     self._dead(parsed.filter("ok").select(*RECORD), f"schema change: {change.breaking}", txns, f"{name}/schema", out)
                     return
                 if change.changed:
+                    self.catalog.add_columns(name, schema, [f.name for f in change.added])
                     table.add_columns(list(change.added))
             elif not exists and not self.config.auto_create_tables:
                 raise RoutingError(f"there is no table {name}, and auto_create_tables is off")
@@ -156,6 +173,8 @@ class Ingest:
             raise
         except Exception as error:
             self.forget(name)
+            if is_auth_failure(error):  # not the records' fault, and no table takes them until it is mended
+                raise PermissionError(f"table {name}: {redact_error(error)}") from None
             if not self.config.dead_letters:
                 raise RuntimeError(f"table {name}: {redact_error(error)}") from None
             with self._lock:

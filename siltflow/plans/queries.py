@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siltflow.functions.convert import date_of_millis, decimal_of_base64, timestamp_of_millis
-from siltflow.functions.redact import redact_column
+from siltflow.functions.redact import is_already_exists, is_auth_failure, redact_column, redact_error
 from siltflow.functions.sizing import record_size
 from siltflow.operators import cdc
 from siltflow.operators.evolution import Evolution
-from siltflow.plans import flush, measure
+from siltflow.operators.routing import Catalog
+from siltflow.plans import credentials, flush, measure
+from siltflow.plans.catalog import CatalogClient, FakeCatalog, RemoteCatalog, StagedCommits, authorised
 from siltflow.plans.config import IngestConfig
-from siltflow.plans.ingest import Ingest
-from siltflow.sources.records import encode
+from siltflow.plans.credentials import ScopedSecrets
+from siltflow.plans.ingest import BackPressure, Ingest
+from siltflow.sources.records import encode, read_records
 from siltflow.sources.storage import work_dir
 from siltflow.sources.table import TxnTable
 from siltflow.streaming import sink
@@ -413,11 +417,180 @@ def many_tables_at_once(spark, sf_dir):
     return out
 
 
+@query("SELECT event_id, user_id, CASE WHEN event_id % 2 = 1 THEN value END AS value, 'CREATE TABLE IF NOT EXISTS `bronze`.`app`.`events` (`event_id` BIGINT, `user_id` BIGINT); ALTER TABLE `bronze`.`app`.`events` ADD COLUMNS (`value` DOUBLE)' AS statements, 'sig=id-0' AS secret FROM events")
+def catalog_ingest(spark, sf_dir):
+    """Two batches through a catalog service: token, lookup, CREATE TABLE, vended secret, ALTER TABLE."""
+    place = work_dir(spark, "catalog")
+    service, secrets = FakeCatalog(place), ScopedSecrets()
+    token = credentials.Refreshing(credentials.WorkspaceMinter("https://w", "id", "secret", lambda url, headers, form: {"access_token": "t", "expires_in": 3600}))
+    catalog = RemoteCatalog(CatalogClient(authorised(service, token)), secrets, "wh", "provider")
+    ingest = _ingest(spark, "catalog-dead", schema_evolution=Evolution.ADD)
+    ingest = Ingest(spark, ingest.config, catalog=catalog, coordinator=StagedCommits)
+    e = _events(spark, sf_dir)
+    ingest.batch(_records(_placed(e.filter("event_id % 2 = 0")), ["event_id", "user_id"]))
+    odd = _placed(e.filter("event_id % 2 = 1")).withColumn("off", F.col("off") + (1 << 32))
+    ingest.batch(_records(odd, ["event_id", "user_id", "value"]))
+    credentials.storage_conf("abfss://c@acct.dfs.example/t", catalog.client.credentials("id-0")["sas_token"], secrets, "provider")
+    if any(t != "t" for *_, t in service.calls):
+        raise AssertionError("a request without its token")
+    return ingest.table("bronze.app.events").read().select("event_id", "user_id", "value", F.lit("; ".join(service.statements)).alias("statements"), F.lit(secrets.get("acct.dfs.example", "c", "/t/part-0")).alias("secret"))
+
+
+@query("SELECT count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids, CAST(8 AS BIGINT) AS versions FROM events")
+def staged_commits(spark, sf_dir):
+    """Two writers whose commits a coordinator ratifies; one published commit file is there already."""
+    path = work_dir(spark, "staged")
+    writers = [TxnTable(spark, path, coordinator=StagedCommits) for _ in range(2)]
+    e = _events(spark, sf_dir)
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(lambda w: [writers[w].append(e.filter(F.col("event_id") % 8 == k), {f"staged:events-{w}": k}) for k in range(w, 8, 2)], range(2)))
+    reader = TxnTable(spark, path)
+    return reader.read().agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"), F.lit(reader.snapshot().version + 1).cast("long").alias("versions"))
+
+
+@query(f"SELECT flush AS version, count(*) AS num_output_rows FROM (SELECT CAST(floor(off / 1500) AS BIGINT) AS flush FROM {PLACED_SQL}) GROUP BY flush")
+def dialled_commits(spark, sf_dir):
+    """A backlog committed as buffers of 1,500 rows a partition would have."""
+    ingest = _ingest(spark, "dials", flush_size=1500)
+    stored = f"{work_dir(spark, 'dials-records')}"
+    _records(_placed(_events(spark, sf_dir)), ["event_id", "user_id"]).write.parquet(stored)
+    ingest.backlog(read_records(spark, stored))
+    return ingest.table("bronze.app.events").history().filter("num_output_rows > 0").select("version", "num_output_rows")
+
+
+@query("SELECT 'bronze.app.' || event_type AS table_name, count(*) AS n FROM events WHERE event_type IN ('click', 'view') GROUP BY event_type")
+def subscribe_pattern(spark, sf_dir):
+    """Of many topics only those that a pattern matches as a whole."""
+    stored = work_dir(spark, "topics")
+    _records(_placed(_events(spark, sf_dir)), ["event_id"], F.concat(F.lit("src.app."), "event_type")).write.parquet(stored)
+    ingest = _ingest(spark, "subscribed")
+    done = ingest.batch(read_records(spark, stored, pattern=r"src\.app\.(click|vie.)"))
+    out = None
+    for name in sorted(done.tables):
+        own = ingest.table(name).read().agg(F.lit(name).alias("table_name"), F.count("*").alias("n"))
+        out = own if out is None else out.unionAll(own)
+    return out
+
+
+@query("SELECT CASE event_type WHEN 'click' THEN 'lake.web.clicks' ELSE 'bronze.app.' || event_type END AS table_name, count(*) AS n FROM events GROUP BY 1")
+def route_overrides(spark, sf_dir):
+    """A topic with a table of its own, by settings as text."""
+    settings = {"root": work_dir(spark, "overrides"), "table.name.format": "bronze.${topic[1]}.${topic[2]}", "topic.to.table": "src.app.click:lake.web.clicks", "flush.concurrency": "3", "max.buffered": "0"}
+    ingest = Ingest(spark, IngestConfig.of(settings))
+    done = ingest.batch(_records(_placed(_events(spark, sf_dir)), ["event_id"], F.concat(F.lit("src.app."), "event_type")))
+    out = None
+    for name in sorted(done.tables):
+        own = ingest.table(name).read().agg(F.lit(name).alias("table_name"), F.count("*").alias("n"))
+        out = own if out is None else out.unionAll(own)
+    return out
+
+
+@query(f"SELECT CAST(part AS INT) AS part, max(off) + 1 AS next_offset, count(*) AS dead FROM {PLACED_SQL} GROUP BY part")
+def all_poison_progress(spark, sf_dir):
+    """Batches without a usable record: all of it is set aside, and the offsets go on."""
+    ingest = _ingest(spark, "poison-only")
+    done = ingest.batch(_records(_placed(_events(spark, sf_dir)), ["event_id"]).withColumn("value", F.lit("no envelope")))
+    dead = ingest.dead_letters.read().groupBy(F.col("partition").alias("part")).agg(F.count("*").alias("dead"))
+    gate = spark.createDataFrame([(p, n) for (_, p), n in sorted(done.next_offsets.items())], "part int, next_offset long")
+    return gate.join(dead, "part")
+
+
+@query("SELECT t.k AS task, count(*) AS n FROM range(3) t(k), events WHERE user_id % 3 = t.k GROUP BY t.k")
+def task_fanout(spark, sf_dir):
+    """Three ingestions of the same settings, each with a partition of its own, into one table at once."""
+    config = IngestConfig(root=work_dir(spark, "fanout"), table_name_format="bronze.${topic[1]}.${topic[2]}", max_buffered=0)
+    records = _records(_placed(_events(spark, sf_dir)), ["event_id", "user_id"])
+    tasks = [Ingest(spark, c) for c in config.for_tasks(3)]
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda k: tasks[k].batch(records.filter(F.col("partition") == k)), range(3)))
+    return tasks[0].table("bronze.app.events").read().groupBy((F.col("user_id") % 3).alias("task")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT k * 60 AS at_s, 'token-' || CAST(floor(k * 60 / 2880.0) + 1 AS BIGINT) AS token FROM range(240) t(k)")
+def token_schedule(spark, sf_dir):
+    """Tokens of an hour, asked for each minute over four hours: renewed at 80 % of their life."""
+    now, minted = [0.0], []
+
+    def post(url, headers, form):
+        minted.append(url)
+        return {"access_token": f"token-{len(minted)}", "expires_in": 3600}
+
+    token = credentials.Refreshing(credentials.EntraMinter("tenant", "id", "secret", "scope", post), clock=lambda: now[0])
+    rows = []
+    for k in range(240):
+        now[0] = k * 60.0
+        rows.append((k * 60, token()))
+    return spark.createDataFrame(rows, "at_s long, token string")
+
+
+@query("SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN 'nation-' || n_nationkey ELSE 'region-' || n_regionkey END AS secret FROM nation")
+def scoped_secrets(spark, sf_dir):
+    """The secret of the longest path that holds a file's place: some nations have their own, others their region's."""
+    store, nations = ScopedSecrets(), _table(spark, sf_dir, "nation").collect()  # 25 rows
+    for r in nations:
+        store.put("acct.dfs.example", "lake", f"/r{r.n_regionkey}", f"region-{r.n_regionkey}")
+        if r.n_nationkey % 2 == 0:
+            store.put("acct.dfs.example", "lake", f"/r{r.n_regionkey}/n{r.n_nationkey}", f"nation-{r.n_nationkey}")
+    return spark.createDataFrame([(r.n_nationkey, store.get("acct", "lake", f"/r{r.n_regionkey}/n{r.n_nationkey}/part-0")) for r in nations], "n_nationkey int, secret string")
+
+
+@query("SELECT * FROM (VALUES ('auth', true, false, 'RuntimeError: no write; caused by: ValueError: HTTP 401 for abfss://<redacted>'), ('exists', false, true, 'RuntimeError: no write; caused by: ValueError: Table already exists, sig=<redacted>'), ('other', false, false, 'RuntimeError: no write; caused by: ValueError: disk full')) t(kind, is_auth, is_benign, said)")
+def error_causes(spark, sf_dir):
+    """What an error's chain of causes says, masked, and what follows from it."""
+    rows = []
+    for kind, text in (("auth", "HTTP 401 for abfss://c@a/t?sig=x"), ("exists", "Table already exists, sig=abc"), ("other", "disk full")):
+        try:
+            try:
+                raise ValueError(text)
+            except ValueError as cause:
+                raise RuntimeError("no write") from cause
+        except RuntimeError as error:
+            rows.append((kind, is_auth_failure(error), is_already_exists(error), redact_error(error)))
+    return spark.createDataFrame(rows, "kind string, is_auth boolean, is_benign boolean, said string")
+
+
+@query("SELECT 5 * 100000.0 / 15 AS rows_per_s, CAST(5 AS DOUBLE) AS commits, 3.0 AS p50_s, 5.0 AS p99_s, 1.0 AS min_s, 5.0 AS max_s")
+def commit_summary(spark, sf_dir):
+    s = measure.summary(500_000, [5.0, 1.0, 3.0, 2.0, 4.0], 15.0)
+    return spark.createDataFrame([tuple(map(float, s.values()))], ", ".join(f"{k} double" for k in s))
+
+
+@query("SELECT 'refused' AS batch, CAST(0 AS BIGINT) AS n UNION ALL SELECT 'taken', count(*) FROM events")
+def back_pressure(spark, sf_dir):
+    """A batch over the cap is refused as a whole; at the cap it is taken."""
+    records = _records(_placed(_events(spark, sf_dir)), ["event_id"])
+    n, out = records.count(), []
+    for name, cap in (("refused", n - 1), ("taken", n)):
+        ingest = _ingest(spark, name, max_buffered=cap)
+        try:
+            ingest.batch(records)
+        except BackPressure:
+            pass
+        out.append((name, ingest.table("bronze.app.events").read().count() if ingest.table("bronze.app.events").exists() else 0))
+    return spark.createDataFrame(out, "batch string, n long")
+
+
+@query("SELECT k AS minutes, CASE WHEN k < 40 THEN 1 WHEN k < 80 THEN 2 ELSE 3 END AS lookups FROM (SELECT CAST(unnest([0, 39, 40, 79, 80]) AS BIGINT) AS k)")
+def stale_tables(spark, sf_dir):
+    """How often a table was looked up in the catalog by then: it is again after 40 minutes."""
+    now, seen = [0.0], []
+
+    class Watched(Catalog):
+        def resolve(self, name, schema=None):
+            seen.append(name)
+            return super().resolve(name, schema)
+
+    root = work_dir(spark, "stale")
+    ingest, rows = Ingest(spark, IngestConfig(root=root), clock=lambda: now[0], catalog=Watched(root)), []
+    for k in (0, 39, 40, 79, 80):
+        now[0] = k * 60.0
+        ingest.table("a.b.c")
+        rows.append((k, len(seen)))
+    return spark.createDataFrame(rows, "minutes long, lookups int")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as change records into a table, and each user's latest."""
     ingest = _ingest(spark, "flagship")
     ingest.batch(_records(_placed(_events(spark, sf_dir)), [*COLUMNS, "op"]))
     return cdc.latest_per_key(ingest.table("bronze.app.events").read(), ["user_id"], ["event_id"])
-
-
-

@@ -15,6 +15,7 @@ import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from typing import Protocol
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,14 @@ def relaxed(kind: T.DataType) -> T.DataType:
     return kind
 
 
+class Coordinator(Protocol):
+    """Decides which staged commit gets a version; see StagedCommits."""
+
+    def stage(self, version: int, text: str, tag: str) -> str: ...
+    def ratify(self, version: int, name: str) -> bool: ...
+    def publish(self) -> list[int]: ...
+
+
 @dataclass
 class Snapshot:
     version: int = -1
@@ -80,9 +89,10 @@ class Result:
 class TxnTable:
     """One table. Snapshots are kept between calls and brought up to date from newer versions only."""
 
-    def __init__(self, spark: SparkSession, path: str, storage: Storage | None = None):
+    def __init__(self, spark: SparkSession, path: str, storage: Storage | None = None, coordinator: Callable[[Storage, str], Coordinator] | None = None):
         self.spark, self.path = spark, path.rstrip("/")
         self.storage = storage or storage_for(spark, path)
+        self.coordinator = coordinator(self.storage, f"{self.path}/{LOG}") if coordinator else None
         self._kept: Snapshot | None = None
         self._lock = threading.RLock()
 
@@ -108,6 +118,8 @@ class TxnTable:
     def snapshot(self, version: int | None = None) -> Snapshot:
         """The table as of a version (the latest by default)."""
         with self._lock:
+            if self.coordinator:
+                self.coordinator.publish()  # what is ratified counts, whoever's turn it was to publish it
             names = self.storage.list(f"{self.path}/{LOG}")
             all_ = sorted(int(n[:20]) for n in names if len(n) == 25 and n.endswith(".json"))
             until = all_[-1] if all_ and version is None else -1 if version is None else version
@@ -204,7 +216,7 @@ class TxnTable:
             if actions is None:
                 return Result(snap.version, False)
             version = snap.version + 1
-            if self.storage.create(self._log(f"{version:020d}.json"), dumps(actions)):
+            if self._put(version, dumps(actions)):
                 with self._lock:
                     snap.apply(version, actions)
                     self._kept = snap
@@ -212,6 +224,15 @@ class TxnTable:
                 return Result(version, True, *(int(info.get(k, 0)) for k in ("numOutputRows", "numFiles", "numOutputBytes")))
         raise CommitConflict(f"no free version of {self.path} after {MAX_TRIES} tries")
 
+    def _put(self, version: int, text: str) -> bool:
+        """Takes a version: by creating its file, or, with a coordinator, by staging the commit, having it ratified and publishing it."""
+        if not self.coordinator:
+            return self.storage.create(self._log(f"{version:020d}.json"), text)
+        name = self.coordinator.stage(version, text, uuid.uuid4().hex)
+        won = self.coordinator.ratify(version, name)
+        self.coordinator.publish()
+        return won
+
     def create(self, schema: T.StructType, partition_columns: list[str] | None = None) -> Result:
         """Makes an empty table unless there is one."""
         return self.commit(lambda s: None if s.version >= 0 else [{"protocol": {"minReaderVersion": 1, "minWriterVersion": 1}}, self._meta(schema, partition_columns or []), self._info("CREATE TABLE", 0, 0, 0, mode=None)])

@@ -7,11 +7,14 @@ were committed before.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from siltflow.plans.config import IngestConfig
 from siltflow.plans.ingest import Ingest, Outcome
+from siltflow.sources.records import kafka_records
 
 
 class StreamSink:
@@ -32,6 +35,11 @@ def start(records: DataFrame, ingest: Ingest, checkpoint: str, available_now: bo
     return (writer.trigger(processingTime=f"{interval} milliseconds") if interval > 0 else writer).start()
 
 
+def start_topics(spark: SparkSession, servers: str, ingest: Ingest, checkpoint: str, topics: list[str] | None = None, pattern: str | None = None, reader: Callable[..., DataFrame] = kafka_records, available_now: bool = False, **options: str) -> StreamingQuery:
+    """Starts ingesting a subscription, with the dials as options of its source."""
+    return start(reader(spark, servers, topics, pattern, True, **(admission_options(ingest.config) | options)), ingest, checkpoint, available_now)
+
+
 def admission_options(config: IngestConfig) -> dict[str, str]:
     """Options of the Kafka source that stand for the row dial, its longest wait, and back-pressure."""
     out = {"maxOffsetsPerTrigger": str(config.max_buffered)}

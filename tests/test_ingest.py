@@ -303,3 +303,44 @@ def test_stream_restarts(spark, tmp_path):
     sink.start(stream(), ingest, f"{tmp_path}/cp", available_now=True).awaitTermination()
     assert ingest.table("main.s.a").read().count() == 5 and ingest.table("main.s.b").read().count() == 5
     assert sink.admission_options(config) == {"maxOffsetsPerTrigger": "1000000", "minOffsetsPerTrigger": "500", "maxTriggerDelay": "5000ms"}
+
+
+def test_topics_start_with_the_dials_as_options(spark, tmp_path):
+    from siltflow.streaming import sink
+
+    asked = {}
+
+    def reader(spark, servers, topics, pattern, streaming, **options):
+        asked.update(servers=servers, topics=topics, pattern=pattern, **options)
+        schema = "topic string, `partition` int, offset long, value string"
+        spark.createDataFrame([("a.b.c", 0, k, '{"schema":{"type":"struct","fields":[{"type":"int32","optional":true,"field":"id"}],"optional":false},"payload":{"id":%d}}' % k) for k in range(5)], schema).write.parquet(f"{tmp_path}/in")
+        return spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+
+    ingest = Ingest(spark, IngestConfig(root=f"{tmp_path}/t", table_name_format="x.${topic[1]}.${topic[2]}", flush_size=7, flush_interval_ms=900, max_buffered=100))
+    sink.start_topics(spark, "host:1", ingest, f"{tmp_path}/checkpoint", pattern="a.*", reader=reader, available_now=True, startingOffsets="earliest").awaitTermination()
+    assert asked == {"servers": "host:1", "topics": None, "pattern": "a.*", "minOffsetsPerTrigger": "7", "maxTriggerDelay": "900ms", "maxOffsetsPerTrigger": "100", "startingOffsets": "earliest"}
+    assert sorted(r.id for r in ingest.table("x.b.c").read().collect()) == list(range(5))
+
+
+def test_refused_credentials_arent_the_records_fault(spark, tmp_path):
+    from siltflow.operators.routing import Catalog
+
+    class Refused(Catalog):
+        def resolve(self, name, schema=None):
+            raise RuntimeError("HTTP 401 Unauthorized, sig=secret")
+
+    ingest = Ingest(spark, IngestConfig(root=f"{tmp_path}/t"), catalog=Refused(f"{tmp_path}/t"))
+    value = '{"schema":{"type":"struct","fields":[],"optional":false},"payload":{}}'
+    with pytest.raises(PermissionError, match="401") as error:
+        ingest.batch(spark.createDataFrame([("topic", 0, 0, value)], "topic string, `partition` int, offset long, value string"))
+    assert "secret" not in str(error.value) and not ingest.dead_letters.exists()
+
+
+def test_byte_dial_of_a_backlog(spark, tmp_path):
+    value = '{"schema":{"type":"struct","fields":[{"type":"int32","optional":true,"field":"id"}],"optional":false},"payload":{"id":1}}'
+    df = spark.createDataFrame([("topic", 0, k, value) for k in range(20)], "topic string, `partition` int, offset long, value string")
+    ingest = Ingest(spark, IngestConfig(root=f"{tmp_path}/t", flush_size=0, flush_bytes=5 * len(value)))
+    done = ingest.backlog(df)
+    assert len(done) == 4 and ingest.table("main.ingestion.topic").history().count() == 4 and ingest.backlog(df.limit(0)) == []
+    ingest.backlog(df)
+    assert ingest.table("main.ingestion.topic").read().count() == 20
