@@ -1,15 +1,18 @@
 """Best-fit packing of token pieces into sequences of a fixed length.
 
 Bulk-synchronous best fit. Lengths are whole numbers up to the capacity, so pieces of one length
-are alike, and so are sequences with one gap: the sorted lists of pieces and gaps are kept as
-(size, count) classes, pre-aggregated where the pieces are. Supersteps go through the lengths
-from long to short. In each, pieces sweep the gap classes upwards from their own length (the
-successor gap is the tightest); pieces that want the same gap are told apart by rank, so the k-th
-piece takes the k-th place; the gaps shrink, and the next length goes on. Pieces that find no gap
-open new sequences. The class table has at most `capacity` rows at any input size, so it is
-swept where it fits, on the driver; its moves (rank ranges of a length to runs of sequences) are
-then applied to all pieces by a join on length and rank. Ranks are dealt within buckets of each
-length, so a hot length doesn't meet in one task.
+are alike, and so are sequences with one gap that were made together: both are kept as rows
+(size, how many), pre-aggregated where the pieces are, and packed in supersteps of Spark jobs. In
+each, pieces and gaps are dealt to ranges by size, and a sweep of each range matches pieces with
+their successor, the tightest gap they fit in; longer pieces rank first where several want one
+gap. A second sweep matches what the ranges leave across their borders. The gaps shrink, and the
+next superstep goes on with them. Where nothing matches any more, the longest pieces open new
+sequences, as many as those left need at least. A gap loses at least half in each match, so
+supersteps are few whatever the number of pieces, and the state has some thousand rows.
+
+Its moves (rank ranges of a length to runs of sequences) are then applied to all pieces by a join
+on length and rank. Ranks are dealt within buckets of each length, so a hot length doesn't meet in
+one task.
 
 Null or empty text is one piece with the end token alone. Repeated rows are packed as often as
 they occur. An empty table gives an empty result; other columns are ignored.
@@ -20,15 +23,19 @@ from __future__ import annotations
 import zlib
 from array import array
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from siltflow.llm._common import arrow_map, cut, table
+from siltflow.llm._common import arrow_map, cut, discard, ready, table
 from siltflow.llm._units import UnitCache, unit_encoder
 
 CAPACITY = 1024
 END_ID = 2
+RANGES = 16
+#: Kinds of rows of the packing state: pieces of a length, sequences with a gap, and moves of pieces to sequences.
+PIECE, GAP, MOVE = range(3)
 BROADCAST_MOVES = 300_000
 
 
@@ -60,49 +67,118 @@ def pieces(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", capacity: int
     return arrow_map(docs.select(id_col, text), make, schema).withColumnRenamed("id", id_col)
 
 
-def plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
-    """The moves that pack counts[length] pieces of each length.
+def _sweep(rows: list[tuple], capacity: int, opening: bool, step: int) -> list[tuple]:
+    """Matches the pieces and gaps among rows (kind, size, first, n, ...) of one range of sizes.
 
-    A move (length, low, high, first, each, base): the pieces of that length with ranks low to
-    high - 1 go to sequences first, first + 1 ..., `each` to a sequence, from offset base on.
+    From the greatest size down, gaps go on a stack and pieces take from its top, which is the
+    tightest gap they fit in; those that want the same gap are served by rank, longer ones first. A
+    gap takes as many of one length as fit. opening: rows are all there are, so if this step has
+    matched nothing, the longest pieces open new sequences.
     """
-    gaps: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]  # runs (first sequence, how many)
-    moves: list[tuple[int, int, int, int, int, int]] = []
-    opened = 0
-    for length in range(capacity, 0, -1):
-        left, rank = counts.get(length, 0), 0
-        gap = length
-        while left:
-            while gap < capacity and not gaps[gap]:
-                gap += 1
-            each = gap // length
-            if gap < capacity:
-                first, many = gaps[gap].pop()
-            else:  # no gap is large enough
-                first, many = opened, -(-left // each)
-                opened += many
-            full = min(many, left // each)
-            for first_, many_, each_ in ((first, full, each), (first + full, int(full < many and 0 < left - full * each < each), left - full * each)):
-                if many_:
-                    moves.append((length, rank, rank + many_ * each_, first_, each_, capacity - gap))
-                    gaps[gap - each_ * length].append((first_, many_))
-                    rank += many_ * each_
-                    left -= many_ * each_
-                    first, many = first_ + many_, many - many_
-            if many:
-                gaps[gap].append((first, many))
-    return moves
+    out = [r for r in rows if r[0] == MOVE]
+    pieces = sorted((r for r in rows if r[0] == PIECE), key=lambda r: (-r[1], r[2]))
+    gaps = sorted((r for r in rows if r[0] == GAP), key=lambda r: (-r[1], r[2]))
+    matched = any(r[6] == step for r in out)
+    stack: list[list[int]] = []
+    k, left = 0, []
+
+    def put(length: int, rank: int, n: int, first: int, many: int, gap: int) -> int:
+        """Fills sequences first ... with n pieces at most; how many sequences took some."""
+        each = gap // length
+        full = min(many, n // each)
+        rest = min(n - full * each, each) if full < many else 0
+        for at, runs, fill, low in ((first, full, each, rank), (first + full, bool(rest), rest, rank + full * each)):
+            if runs and fill:
+                out.append((MOVE, length, low, runs * fill, at, fill, step, capacity - gap))
+                if gap - fill * length:
+                    out.append((GAP, gap - fill * length, at, int(runs), 0, 0, 0, 0))
+        return full + bool(rest)
+
+    for _, length, rank, n, *_ in pieces:
+        while k < len(gaps) and gaps[k][1] >= length:
+            stack.append([gaps[k][1], gaps[k][2], gaps[k][3]])
+            k += 1
+        while n and stack:
+            gap, first, many = stack[-1]
+            used = put(length, rank, n, first, many, gap)
+            took = min(n, used * (gap // length))
+            rank, n, matched = rank + took, n - took, True
+            if used == many:
+                stack.pop()
+            else:
+                stack[-1][1:] = first + used, many - used
+        if n:
+            left.append((length, rank, n))
+    out += [(GAP, g, first, many, 0, 0, 0, 0) for g, first, many in stack] + gaps[k:]
+    fresh = _needed(left, capacity) if opening and not matched else 0
+    opened = max((r[4] + -(-r[3] // r[5]) for r in out if r[0] == MOVE), default=0)
+    for length, rank, n in left:
+        take = min(n, fresh)
+        if take:
+            out.append((MOVE, length, rank, take, opened, 1, step, 0))
+            if capacity > length:
+                out.append((GAP, capacity - length, opened, take, 0, 0, 0, 0))
+            rank, n, opened, fresh = rank + take, n - take, opened + take, fresh - take
+        if n:
+            out.append((PIECE, length, rank, n, 0, 0, 0, 0))
+    return out
+
+
+def _needed(left: list[tuple[int, int, int]], capacity: int) -> int:
+    """A lower bound of the sequences that pieces (length, rank, n) need: by their sum, and by how many of a size fit in one."""
+    least = -(-sum(length * n for length, _, n in left) // capacity)
+    for k in range(1, 9):
+        least = max(least, -(-sum(n for length, _, n in left if (k + 1) * length > capacity) // k))
+    return least
+
+
+_STATE = "kind int, size long, first long, n long, a long, b long, step long, base long"
+
+
+def _superstep(state: DataFrame, capacity: int, step: int) -> DataFrame:
+    """One exchange: sweeps within ranges of sizes, and then one over what they leave, which holds the ranges' borders."""
+
+    def sweep(opening: bool):
+        def run(table: pa.Table) -> pa.Table:
+            table = table.drop_columns(["range"])
+            swept = _sweep(list(zip(*(c.to_pylist() for c in table.columns), strict=True)), capacity, opening, step)
+            return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*swept, strict=True), table.schema.types, strict=True)], schema=table.schema)
+
+        return run
+
+    width = max(1, capacity // RANGES)
+    dealt = state.withColumn("range", F.when(F.col("kind") == MOVE, -1).otherwise(F.expr(f"size div {width}")))
+    within = dealt.groupBy("range").applyInArrow(sweep(False), _STATE)
+    return within.withColumn("range", F.lit(0)).groupBy("range").applyInArrow(sweep(True), _STATE)
+
+
+def plan(classes: DataFrame, capacity: int, steps_a_job: int = 4, max_steps: int = 4000) -> DataFrame:
+    """(length, low, n, first, each, base): the moves that pack classes (length, n) of equal pieces.
+
+    A move: the pieces of that length with ranks low to low + n - 1 go to sequences first, first + 1
+    ..., `each` to a sequence, from offset base on.
+    """
+    ready(classes.sparkSession)
+    zero = F.lit(0).cast("long")
+    state = classes.select(F.lit(PIECE).alias("kind"), F.col("length").alias("size"), zero.alias("first"), F.col("n"), *(zero.alias(c) for c in ("a", "b", "step", "base")))
+    path = None
+    for step in range(0, max_steps, steps_a_job):
+        for k in range(steps_a_job):
+            state = _superstep(state, capacity, step + k + 1)
+        state, new = cut(state, "packing-state")
+        if path:
+            discard(classes.sparkSession, path)
+        path = new
+        if not state.filter(F.col("kind") == PIECE).limit(1).count():
+            moves = state.filter(F.col("kind") == MOVE)
+            return moves.select(F.col("size").alias("m_length"), F.col("first").alias("low"), (F.col("first") + F.col("n")).alias("high"), F.col("a").alias("to"), F.col("b").alias("each"), "base")
+    raise RuntimeError(f"packing isn't done after {max_steps} steps")
 
 
 def pack(cut_pieces: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id") -> DataFrame:
     """Adds sequence_id and offset to rows with id, piece, start, length and ids_crc32. Reads its input twice: give a stored table."""
-    spark = cut_pieces.sparkSession
-    total = 0
-    counts: dict[int, int] = {}
-    for r in cut_pieces.groupBy("length").count().collect():  # at most capacity rows
-        counts[r["length"]] = r["count"]
-        total += r["count"]
-    moves = plan(counts, capacity)
+    moves = plan(cut_pieces.groupBy("length").agg(F.count("*").alias("n")), capacity)
+    total = cut_pieces.count()
     buckets = max(16, -(-total // 1_000_000))
     dealt = cut_pieces.withColumn("__bucket", F.pmod(F.xxhash64(id_col, "piece", "ids_crc32"), F.lit(buckets)))
     before = (
@@ -113,13 +189,11 @@ def pack(cut_pieces: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id"
         before = F.broadcast(before)  # at most capacity x buckets rows
     local = F.row_number().over(W.partitionBy("length", "__bucket").orderBy(id_col, "piece", "ids_crc32", "start")) - 1
     ranked = dealt.withColumn("__local", local).join(before, ["length", "__bucket"]).withColumn("__rank", F.col("__local") + F.col("__before"))
-    to = spark.createDataFrame(moves, "m_length long, low long, high long, first long, each long, base long")
-    if len(moves) <= BROADCAST_MOVES:
-        to = F.broadcast(to)
+    to = F.broadcast(moves) if moves.count() <= BROADCAST_MOVES else moves
     place = F.col("__rank") - F.col("low")
     return ranked.join(to, (F.col("length") == F.col("m_length")) & (F.col("__rank") >= F.col("low")) & (F.col("__rank") < F.col("high"))).select(
         *cut_pieces.columns,
-        (F.col("first") + F.expr("(__rank - low) div each")).alias("sequence_id"),
+        (F.col("to") + F.expr("(__rank - low) div each")).alias("sequence_id"),
         (F.col("base") + place % F.col("each") * F.col("length")).alias("offset"),
     )
 

@@ -308,14 +308,30 @@ def best_fit_decreasing(lengths, capacity):
     return len(gaps)
 
 
-@pytest.mark.parametrize("seed", range(25))
-def test_plan_is_best_fit_decreasing(seed):
+def random_lengths(seed):
     rng = random.Random(seed)
-    capacity = rng.choice([1, 7, 30, 64])
-    lengths = [rng.randint(1, capacity) if rng.random() < 0.6 else rng.choice([1, max(1, capacity // 2), capacity]) for _ in range(rng.randint(0, 300))]
-    counts = collections.Counter(lengths)
-    used, ranks = collections.defaultdict(list), collections.defaultdict(list)
-    for length, low, high, first, each, base in packing.plan(dict(counts), capacity):
+    capacity = rng.choice([1, 7, 30, 64, 1024])
+    return capacity, [rng.randint(1, capacity) if rng.random() < 0.6 else rng.choice([1, max(1, capacity // 2), capacity]) for _ in range(rng.randint(0, 400))]
+
+
+def supersteps(lengths, capacity, ranges):
+    """The packing of lengths by the operator's sweeps, range by range, and how many steps it took."""
+    P, G, M = packing.PIECE, packing.GAP, packing.MOVE
+    rows = [(P, k, 0, n, 0, 0, 0, 0) for k, n in collections.Counter(lengths).items()]
+    step = 0
+    while any(r[0] == P for r in rows):
+        step += 1
+        parts = collections.defaultdict(list)
+        for r in rows:
+            parts[-1 if r[0] == M else r[1] // max(1, capacity // ranges)].append(r)
+        rows = packing._sweep([x for own in parts.values() for x in packing._sweep(own, capacity, False, step)], capacity, True, step)
+    return [r for r in rows if r[0] == M], step
+
+
+def checked(moves, lengths, capacity):
+    """The number of sequences that moves (length, low, high, first, each, base) fill; all pieces are placed, without gaps and overlaps."""
+    counts, used, ranks = collections.Counter(lengths), collections.defaultdict(list), collections.defaultdict(list)
+    for length, low, high, first, each, base in moves:
         for r in range(low, high):
             ranks[length].append(r)
             used[first + (r - low) // each].append((base + (r - low) % each * length, length))
@@ -326,7 +342,31 @@ def test_plan_is_best_fit_decreasing(seed):
             assert o == at
             at += n
         assert at <= capacity
-    assert len(used) == best_fit_decreasing(lengths, capacity)
+    return len(used)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_supersteps_pack_like_best_fit_decreasing(seed):
+    capacity, lengths = random_lengths(seed)
+    rows, steps = supersteps(lengths, capacity, 16)
+    n = checked([(r[1], r[2], r[2] + r[3], r[4], r[5], r[7]) for r in rows], lengths, capacity)
+    assert n <= best_fit_decreasing(lengths, capacity) + 1 and steps <= 60
+
+
+def test_few_steps_for_many_pieces():
+    rng = random.Random(1)
+    lengths = [min(1024, int(rng.expovariate(1 / 300)) + 1) for _ in range(200_000)]
+    rows, steps = supersteps(lengths, 1024, 16)
+    used = len({r[4] + i for r in rows for i in range(-(-r[3] // r[5]))})
+    assert steps <= 60 and len(rows) < 20_000 and used <= 1.001 * sum(lengths) / 1024 + 2
+
+
+@pytest.mark.parametrize("seed", [3, 8])
+def test_plan_runs_the_supersteps(spark, seed):
+    capacity, lengths = random_lengths(seed)
+    df = spark.createDataFrame(list(collections.Counter(lengths).items()), "length long, n long")
+    moves = sorted(map(tuple, packing.plan(df, capacity).collect()))
+    assert moves == sorted((r[1], r[2], r[2] + r[3], r[4], r[5], r[7]) for r in supersteps(lengths, capacity, packing.RANGES)[0])
 
 
 def test_sequences(spark):
