@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 _OWN_DIRS: dict[str, str] = {}
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 def ready(spark: SparkSession) -> None:
@@ -48,10 +51,23 @@ def cut(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Writes df to the shared folder and reads it back: lineage ends there and survives lost executors."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for made in _SCOPES.get():
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+@contextmanager
+def scoped() -> Iterator[list[str]]:
+    """The list of the scratch tables that are made inside, for whoever knows when they aren't read any more."""
+    made: list[str] = []
+    token = _SCOPES.set((*_SCOPES.get(), made))
+    try:
+        yield made
+    finally:
+        _SCOPES.reset(token)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Removes a scratch table that no later plan reads."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

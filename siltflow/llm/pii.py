@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltflow.llm._common import arrow_map, cut, discard, table
+from siltflow.llm._common import arrow_map, cut, discard, scoped, table
 
 KINDS = ("email", "ip", "card", "phone")
 TERM_KINDS = ("term_removed", "term_generalised")
@@ -333,12 +333,15 @@ def sanitised(text: str | None, spans: list[tuple[int, int, str]]) -> str:
 
 def find(docs: DataFrame, id_col: str = "doc_id", text: str = "text", near: int = NEAR, alpha: float = ALPHA, generalise_at: float = GENERALISE_AT, remove_at: float = REMOVE_AT, with_text: bool = True) -> DataFrame:
     """id, counts of the kinds, base_sha256, spans and (with_text) the sanitised text of each document."""
-    terms = disclosing_terms(docs, text, near, alpha, generalise_at)
+    with scoped() as made:
+        terms = disclosing_terms(docs, text, near, alpha, generalise_at)
     few, letters = terms.agg(F.count("*"), F.coalesce(F.sum(F.length("word")), F.lit(0))).first()
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     if few <= BROADCAST_TERMS and letters <= BROADCAST_LETTERS:
         shared = docs.sparkSession.sparkContext.broadcast({r.word: r.disclosure for r in terms.collect()})
+        for path in made:
+            discard(docs.sparkSession, path)
         rows = rows.withColumn("own", F.lit(None).cast("map<string,double>"))
     else:  # each document gets the terms that it holds
         shared = None

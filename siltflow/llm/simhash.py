@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from siltflow.llm._common import arrow_map, cut, ready, table
+from siltflow.llm._common import arrow_map, cut, discard, ready, scoped, table
 from siltflow.llm.components import components
 
 SEED = 42
@@ -246,7 +246,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """id, doc_key (of id and text), fp, root (its group's fingerprint) and component_id (the smallest id of the group) of each document."""
     of, _ = cut(fingerprints(docs, id_col, text), "fingerprints")
     fps, _ = cut(of.groupBy("fp").agg(F.min("id").alias("rep")), "classes")
-    found = components(links(fps.select("fp"), limit, leaf))
+    with scoped() as made:
+        edges = links(fps.select("fp"), limit, leaf)
+    found = components(edges)
+    for path in made:
+        discard(docs.sparkSession, path)
     rooted = fps.join(found, F.col("fp") == F.col("id"), "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = rooted.join(least, "root").select(F.col("fp").alias("__fp"), "root", "component_id")
