@@ -28,7 +28,7 @@ PROFILE = 400
 DOC_GRAMS = 400
 DOCS_PER_LANG = 400
 MAX_LANGS = 10_000
-SLICE = 1_500_000
+SLICE = 400_000
 SLACK = 0.65
 UND = "und"
 _END = 0xFFFF
