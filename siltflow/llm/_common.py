@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -74,6 +76,16 @@ def discard(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def give_back() -> None:
+    """Returns freed memory to the machine: workers outlive their tasks, and the next one's needs come on top."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def arrow_map(df: DataFrame, make: Callable[[], Callable[..., dict]], schema: str) -> DataFrame:
     """mapInArrow with state per task.
 
@@ -86,6 +98,12 @@ def arrow_map(df: DataFrame, make: Callable[[], Callable[..., dict]], schema: st
     out_schema = to_arrow_schema(spark_schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from mapped(batches)
+        finally:
+            give_back()
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn, end = made if isinstance(made := make(), tuple) else (made, None)
         build = lambda out: pa.RecordBatch.from_pydict({f.name: pa.array(out[f.name], f.type) for f in out_schema}, schema=out_schema)
         for batch in batches:

@@ -46,7 +46,7 @@ class _Tier(dict):
 class UnitCache:
     """encode(unit) behind a bounded cache in the worker; frequent: values known beforehand by word."""
 
-    def __init__(self, encode: Callable[[str], object], limit: int = 600_000, frequent: dict | None = None):
+    def __init__(self, encode: Callable[[str], object], limit: int = 250_000, frequent: dict | None = None):
         self.encode = encode
         self.first = _Tier(encode, "", max(1, limit // 8), None)
         self.rest = _Tier(encode, " ", limit, frequent)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from siltflow.llm._common import arrow_map, cut, discard, ready, table
+from siltflow.llm._common import arrow_map, cut, discard, give_back, ready, table
 
 PROFILE = 400
 DOC_GRAMS = 400
@@ -229,6 +229,12 @@ def accepted(docs: DataFrame, profiles: dict[str, list[int]], limits: dict[str,
     at = docs.columns.index(text)
 
     def run(batches):
+        try:
+            yield from judged(batches)
+        finally:
+            give_back()
+
+    def judged(batches):
         judge = _Judge(shared.value, profile, doc_grams)
         least = np.array([*((limits or {}).get(x, 0.0) for x in judge.names), 0.0])  # the last for none
         for batch in batches:
