@@ -195,40 +195,52 @@ def near_words(text: str, spans: list[tuple[int, int, str]], near: int = NEAR) -
 
 
 def _entity_rows(docs: DataFrame, text: str, near: int | None, wanted: np.ndarray | None = None) -> DataFrame:
-    """(entity, word, word_key, doc), with repeats; a null word stands for the entity itself.
+    """(entity, doc, words, first, names): for each entity of a document the keys of the words that meet it.
 
     With near: the words around the entities. Without: all words of the documents that hold
-    entities of the filter wanted.
+    entities of the filter wanted. One of a document's entities is its first. Words are spelled
+    out in names, mostly once a task. Copies give equal rows, but for names.
     """
     shared = None if wanted is None else docs.sparkSession.sparkContext.broadcast(wanted)
 
     def make():
-        keys = _Keys()
+        keys, named = _Keys(), set()
 
         def step(texts):
-            out: dict[str, list] = {"entity": [], "word": [], "word_key": [], "doc": []}
+            out: dict[str, list] = {"entity": [], "doc": [], "words": [], "first": [], "names": []}
             for t in texts:
                 spans = base_spans(t) if t and ("@" in t or _DIGIT.search(t)) else []
                 if not spans:
                     continue
-                doc = _key(t)
+                met: dict[int, set[str]] = {_key(x): set() for x in sorted({_entity(k, t[s:e]) for s, e, k in spans})}
                 if near is not None:
-                    found = [(_key(x), w) for x, w in near_words(t, spans, near)]
-                    found += [(_key(x), None) for x in {_entity(k, t[s:e]) for s, e, k in spans}]
+                    for x, w in near_words(t, spans, near):
+                        met[_key(x)].add(w)
                 else:
-                    own = np.array([_key(x) for x in {_entity(k, t[s:e]) for s, e, k in spans}], np.int64)
+                    own = np.fromiter(met, np.int64, len(met))
                     own = own[_passes(shared.value, own)].tolist()
-                    words = {w[2] for w in _free_words(t, spans)} if own else ()
-                    found = [(x, w) for x in own for w in words]
-                out["entity"] += [x for x, _ in found]
-                out["word"] += [w for _, w in found]
-                out["word_key"] += [None if w is None else keys[w] for _, w in found]
-                out["doc"] += [doc] * len(found)
+                    words = {w[2] for w in _free_words(t, spans)} if own else set()
+                    met = dict.fromkeys(own, words)
+                if len(named) > keys.limit:
+                    named.clear()
+                doc = _key(t)
+                for i, (x, words) in enumerate(met.items()):
+                    out["entity"].append(x)
+                    out["doc"].append(doc)
+                    out["words"].append([keys[w] for w in words])
+                    out["first"].append(i == 0)
+                    out["names"].append([w for w in words if w not in named])
+                    named.update(words)
             return out
 
         return step
 
-    return arrow_map(docs.select(text), make, "entity long, word string, word_key long, doc long")
+    return arrow_map(docs.select(text), make, "entity long, doc long, words array<long>, first boolean, names array<string>")
+
+
+def _once(rows: DataFrame) -> DataFrame:
+    """One row of each entity and document."""
+    return rows.groupBy("entity", "doc").agg(F.first("words").alias("words"), F.first("first").alias("first"))
 
 
 def _held_words(docs: DataFrame, text: str, bits: np.ndarray) -> DataFrame:
@@ -275,17 +287,25 @@ def disclosing_terms(docs: DataFrame, text: str = "text", near: int = NEAR, alph
     that can still reach generalise_at are counted further: in a 64th of the distinct documents,
     in an 8th, and then in all, which gives the exact count of the few words left by then.
     """
-    pairs, pairs_at = cut(_entity_rows(docs, text, near).distinct(), "pairs")
-    of_entity = pairs.filter("word_key is null").groupBy("entity").agg(F.count("*").alias("entity_docs"))
-    again = of_entity.filter("entity_docs > 1").select("entity")
-    whole = _entity_rows(docs, text, None, _bitmap(again, "entity")).join(again, "entity", "left_semi")
-    met, met_at = cut(pairs.filter("word_key is not null").unionByName(whole).distinct(), "met")
-    both = met.groupBy("entity", "word", "word_key").agg(F.count("*").alias("both"))
-    tested = both.groupBy("entity").agg(F.count("*").alias("tested"))
-    at_least = met.select("word_key", "doc").distinct().groupBy("word_key").agg(F.count("*").alias("least_docs"))
+    close, close_at = cut(_entity_rows(docs, text, near), "close")
+    of_entity = close.select("entity", "doc").distinct().groupBy("entity").agg(F.count("*").alias("entity_docs"))
+    of_entity, entities_at = cut(of_entity, "entities")
+    again = of_entity.filter("entity_docs > 1")
+    whole, whole_at = cut(_entity_rows(docs, text, None, _bitmap(again, "entity")), "whole")
+    met = _once(close).join(of_entity.filter("entity_docs = 1"), "entity").withColumn("all", F.lit(False))
+    met, met_at = cut(met.unionByName(_once(whole).join(again, "entity").withColumn("all", F.lit(True))), "met")
+    one = met.select("entity", "entity_docs", "first", "all", F.explode("words").alias("word_key"))
+    both = one.groupBy("entity", "word_key").agg(F.count("*").alias("both"), F.first("entity_docs").alias("entity_docs"))
+    # the condition always holds; it lets the plan share one exchange with both
+    tested = both.groupBy("entity").agg(F.count_if((F.col("both") > 0) & (F.col("entity_docs") > 0)).alias("tested"))
+    # only a document's first entity counts its words, in either pass, so neither count is too high
+    at_least = one.filter("first").groupBy("word_key").agg(F.greatest(F.count_if(F.col("all")), F.count_if(~F.col("all"))).alias("least_docs"))
     total = float(docs.filter(F.col(text) != "").select(F.approx_count_distinct(F.xxhash64(text), 0.02)).first()[0])
-    likely = lambda n: _significant(total, "both", n, "entity_docs", "tested", alpha) & (_disclosure(total, "both", n, "entity_docs") >= generalise_at)
-    joint, joint_at = cut(both.join(of_entity.join(tested, "entity"), "entity").join(at_least, "word_key").filter(likely("least_docs")), "joint")
+    reaches = lambda n, of: _significant(total, "both", n, "entity_docs", of, alpha) & (_disclosure(total, "both", n, "entity_docs") >= generalise_at)
+    likely = lambda n: reaches(n, "tested")
+    joint = both.join(at_least, "word_key", "left").withColumn("least_docs", F.greatest("both", "least_docs"))
+    joint = joint.withColumn("fewest", F.lit(1)).filter(reaches("least_docs", "fewest")).drop("fewest")
+    joint, joint_at = cut(joint.join(tested, "entity").filter(likely("least_docs")), "joint")
     for share in ROUNDS:
         some = docs.filter(F.pmod(F.xxhash64(text), F.lit(share)) == 0)
         words = joint.select("word_key").distinct()
@@ -294,8 +314,11 @@ def disclosing_terms(docs: DataFrame, text: str = "text", near: int = NEAR, alph
         last, (joint, joint_at) = joint_at, cut(more.filter(likely("least_docs")), "joint")
         discard(docs.sparkSession, last)
     told = joint.withColumn("disclosure", _disclosure(total, "both", "least_docs", "entity_docs"))
-    out, _ = cut(told.groupBy("word").agg(F.max("disclosure").alias("disclosure")), "terms")
-    for path in (pairs_at, met_at, joint_at):
+    told = told.groupBy("word_key").agg(F.max("disclosure").alias("disclosure"))
+    names = close.select("names").unionByName(whole.select("names")).select(F.explode("names").alias("word"))
+    named = names.withColumn("word_key", F.xxhash64("word")).join(told, "word_key")
+    out, _ = cut(named.groupBy("word").agg(F.max("disclosure").alias("disclosure")), "terms")
+    for path in (close_at, entities_at, whole_at, met_at, joint_at):
         discard(docs.sparkSession, path)
     return out
 
