@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siltflow.llm.chat import OP3_SQL, op3_chat_formatting
 from siltflow.llm.decontam import op10_benchmark_decontamination
+from siltflow.llm.filter_audit import OP12_SQL, op12_filter_audit
 from siltflow.llm.html_text import op1_html_extraction
 from siltflow.llm.langid import op9_language_id
 from siltflow.llm.line_templates import OP4_SQL, op4_line_dedup
@@ -16,6 +17,7 @@ from siltflow.llm.pii import op2_pii
 from siltflow.llm.quality import op6_quality_rules
 from siltflow.llm.simhash import op7_simhash_near_dedup
 from siltflow.llm.token_counts import op8_token_counts
+from siltflow.llm.url_filter import OP13_SQL, op13_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
@@ -28,6 +30,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_url_filter": op13_url_filter,
 }
 
-SQL: dict[str, str] = {"op3_chat_formatting": OP3_SQL, "op4_line_dedup": OP4_SQL}
+SQL: dict[str, str] = {"op3_chat_formatting": OP3_SQL, "op4_line_dedup": OP4_SQL, "op12_filter_audit": OP12_SQL, "op13_url_filter": OP13_SQL}
