@@ -15,6 +15,7 @@ from siltflow.llm.line_templates import OP4_SQL, op4_line_dedup
 from siltflow.llm.packing import op5_best_fit_packing
 from siltflow.llm.pii import op2_pii
 from siltflow.llm.quality import op6_quality_rules
+from siltflow.llm.repair import OP11_SQL, op11_conversation_repair
 from siltflow.llm.simhash import op7_simhash_near_dedup
 from siltflow.llm.token_counts import op8_token_counts
 from siltflow.llm.url_filter import OP13_SQL, op13_url_filter
@@ -30,8 +31,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_language_id": op9_language_id,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_filter_audit": op12_filter_audit,
     "op13_url_filter": op13_url_filter,
 }
 
-SQL: dict[str, str] = {"op3_chat_formatting": OP3_SQL, "op4_line_dedup": OP4_SQL, "op12_filter_audit": OP12_SQL, "op13_url_filter": OP13_SQL}
+SQL: dict[str, str] = {"op3_chat_formatting": OP3_SQL, "op4_line_dedup": OP4_SQL, "op11_conversation_repair": OP11_SQL, "op12_filter_audit": OP12_SQL, "op13_url_filter": OP13_SQL}
