@@ -84,7 +84,8 @@ def flagged(turns: DataFrame) -> DataFrame:
     own = W.partitionBy("conv_id", "present")
     order = own.orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     initial = F.substring("role", 1, 1)
-    rows = turns.withColumns({"place": F.row_number().over(order), "before": F.lag(initial).over(order), "new_turn": F.coalesce(F.lag("turn").over(order) != F.col("turn"), F.col("turn").isNotNull())})
+    # one exchange serves all that follows, as every window and group holds the conversation
+    rows = turns.repartition("conv_id").withColumns({"place": F.row_number().over(order), "before": F.lag(initial).over(order), "new_turn": F.coalesce(F.lag("turn").over(order) != F.col("turn"), F.col("turn").isNotNull())})
     again = F.row_number().over(W.partitionBy("conv_id", "present", "role", "text").orderBy("place")) > 1
     last = F.substring(F.rtrim("text", F.lit(SPACE)), -1, 1)
     fault = F.when(last == "", "blank").when(again, "duplicate").when(~last.isin(".", "!", "?"), "truncated")
