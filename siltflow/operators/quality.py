@@ -40,11 +40,17 @@ def schemas(records: DataFrame) -> DataFrame:
 
 def reference_schemas(records: DataFrame) -> DataFrame:
     """For each topic and partition the first usable schema by offset, the last offset, the rows, and by their hashes the heads that
-    say the same as the reference, with their rows."""
-    every = schemas(records)
-    reference = every.groupBy(*PART).agg(F.min_by("wanted", F.when(F.col("wanted").isNotNull(), F.col("first_offset"))).alias("reference"), F.max("last_offset").alias("last_offset"), F.sum("n").alias("n"))
-    same = every.join(reference.select(*PART, "reference"), [*PART]).filter("wanted = reference").groupBy(*PART).agg(F.collect_list(F.xxhash64("head")).alias("heads"), F.sum("n").alias("fit"))
-    return reference.join(same, [*PART], "left").select(*PART, "reference", "last_offset", "n", F.coalesce("heads", F.expr("cast(array() as array<long>)")).alias("heads"), F.coalesce("fit", F.lit(0)).alias("fit"))
+    say the same as the reference, with their rows.
+
+    Every step is an aggregate that merges: by head, by what the heads say, by partition. So the records are read once, and
+    only the distinct heads are parsed; a join with the reference would let the optimiser parse each record for its key.
+    """
+    said = schemas(records).groupBy(*PART, "wanted").agg(
+        F.min("first_offset").alias("first_offset"), F.max("last_offset").alias("last_offset"), F.sum("n").alias("n"), F.collect_list(F.when(F.col("wanted").isNotNull(), F.xxhash64("head"))).alias("heads")
+    )
+    first = F.min_by(F.struct("wanted", "heads", "n"), F.when(F.col("wanted").isNotNull(), F.col("first_offset")))
+    own = said.groupBy(*PART).agg(first.alias("r"), F.max("last_offset").alias("last_offset"), F.sum("n").alias("n"))
+    return own.select(*PART, F.col("r.wanted").alias("reference"), "last_offset", "n", F.coalesce("r.heads", F.expr("cast(array() as array<long>)")).alias("heads"), F.coalesce("r.n", F.lit(0)).alias("fit"))
 
 
 def fits(heads: Column) -> Column:

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import threading
 import time
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -24,6 +26,7 @@ from siltflow.operators.routing import Catalog, RoutingError, table_name
 from siltflow.plans import flush
 from siltflow.plans.config import IngestConfig
 from siltflow.sources.records import decode
+from siltflow.sources.storage import discard
 from siltflow.sources.table import Result, TxnTable
 
 STALE_AFTER_S = 40 * 60
@@ -82,20 +85,20 @@ class Ingest:
     def batch(self, records: DataFrame) -> Outcome:
         """Ingests records (topic, partition, offset, value). Replays, in whatever cut, add nothing twice.
 
-        records is read once for the schemas and offsets that it has and once for each table and
-        schema, so cache what is costly to make. Rows that come in between the two are left.
+        records is read twice, however many tables there are: once for the schemas and offsets that
+        it has, once for its rows. Rows that come in between the two are left.
         """
         rows = records.select("topic", "partition", "offset", "value")
         parts = quality.reference_schemas(rows).collect()  # a row for each topic and partition
         out = Outcome()
         if sum(p.n for p in parts) > self.config.max_buffered > 0:
             raise BackPressure(f"{sum(p.n for p in parts)} records; at most {self.config.max_buffered} are taken at once")
-        by_table: dict[str, list] = {}
+        by_table: dict[str, dict[str, list]] = {}
         for p in parts:
             name = table_name(self.config.table_name_format, self.config.topic_to_table, p.topic)
-            by_table.setdefault(name, []).append(p)
-        with ThreadPoolExecutor(max(1, min(self.config.flush_concurrency, len(by_table) or 1))) as pool:
-            jobs = {name: pool.submit(self._flush, rows, name, own, out) for name, own in sorted(by_table.items())}
+            by_table.setdefault(name, {}).setdefault(f"{p.topic}\0{p.partition}" if self.config.commit_per_partition else p.reference, []).append(p)
+        with self._dealt(rows, [own for groups in by_table.values() for own in groups.values()]) as dealt, ThreadPoolExecutor(max(1, min(self.config.flush_concurrency, len(by_table) or 1))) as pool:
+            jobs = {name: pool.submit(self._flush, dealt, name, list(groups.values()), out) for name, groups in sorted(by_table.items())}
         failed = [j.exception() for j in jobs.values() if j.exception()]
         if failed:  # the other tables are done, and a replay skips them
             raise failed[0]
@@ -111,12 +114,29 @@ class Ingest:
         last = planned.agg(F.max("flush")).first()[0]
         return [self.batch(planned.filter(F.col("flush") == k).drop("flush")) for k in range(0 if last is None else last + 1)]
 
-    def _flush(self, rows: DataFrame, name: str, parts: list, out: Outcome) -> None:
-        groups: dict[str | None, list] = {}
-        for p in parts:
-            groups.setdefault(p.reference if not self.config.commit_per_partition else f"{p.topic}\0{p.partition}", []).append(p)
-        for own in groups.values():
-            self._flush_schema(rows, name, own[0].reference, own, out)
+    @contextmanager
+    def _dealt(self, rows: DataFrame, groups: list[list]) -> Iterator[Callable[[list], DataFrame]]:
+        """Gives each group (partitions of one table and schema) its rows.
+
+        Several groups are dealt to folders in one job before any is read, so the source isn't
+        scanned for each. The rebalancing splits large groups over files and puts small ones into few.
+        """
+        if len(groups) < 2:
+            yield lambda own: rows
+            return
+        number = {(p.topic, p.partition): k for k, own in enumerate(groups) for p in own}
+        places = self.spark.createDataFrame([(p.topic, p.partition, p.last_offset, number[p.topic, p.partition]) for own in groups for p in own], "topic string, `partition` int, last long, `group` int")
+        folder = f"{self.config.root}/_dealt/{uuid.uuid4().hex}"
+        mine = rows.join(F.broadcast(places), [*quality.PART]).filter("offset <= last").drop("last")
+        try:
+            mine.hint("rebalance", "group").write.partitionBy("group").parquet(folder)
+            yield lambda own: self.spark.read.schema(rows.schema).parquet(f"{folder}/group={number[own[0].topic, own[0].partition]}")
+        finally:
+            discard(self.spark, folder)
+
+    def _flush(self, dealt: Callable[[list], DataFrame], name: str, groups: list[list], out: Outcome) -> None:
+        for own in groups:
+            self._flush_schema(dealt(own), name, own[0].reference, own, out)
             with self._lock:
                 out.next_offsets |= {(p.topic, p.partition): p.last_offset + 1 for p in own}
 

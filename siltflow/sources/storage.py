@@ -142,5 +142,11 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/siltflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a folder that no later plan reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def dumps(actions: list[dict]) -> str:
     return "".join(json.dumps(a, separators=(",", ":"), sort_keys=True) + "\n" for a in actions)

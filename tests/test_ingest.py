@@ -44,6 +44,42 @@ def test_split_and_dead_letters(spark, tmp_path):
     assert ingest.batch(batch).dead == 0 and ingest.dead_letters.read().count() == 7 and ingest.table("main.s.t").read().count() == 2
 
 
+@pytest.mark.parametrize("topics", [1, 2, 9])
+def test_a_batch_is_read_twice(spark, tmp_path, topics):
+    """However many tables, schemas and unusable records it has."""
+    rows = [(f"t{k % topics}", p, k, value(V2 if k % 2 and p else V1, id=k, name="a")) for p in (0, 1) for k in range(36)] + [("t0", 0, 99, "garbage")]
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            read.add(len(b))
+            yield b
+
+    records(spark, *rows).write.parquet(f"{tmp_path}/in")
+    source = spark.read.parquet(f"{tmp_path}/in").mapInPandas(count, "topic string, `partition` int, `offset` long, value string")
+    ingest = engine(spark, f"{tmp_path}/out", commit_per_partition=True, schema_evolution=Evolution.MERGE, flush_concurrency=3)
+    out = ingest.batch(source)
+    if topics > 1:
+        assert read.value == 2 * len(rows) and not list((tmp_path / "out" / "_dealt").iterdir())
+    assert sum(ingest.table(f"main.s.t{k}").read().count() for k in range(topics)) + out.dead == len(rows)
+
+
+def test_schemas_are_parsed_by_head_alone(spark, tmp_path):
+    from siltflow.operators import quality
+
+    spaced = json.dumps({"schema": V1, "payload": {"id": 4, "name": "d"}}, indent=1)
+    tight = lambda schema, **x: json.dumps({"schema": schema, "payload": x}, separators=(",", ":"))
+    rows = [("t", 0, 0, None), ("t", 0, 1, "x"), ("t", 0, 2, tight(V1, id=1, name="a")), ("t", 0, 3, tight(V2, id=1, name="a", email="e")), ("t", 0, 4, spaced), ("t", 1, 7, None), ("u", 0, 5, tight(V2, id=1, name="a", email="e")), ("u", 0, 4, tight(V1, id=1, name="a"))]
+    records(spark, *rows).write.parquet(f"{tmp_path}/in")
+    df = quality.reference_schemas(spark.read.parquet(f"{tmp_path}/in"))
+    got = {(r.topic, r.partition): (r.reference and len(json.loads(r.reference)["fields"]), r.last_offset, r.n, r.fit, len(r.heads)) for r in df.collect()}
+    assert got == {("t", 0): (2, 4, 5, 2, 1), ("t", 1): (None, 7, 1, 0, 0), ("u", 0): (2, 5, 2, 1, 1)}
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "Join" not in plan
+    below = plan[plan.rindex("Aggregate") :]  # what is done for each record: a parse only where the fixed text isn't found
+    assert not [x for x in below.splitlines() if "Filter" in x] and "$.type" not in below.split("CASE WHEN")[0]
+
+
 def test_without_dead_letters_the_batch_fails(spark, tmp_path):
     with pytest.raises(ValueError, match="t-0@0"):
         engine(spark, tmp_path, dead_letters=False).batch(records(spark, ("t", 0, 0, None), ("t", 0, 1, value(V1, id=1, name="a"))))
