@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from siltflow.sources.table import Result, TxnTable
+from siltflow.sources.table import CommitConflict, Result, TxnTable
 
 DELETED, BUCKET, BUCKETS = "__deleted", "__bucket", 16
 
@@ -74,12 +74,15 @@ def current(target: TxnTable) -> DataFrame:
     return target.read(where={DELETED: "false"}).drop(DELETED, BUCKET)
 
 
-def apply_changes(bronze: DataFrame, target: TxnTable, keys: list[str], sequence_by: list[str], columns: list[str], apply_as_deletes: Column | None = None, stored_as_scd_type: int = 1, valid: str | None = None, txns: dict[str, int] | None = None, buckets: int = BUCKETS) -> Result | None:
+def apply_changes(bronze: DataFrame, target: TxnTable, keys: list[str], sequence_by: list[str], columns: list[str], apply_as_deletes: Column | None = None, stored_as_scd_type: int = 1, valid: str | None = None, txns: dict[str, int] | None = None, buckets: int = BUCKETS, read_version: int | None = None, tries: int = 5) -> Result | None:
     """Brings target up to date with bronze's changes, as current rows (type 1, see `current`) or history (type 2).
 
     Type 1 takes any part of the changes, in any order. Its rows lie in buckets by key, and only
     buckets that changes meet are read and rewritten; deleted keys stay with their sequence. Type 2
     takes all changes. None: there were no changes.
+
+    Writers of other keys' buckets don't conflict. Where another has changed the same buckets since they were read (in
+    read_version, the latest by default), the rewrite starts anew from the latest version, tries times at most.
     """
     op = F.when(F.coalesce(apply_as_deletes if apply_as_deletes is not None else F.col("op") == "d", F.lit(False)), "d").otherwise("u")
     changes = bronze.withColumn("__op", op)
@@ -95,8 +98,14 @@ def apply_changes(bronze: DataFrame, target: TxnTable, keys: list[str], sequence
         met = sorted(r[0] for r in latest.select(BUCKET).distinct().collect())  # at most `buckets` numbers
         if not met:
             return None
-        old = target.read(where={BUCKET: [str(x) for x in met]})
-        return target.overwrite(scd1(old, latest, keys, sequence_by[0], "__op", deleted=DELETED).select(*old.columns).repartition(BUCKET), txns, where={BUCKET: {str(x) for x in met}})
+        for k in range(tries):
+            at = target.snapshot().version if read_version is None or k else read_version
+            old = target.read(at, where={BUCKET: [str(x) for x in met]})
+            try:
+                return target.overwrite(scd1(old, latest, keys, sequence_by[0], "__op", deleted=DELETED).select(*old.columns).repartition(BUCKET), txns, where={BUCKET: {str(x) for x in met}}, read_version=at)
+            except CommitConflict:
+                if k == tries - 1:
+                    raise
     finally:
         latest.unpersist()
 

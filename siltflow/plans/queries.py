@@ -21,6 +21,7 @@ from siltflow.plans.config import IngestConfig
 from siltflow.plans.credentials import ScopedSecrets
 from siltflow.plans.ingest import BackPressure, Ingest
 from siltflow.sources.records import encode, read_records
+from siltflow.sources.stats import Between
 from siltflow.sources.storage import work_dir
 from siltflow.sources.table import TxnTable
 from siltflow.streaming import sink
@@ -257,6 +258,20 @@ def scd1_incremental(spark, sf_dir):
     return cdc.current(t)
 
 
+@query(SCD1_SQL)
+def disjoint_rewrites(spark, sf_dir):
+    """Two writers that read the same version: of other buckets, both commit; of the same ones, the second starts anew."""
+    bronze = _bronze(spark, sf_dir, "disjoint").read()
+    t = TxnTable(spark, work_dir(spark, "disjoint-current"))
+    apply = lambda rows, **at: cdc.apply_changes(rows, t, ["user_id"], ["event_id"], ["user_id", "event_type", "value"], **at)
+    read = apply(bronze.filter("event_id % 4 = 0")).version
+    own = F.pmod(F.hash("user_id"), F.lit(cdc.BUCKETS)) % 2
+    apply(bronze.filter((F.col("event_id") % 4 == 1) & (own == 0)), read_version=read)
+    apply(bronze.filter((F.col("event_id") % 4 == 1) & (own == 1)), read_version=read)
+    apply(bronze.filter("event_id % 4 > 1"), read_version=read)
+    return cdc.current(t)
+
+
 @query("SELECT count(*) AS n, count(*) FILTER (WHERE op = 'd') AS deletes FROM " + EVENTS_SQL)
 def tombstone_intake(spark, sf_dir):
     """Records with a null value, as a source sends them after each delete, are set aside and don't hold up the others."""
@@ -344,6 +359,42 @@ def partitioned_append(spark, sf_dir):
     return t.read(where={"event_type": "click"})
 
 
+SLICES_SQL = "(SELECT event_id, event_type, CASE WHEN event_id % 17 = 0 THEN 'NaN'::DOUBLE WHEN event_id % 19 <> 0 THEN value END AS value, CAST(event_id * 12 // (SELECT max(event_id) + 1 FROM events) AS INT) AS slice FROM events)"
+
+
+def _sliced(spark, sf_dir, name: str, **settings) -> TxnTable:
+    """Events in twelve files by event_id; some values are NaN, some null."""
+    e = _table(spark, sf_dir, "events")
+    n = e.agg(F.max("event_id") + 1).first()[0]
+    value = F.when(F.col("event_id") % 17 == 0, F.lit(float("nan"))).when(F.col("event_id") % 19 != 0, F.col("value"))
+    t = TxnTable(spark, work_dir(spark, name), **settings)
+    rows = e.select("event_id", "event_type", value.alias("value"), F.expr(f"event_id * 12 div {n}").cast("int").alias("slice"))
+    t.append(rows.repartition(12, "slice"), partition_columns=["slice"])
+    return t
+
+
+@query(f"""WITH s AS {SLICES_SQL}, b AS (SELECT max(event_id) // 3 AS low, max(event_id) // 2 AS high FROM s), f AS (SELECT slice, min(event_id) <= max(high) AND max(event_id) >= max(low) AS met FROM s, b GROUP BY slice)
+SELECT event_id, event_type, isnan(value) AS not_a_number, (SELECT count(*) FILTER (NOT met) FROM f) AS left_out, (SELECT count(*) FROM f) AS files FROM s, b WHERE event_id BETWEEN low AND high AND value >= 10""")
+def range_read(spark, sf_dir):
+    """Rows of a range of ids and values, and how many files their bounds left out."""
+    t = _sliced(spark, sf_dir, "ranges")
+    top = t.read().agg(F.max("event_id")).first()[0]
+    where = {"event_id": Between(top // 3, top // 2), "value": Between(low=10.0)}
+    left_out, files = t.skipped(where)
+    return t.read(where=where).select("event_id", "event_type", F.isnan("value").alias("not_a_number"), F.lit(left_out).cast("long").alias("left_out"), F.lit(files).cast("long").alias("files"))
+
+
+@query(f"SELECT event_id, event_type, slice, CAST(4 AS BIGINT) AS versions FROM {SLICES_SQL} WHERE slice NOT IN (2, 5) OR event_id % 2 = 0")
+def log_replay(spark, sf_dir):
+    """A table whose log is replayed by an aggregation, from a checkpoint and later commits, as the driver keeps two actions only."""
+    t = _sliced(spark, sf_dir, "replayed", max_tail=2)
+    for k in (2, 5, 2):
+        t.overwrite(t.read(where={"slice": str(k)}).filter("event_id % 2 = 0"), where={"slice": {str(k)}})
+        t.maintain(every=2)
+    again = TxnTable(spark, t.path, max_tail=2)
+    return again.read().select("event_id", "event_type", "slice", F.lit(again.snapshot().version + 1).cast("long").alias("versions"))
+
+
 @query("SELECT count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids, CAST(12 AS BIGINT) AS versions FROM events")
 def checkpoint_restart(spark, sf_dir):
     """A reader that starts from the checkpoint sees what the log holds."""

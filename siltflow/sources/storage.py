@@ -14,6 +14,7 @@ from pyspark.sql import SparkSession
 
 class Storage(Protocol):
     def list(self, path: str) -> list[str]: ...
+    def sizes(self, path: str) -> list[tuple[str, int]]: ...
     def read(self, path: str) -> str: ...
     def create(self, path: str, text: str) -> bool: ...
     def files(self, path: str) -> list[tuple[str, int]]: ...
@@ -30,6 +31,13 @@ class LocalStorage:
         at = self._at(path)
         return sorted(os.listdir(at)) if os.path.isdir(at) else []
 
+    def sizes(self, path: str) -> list[tuple[str, int]]:
+        at = self._at(path)
+        if not os.path.isdir(at):
+            return []
+        with os.scandir(at) as found:
+            return sorted((e.name, e.stat().st_size) for e in found if not e.name.endswith(".tmp"))
+
     def read(self, path: str) -> str:
         with open(self._at(path), encoding="utf-8") as f:
             return f.read()
@@ -72,6 +80,10 @@ class HadoopStorage:
         p, fs = self._fs(path)
         return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
+    def sizes(self, path: str) -> list[tuple[str, int]]:
+        p, fs = self._fs(path)
+        return sorted((s.getPath().getName(), s.getLen()) for s in fs.listStatus(p)) if fs.exists(p) else []
+
     def read(self, path: str) -> str:
         p, fs = self._fs(path)
         stream = fs.open(p)

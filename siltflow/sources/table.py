@@ -5,6 +5,10 @@ partition columns; the schema's nullability counts, Parquet's doesn't), add and
 txn (an application's latest applied version) and commitInfo. A version belongs to whoever
 creates its file first. Data files are written before, so a failed commit leaves files that no
 reader sees.
+
+The state of a table is the last action of each path. Only the actions since the last checkpoint are
+kept by the driver, and no more than `MAX_TAIL` of them; the rest is a DataFrame, replayed by an
+aggregation over the checkpoint's parts and the log's files, and filtered before any path comes to the driver.
 """
 
 from __future__ import annotations
@@ -16,17 +20,26 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Protocol
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siltflow.sources import stats as bounds
 from siltflow.sources.storage import Storage, dumps, storage_for
 
 LOG = "_txn_log"
 POINTER = ".checkpoint.json"
 CHECKPOINT_EVERY = 10
 MAX_TRIES = 20
+#: Actions, and bytes of log, that the driver replays by itself.
+MAX_TAIL = 20_000
+MAX_LOG_BYTES = 16 << 20
+STATS_COLUMNS = 32
+FILES_COLUMNS = ("path", "size", "partitionValues", "stats")
+FILES = "path string, size bigint, partitionValues map<string,string>, stats string"
+ACTIONS = f"add struct<{FILES.replace(' string', ':string').replace(' bigint', ':bigint').replace(' map', ':map')}>, remove struct<path:string>, metaData struct<schemaString:string,partitionColumns:array<string>>, txn struct<appId:string,version:bigint>, commitInfo string"
 
 
 class CommitConflict(RuntimeError):
@@ -54,11 +67,14 @@ class Coordinator(Protocol):
 
 @dataclass
 class Snapshot:
+    """A version's schema and stamps, and its files: those of base but for what tail (path: add action, or None if removed) says."""
+
     version: int = -1
     schema: T.StructType | None = None
     partition_columns: list[str] = field(default_factory=list)
-    files: dict[str, dict] = field(default_factory=dict)
     txns: dict[str, int] = field(default_factory=dict)
+    tail: dict[str, dict | None] = field(default_factory=dict)
+    base: DataFrame | None = None
 
     def apply(self, version: int, actions: list[dict]) -> None:
         for a in actions:
@@ -66,15 +82,39 @@ class Snapshot:
                 self.schema = T.StructType.fromJson(json.loads(m["schemaString"]))
                 self.partition_columns = m.get("partitionColumns", [])
             elif m := a.get("add"):
-                self.files[m["path"]] = m
+                self.tail[m["path"]] = m
             elif m := a.get("remove"):
-                self.files.pop(m["path"], None)
+                if self.base is None:
+                    self.tail.pop(m["path"], None)
+                else:
+                    self.tail[m["path"]] = None
             elif m := a.get("txn"):
                 self.txns[m["appId"]] = max(m["version"], self.txns.get(m["appId"], m["version"]))
         self.version = version
 
     def copy(self) -> Snapshot:
-        return Snapshot(self.version, self.schema, list(self.partition_columns), dict(self.files), dict(self.txns))
+        return Snapshot(self.version, self.schema, list(self.partition_columns), dict(self.txns), dict(self.tail), self.base)
+
+    def adds(self, spark: SparkSession) -> DataFrame:
+        """The files, a row each."""
+        own = [(p, a["size"], a["partitionValues"], json.dumps(a["stats"]) if a.get("stats") else None) for p, a in self.tail.items() if a]
+        out = spark.createDataFrame(own, FILES)
+        if self.base is None:
+            return out
+        base = self.base
+        if self.tail:  # MAX_TAIL paths at most
+            base = base.join(F.broadcast(spark.createDataFrame([(p,) for p in self.tail], "path string")), "path", "left_anti")
+        return base.select(out.columns).unionAll(out)
+
+    @property
+    def files(self) -> dict[str, dict]:
+        """All files, on the driver: for small tables."""
+        out = {} if self.base is None else {r.path: _add(r) for r in self.base.collect() if r.path not in self.tail}
+        return out | {p: a for p, a in self.tail.items() if a}
+
+
+def _add(row) -> dict:
+    return {"path": row.path, "size": row.size, "partitionValues": row.partitionValues, "dataChange": True} | ({"stats": bounds.parsed(row.stats)} if row.stats else {})
 
 
 @dataclass(frozen=True)
@@ -89,8 +129,9 @@ class Result:
 class TxnTable:
     """One table. Snapshots are kept between calls and brought up to date from newer versions only."""
 
-    def __init__(self, spark: SparkSession, path: str, storage: Storage | None = None, coordinator: Callable[[Storage, str], Coordinator] | None = None):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, storage: Storage | None = None, coordinator: Callable[[Storage, str], Coordinator] | None = None, stats_columns: int = STATS_COLUMNS, max_tail: int = MAX_TAIL):
+        """stats_columns: how many of a file's columns get bounds; max_tail: how many actions the driver keeps."""
+        self.spark, self.path, self.stats_columns, self.max_tail = spark, path.rstrip("/"), stats_columns, max_tail
         self.storage = storage or storage_for(spark, path)
         self.coordinator = coordinator(self.storage, f"{self.path}/{LOG}") if coordinator else None
         self._kept: Snapshot | None = None
@@ -120,41 +161,107 @@ class TxnTable:
         with self._lock:
             if self.coordinator:
                 self.coordinator.publish()  # what is ratified counts, whoever's turn it was to publish it
-            names = self.storage.list(f"{self.path}/{LOG}")
-            all_ = sorted(int(n[:20]) for n in names if len(n) == 25 and n.endswith(".json"))
+            sizes = dict(self.storage.sizes(f"{self.path}/{LOG}"))
+            all_ = sorted(int(n[:20]) for n in sizes if len(n) == 25 and n.endswith(".json"))
             until = all_[-1] if all_ and version is None else -1 if version is None else version
             if version is not None and version not in all_:
                 raise ValueError(f"there is no version {version} of {self.path}")
             base = self._kept.copy() if self._kept is not None and self._kept.version <= until else Snapshot()
-            points = [int(n[:20]) for n in names if n.endswith(POINTER)]
+            points = [int(n[:20]) for n in sizes if n.endswith(POINTER)]
             point = max((p for p in points if base.version < p <= until), default=None)
             if point is not None and point > base.version + 1:
                 base = self._from_checkpoint(point)
-            for v in all_:
-                if base.version < v <= until:
+            new = [v for v in all_ if base.version < v <= until]
+            if sum(sizes[f"{v:020d}.json"] for v in new) > MAX_LOG_BYTES:
+                base = self._replayed(until, max((p for p in points if p <= until), default=None), all_)
+            for v in new:
+                if base.version < v:
                     if not (actions := self._actions(v)):
                         break  # its writer isn't done, or died: the table is as it was before
                     base.apply(v, actions)
+            if len(base.tail) > self.max_tail:
+                base = self._replayed(base.version, max((p for p in points if p <= base.version), default=None), all_)
             if version is None:
                 self._kept = base.copy()
             elif base.version != version:
                 raise ValueError(f"version {version} of {self.path} isn't whole")
             return base
 
+    def _replayed(self, until: int, point: int | None, versions: list[int]) -> Snapshot:
+        """A snapshot whose files are a DataFrame: the last action of each path in a checkpoint and the log's files after it."""
+        since = self._from_checkpoint(point) if point is not None else Snapshot()
+        new = [v for v in versions if since.version < v <= until]
+        if not new:
+            return since
+        log = self.spark.read.text([self._log(f"{v:020d}.json") for v in new]).select(F.from_json("value", ACTIONS).alias("a"), F.substring(F.col("_metadata.file_name"), 1, 20).cast("long").alias("v")).select("a.*", "v")
+        # what isn't about files is small: a row a version, and one a stamp
+        whole = {r.v for r in log.filter("commitInfo is not null").select("v").distinct().collect()}
+        last = since.version
+        for v in new:
+            if v not in whole:
+                break
+            last = v
+        log = log.filter(F.col("v") <= last)
+        meta = log.filter("metaData is not null").agg(F.max_by("metaData", "v").alias("m")).first().m
+        stamps = log.filter("txn is not null").groupBy("txn.appId").agg(F.max("txn.version").alias("version")).collect()
+        out = Snapshot(last, since.schema, since.partition_columns, dict(since.txns))
+        if meta:
+            out.schema, out.partition_columns = T.StructType.fromJson(json.loads(meta.schemaString)), list(meta.partitionColumns or [])
+        out.txns |= {r.appId: max(r.version, out.txns.get(r.appId, r.version)) for r in stamps}
+        own = log.filter("add is not null or remove is not null").select(F.coalesce("add.path", "remove.path").alias("path"), "add", F.struct("v", F.col("add").isNotNull()).alias("at"))
+        if since.base is not None:
+            old = since.base.select("path", F.struct(*FILES_COLUMNS).alias("add"), F.struct(F.lit(-1).cast("long").alias("v"), F.lit(True)).alias("at"))
+            own = old.unionAll(own)
+        out.base = own.groupBy("path").agg(F.max_by(F.struct("add"), "at").alias("x")).filter("x.add is not null").select("x.add.*")
+        return out
+
     def read(self, version: int | None = None, where: dict[str, object] | None = None) -> DataFrame:
-        """The table's rows; where: values (or lists of them) of partition columns, by which files are left out unread."""
+        """The table's rows that meet conditions on columns: a value, a list or set of values, or `Between`.
+
+        Files that can't hold such rows, by their partition's values or their columns' bounds, are left out unread.
+        """
         snap = self.snapshot(version)
         if snap.schema is None:
             raise ValueError(f"there is no table at {self.path}")
-        wanted = {k: {None if x is None else str(x) for x in (v if isinstance(v, list | set) else [v])} for k, v in (where or {}).items()}
-        files = [p for p, a in snap.files.items() if all(a["partitionValues"].get(k) in v for k, v in wanted.items())]
-        return self._scan(_folders(files), snap.schema)
+        where = where or {}
+        df = self._scan(self.plan(snap, where), snap.schema)
+        rest = {k: w for k, w in where.items() if k not in snap.partition_columns or isinstance(w, bounds.Between)}
+        return df.filter(bounds.row_filter(rest, snap.schema)) if rest else df
+
+    def plan(self, snap: Snapshot, where: dict[str, object] | None = None) -> list[str]:
+        """The paths to read for conditions: folders of which all files may hold such rows, and single files."""
+        where = where or {}
+        by_folder: dict[str, list[tuple[str, bool]]] = {}
+        for p, a in snap.tail.items():
+            if a:
+                by_folder.setdefault(p.rpartition("/")[0], []).append((p, bounds.may_hold(a, where, snap.schema, snap.partition_columns)))
+        paths = [x for folder, own in by_folder.items() for x in ([folder] if all(hit for _, hit in own) else [p for p, hit in own if hit])]
+        if snap.base is not None:
+            files = Snapshot(tail={p: None for p in snap.tail}, base=snap.base).adds(self.spark)
+            hit = bounds.may_hold_column(where, snap.schema, snap.partition_columns)
+            folders = files.select("path", F.regexp_replace("path", "/[^/]*$", "").alias("folder"), hit.alias("hit"))
+            folders = folders.groupBy("folder").agg(F.every("hit").alias("whole"), F.collect_list(F.when(F.col("hit"), F.col("path"))).alias("hits"))
+            wanted = F.when(F.col("whole"), F.array("folder")).otherwise(F.col("hits"))
+            paths += [r[0] for r in folders.select(F.explode(wanted)).toLocalIterator()]
+        return paths
+
+    def skipped(self, where: dict[str, object], version: int | None = None) -> tuple[int, int]:
+        """How many files a read with these conditions leaves out, and how many there are."""
+        snap = self.snapshot(version)
+        own = [bounds.may_hold(a, where, snap.schema, snap.partition_columns) for a in snap.tail.values() if a]
+        n, hits = len(own), sum(own)
+        if snap.base is not None:
+            files = Snapshot(tail={p: None for p in snap.tail}, base=snap.base).adds(self.spark)
+            got = files.agg(F.count("*").alias("n"), F.count_if(bounds.may_hold_column(where, snap.schema, snap.partition_columns)).alias("hits")).first()
+            n, hits = n + got.n, hits + got.hits
+        return n - hits, n
 
     def read_since(self, version: int, until: int | None = None) -> DataFrame:
         """The rows that appends after a version, up to another (the latest by default), have added."""
         snap = self.snapshot(until)
         files = [a["add"]["path"] for v in self._versions() if version < v <= snap.version for a in self._actions(v) if "add" in a]
-        return self._scan(_folders([p for p in files if p in snap.files]), snap.schema)
+        gone = {a["remove"]["path"] for v in self._versions() if version < v <= snap.version for a in self._actions(v) if "remove" in a}
+        return self._scan(_folders([p for p in files if p not in gone]), snap.schema)
 
     def _scan(self, paths: list[str], schema: T.StructType) -> DataFrame:
         nullable = relaxed(schema)
@@ -164,14 +271,11 @@ class TxnTable:
 
     def history(self) -> DataFrame:
         """One row a version: operation, mode, whether a blind append, rows, files and bytes written."""
-        rows = []
-        for v in self._versions():
-            if not (actions := self._actions(v)):
-                break
-            info = actions[-1]["commitInfo"]
-            m = info.get("operationMetrics", {})
-            rows.append((v, info.get("timestamp"), info.get("operation"), info.get("operationParameters", {}).get("mode"), info.get("isBlindAppend"), *(int(m[k]) if k in m else None for k in ("numOutputRows", "numFiles", "numOutputBytes"))))
-        return self.spark.createDataFrame(rows, "version long, timestamp long, operation string, mode string, is_blind_append boolean, num_output_rows long, num_files long, num_output_bytes long")
+        info = "struct<commitInfo:struct<timestamp:bigint,operation:string,isBlindAppend:boolean,operationParameters:struct<mode:string>,operationMetrics:map<string,string>>>"
+        log = self.spark.read.text([self._log(f"{v:020d}.json") for v in self._versions()]).filter(F.col("value").startswith('{"commitInfo"'))
+        rows = log.select(F.substring(F.col("_metadata.file_name"), 1, 20).cast("long").alias("version"), F.from_json("value", info)["commitInfo"].alias("i")).filter("i is not null")
+        metrics = [F.try_element_at("i.operationMetrics", F.lit(k)).cast("long").alias(n) for k, n in (("numOutputRows", "num_output_rows"), ("numFiles", "num_files"), ("numOutputBytes", "num_output_bytes"))]
+        return rows.select("version", "i.timestamp", "i.operation", F.col("i.operationParameters.mode").alias("mode"), F.col("i.isBlindAppend").alias("is_blind_append"), *metrics)
 
     # writing
 
@@ -192,8 +296,6 @@ class TxnTable:
         folder = f"data/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
         writer = df.write.mode("errorifexists")
         (writer.partitionBy(*by) if by else writer).parquet(f"{self.path}/{folder}")
-        from urllib.parse import unquote
-
         adds, size = [], 0
         for name, n in self.storage.files(f"{self.path}/{folder}"):
             values = {}
@@ -202,6 +304,14 @@ class TxnTable:
                 values[k.removeprefix("_by_")] = None if v == "__HIVE_DEFAULT_PARTITION__" else unquote(v)
             adds.append({"add": {"path": f"{folder}/{name}", "size": n, "partitionValues": values, "dataChange": True}})
             size += n
+        fields = bounds.columns(schema, self.stats_columns)
+        if adds and fields:
+            again = self.spark.read.schema(relaxed(schema)).option("recursiveFileLookup", True).parquet(f"{self.path}/{folder}")
+            found = bounds.by_file(again, fields, F.col("_metadata.file_path")).collect()  # a row a file of this write
+            by_path = {unquote(r.file).rpartition(f"/{folder}/")[2]: bounds.parsed(r.stats) for r in found}
+            for a in adds:
+                if (own := by_path.get(a["add"]["path"].removeprefix(f"{folder}/"))) is not None:
+                    a["add"]["stats"] = own
         return adds, int(seen.get["rows"]), size
 
     @staticmethod
@@ -287,10 +397,12 @@ class TxnTable:
 
         return self.commit(build)
 
-    def overwrite(self, df: DataFrame, txns: dict[str, int] | None = None, schema: T.StructType | None = None, partition_columns: list[str] | None = None, where: dict[str, set[str]] | None = None) -> Result:
+    def overwrite(self, df: DataFrame, txns: dict[str, int] | None = None, schema: T.StructType | None = None, partition_columns: list[str] | None = None, where: dict[str, set[str]] | None = None, read_version: int | None = None) -> Result:
         """Replaces rows: one commit that removes files and adds new ones.
 
         where: of some partition columns the values whose files go; all files go by default.
+        read_version: the version that df was made from (the latest now, by default). Commits since then are
+        no conflict unless they added or removed files of these values or changed the schema.
         """
         schema, txns = schema or df.schema, dict(txns or {})
         wrote: list = []
@@ -299,19 +411,39 @@ class TxnTable:
         def build(s: Snapshot):
             if txns and all(s.txns.get(k, -1) >= v for k, v in txns.items()):
                 return None
-            base.append(s.version)
-            if s.version != base[0]:
-                raise CommitConflict(f"{self.path} changed while it was rewritten")
+            base.append(s.version if read_version is None else read_version)
+            if problem := self._overlap(base[0], s.version, where or {}):
+                raise CommitConflict(f"{self.path} changed while it was rewritten: {problem}")
             by = s.partition_columns if s.version >= 0 else partition_columns or []
             if not wrote:
                 wrote.append(self._write_files(df, schema, by))
             adds, n, size = wrote[0]
             head = [] if s.version >= 0 and s.schema == schema else [{"protocol": {"minReaderVersion": 1, "minWriterVersion": 1}}, self._meta(schema, by)]
-            gone = [{"remove": {"path": p, "dataChange": True}} for p, a in s.files.items() if all(a["partitionValues"].get(k) in v for k, v in (where or {}).items())]
+            gone = [{"remove": {"path": r.path, "partitionValues": r.partitionValues, "dataChange": True}} for r in self._met(s, where or {})]
             return [*head, *({"txn": {"appId": k, "version": v}} for k, v in sorted(txns.items())), *gone, *adds, self._info("WRITE", n, len(adds), size, mode="Overwrite")]
 
         return self.commit(build)
 
+    def _met(self, s: Snapshot, where: dict[str, set[str]]) -> list:
+        """The files of some partition values."""
+        values = {k: list(v) for k, v in where.items()}
+        own = [Row(path=p, partitionValues=a["partitionValues"]) for p, a in s.tail.items() if a and all(a["partitionValues"].get(k) in v for k, v in values.items())]
+        if s.base is not None:
+            files = Snapshot(tail={p: None for p in s.tail}, base=s.base).adds(self.spark)
+            own += files.filter(bounds.may_hold_column(values, s.schema, list(values))).select("path", "partitionValues").collect()
+        return own
+
+    def _overlap(self, base: int, now: int, where: dict[str, set[str]]) -> str | None:
+        """What commits after base have done to the rows that a rewrite of some partition values has read."""
+        for v in range(base + 1, now + 1):
+            for a in self._actions(v):
+                if "metaData" in a:
+                    return f"version {v} has another schema"
+                m = a.get("add") or a.get("remove")
+                if m and all(m.get("partitionValues", {}).get(k) in values for k, values in where.items()):
+                    return f"version {v} has changed the same rows"
+        return None
+
     # upkeep
 
     def maintain(self, every: int = CHECKPOINT_EVERY) -> int | None:
@@ -325,18 +457,24 @@ class TxnTable:
         if point <= 0 or f"{point:020d}{POINTER}" in self.storage.list(f"{self.path}/{LOG}"):
             return None
         snap = self.snapshot(point)
-        rows = [("metaData", json.dumps(self._meta(snap.schema, snap.partition_columns)["metaData"]))]
-        rows += [("txn", json.dumps({"appId": k, "version": v})) for k, v in snap.txns.items()]
-        rows += [("add", json.dumps(a)) for a in snap.files.values()]
+        none = [F.lit(None).cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(FILES)]
+        head = [("metaData", json.dumps(self._meta(snap.schema, snap.partition_columns)["metaData"]))]
+        head += [("txn", json.dumps({"appId": k, "version": v})) for k, v in snap.txns.items()]
         folder = f"_checkpoints/{point:020d}-{uuid.uuid4().hex[:8]}"
-        self.spark.createDataFrame(rows, "kind string, action string").coalesce(1).write.parquet(self._log(folder))
-        return point if self.storage.create(self._log(f"{point:020d}{POINTER}"), dumps([{"folder": folder, "actions": len(rows)}])) else None
+        files = snap.adds(self.spark).select(F.lit("add").alias("kind"), F.lit(None).cast("string").alias("action"), *FILES_COLUMNS)
+        if snap.base is None:
+            files = files.coalesce(1)  # MAX_TAIL rows at most
+        seen = Observation()
+        files.unionAll(self.spark.createDataFrame(head, "kind string, action string").coalesce(1).select("kind", "action", *none)).observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(self._log(folder))
+        return point if self.storage.create(self._log(f"{point:020d}{POINTER}"), dumps([{"folder": folder, "actions": int(seen.get["n"])}])) else None
 
     def _from_checkpoint(self, version: int) -> Snapshot:
+        """A snapshot whose files are a checkpoint's; only schema and stamps come to the driver."""
         out = Snapshot()
         folder = json.loads(self.storage.read(self._log(f"{version:020d}{POINTER}")))["folder"]
-        rows = self.spark.read.schema("kind string, action string").parquet(self._log(folder)).toLocalIterator()
-        out.apply(version, ({r.kind: json.loads(r.action)} for r in rows))
+        rows = self.spark.read.schema(f"kind string, action string, {FILES}").parquet(self._log(folder))
+        out.apply(version, ({r.kind: json.loads(r.action)} for r in rows.filter("kind <> 'add'").select("kind", "action").collect()))
+        out.base = rows.filter("kind = 'add'").select(*FILES_COLUMNS)
         return out
 
 

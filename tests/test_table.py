@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 from siltflow.operators.quality import not_applied
 from siltflow.plans.catalog import CatalogClient, CatalogError, NotFound, StagedCommits
 from siltflow.sources.storage import HadoopStorage, LocalStorage
-from siltflow.sources.table import TxnTable
+from siltflow.sources.stats import Between
+from siltflow.sources.table import CommitConflict, TxnTable
 
 
 def rows(spark, n, start=0):
@@ -210,3 +211,129 @@ def test_only_met_buckets_are_rewritten(spark, tmp_path):
     cdc.apply_new(bronze, t, ["id"], ["seq"], ["id"])
     assert len(before - set(t.snapshot().files)) == 1 and cdc.current(t).filter("seq = 2").count() == 1 and cdc.current(t).count() == 200
     assert cdc.apply_new(bronze, t, ["id"], ["seq"], ["id"]) is None
+
+
+ODD = "id int, d double, s string, t timestamp_ntz, u timestamp, day date, m decimal(20,3), f float, l array<int>"
+
+
+def odd_rows(spark, n=60):
+    return spark.range(n).selectExpr(
+        "cast(id as int) as id", "case when id % 20 > 15 then double('NaN') when id % 7 = 0 then null when id = 3 then -0.0D else id / 3 end as d",
+        "case when id < 20 then null when id < 40 then concat('\u00e9', id) else concat(repeat('z', 40), id) end as s", "timestamp_ntz'1969-12-31 23:59:59.999999' + make_dt_interval(id) as t",
+        "timestamp'2024-03-31 01:00:00' + make_dt_interval(0, id) as u", "date'1970-01-05' - cast(id as int) as day", "cast((id - 30) / 8 as decimal(20,3)) as m", "case when id > 50 then float('inf') else cast(-id as float) end as f", "array(cast(id as int)) as l",
+    )
+
+
+CONDITIONS = [
+    {"id": Between(10, 12)}, {"id": Between(high=-1)}, {"id": Between()}, {"id": [5, 41, None]}, {"d": Between(low=18.0)}, {"d": None}, {"d": Between(high=0.0)}, {"d": [0.0]}, {"d": float("nan")}, {"s": None}, {"s": "\u00e921"}, {"s": Between("a", "y")},
+    {"s": Between(low="z" * 40 + "5")}, {"s": "zz"}, {"t": Between("1970-01-01", "1970-01-03 12:00:00")}, {"u": Between(high="2024-03-31T04:00:00+00:00")}, {"day": "1969-12-30"}, {"m": Between("-1.125", "0")}, {"f": Between(low=0.0)}, {"id": Between(3, 50), "d": Between(1.0, 2.0), "s": [None]}, {"k": "1"}, {"k": Between(2, 3), "id": Between(30, 31)},
+]
+
+
+@pytest.mark.parametrize("tail", [100, 0])
+def test_bounds_leave_out_no_row(spark, tmp_path, tail):
+    """By the driver's actions and by the replayed ones."""
+    t = TxnTable(spark, f"{tmp_path}/t", max_tail=tail)
+    df = odd_rows(spark).withColumn("k", F.expr("cast(id div 15 as int)"))
+    t.append(df.repartitionByRange(6, "id"), partition_columns=["k"])
+    t.append(df.limit(0).coalesce(1), {"none": 1})
+    whole, left_out = t.read().collect(), 0
+    assert len(whole) == 60
+    from siltflow.sources.stats import row_filter
+
+    for where in CONDITIONS:
+        got = t.read(where=where)
+        want = t.read().filter(row_filter(where, t.snapshot().schema))
+        assert sorted(r.id for r in got.collect()) == sorted(r.id for r in want.collect()), where
+        n, files = t.skipped(where)
+        assert 0 <= n <= files
+        left_out += n
+    assert left_out > 50 and t.skipped({"id": Between(10, 12)})[0] >= t.skipped({})[1] - 2
+
+
+def test_every_file_has_its_own_bounds(spark, tmp_path):
+    """Also where one task writes files of several partitions under one name, and names need escapes."""
+    t = TxnTable(spark, f"{tmp_path}/a b/t")
+    t.append(rows(spark, 8).withColumn("k", F.concat(F.lit("x y/%"), F.col("id") % 4)).coalesce(1), partition_columns=["k"])
+    assert {tuple(sorted((a["stats"]["min"]["id"], a["stats"]["max"]["id"]))) for a in t.snapshot().files.values()} == {("0", "4"), ("1", "5"), ("2", "6"), ("3", "7")}
+    assert t.skipped({"id": 5}) == (1, 4) and t.skipped({"id": [0, 7]}) == (2, 4) and t.read(where={"id": 5}).count() == 1
+
+
+def test_a_table_without_bounds(spark, tmp_path):
+    t = TxnTable(spark, f"{tmp_path}/t", stats_columns=0)
+    t.append(odd_rows(spark))
+    assert t.read(where={"id": Between(10, 12)}).count() == 3 and t.skipped({"id": Between(10, 12)})[0] == 0
+
+
+def test_replay_by_aggregation(spark, tmp_path):
+    """Random appends and rewrites: what the driver replays and what an aggregation replays are the same, with and without checkpoints."""
+    import random
+
+    rng = random.Random(3)
+    t = TxnTable(spark, f"{tmp_path}/t")
+    want: dict[int, list[int]] = {}
+    for k in range(9):
+        p, n = rng.randrange(3), rng.randrange(1, 5)
+        df = rows(spark, n, 10 * k).withColumn("p", F.lit(p))
+        if k % 3 == 2:
+            t.overwrite(df, where={"p": {str(p)}})
+            want[p] = []
+        else:
+            t.append(df, {"w": k}, partition_columns=["p"])
+        want.setdefault(p, []).extend(range(10 * k, 10 * k + n))
+    t.add_columns([T.StructField("more", T.StringType())])
+    for every in (None, 4, 5):
+        if every:
+            assert TxnTable(spark, t.path, max_tail=1).maintain(every) == 9 - 9 % every
+        for tail in (0, 3, 1000):
+            again = TxnTable(spark, t.path, max_tail=tail).snapshot()
+            assert again.files == t.snapshot().files and again.txns == {"w": 7} and again.version == 9 and again.schema == t.snapshot().schema
+            other = TxnTable(spark, t.path, max_tail=tail)
+            assert sorted(r.id for r in other.read().collect()) == sorted(x for v in want.values() for x in v)
+            assert sorted(r.id for r in other.read(where={"p": ["1"]}).collect()) == sorted(want.get(1, []))
+            assert other.read(version=3).count() == t.read(version=3).count()
+
+
+def test_a_million_actions(spark, tmp_path):
+    """The driver's Python holds none of them, and a read by partition plans its own files only."""
+    import json
+    import tracemalloc
+
+    t = TxnTable(spark, f"{tmp_path}/t")
+    t.append(rows(spark, 4).withColumn("p", F.lit("real")), {"w": 0}, partition_columns=["p"])
+    t.snapshot()
+    log = tmp_path / "t" / "_txn_log"
+    for v in range(1, 21):
+        with open(log / f"{v:020d}.json", "w") as f:
+            for k in range(50_000):
+                f.write(json.dumps({"add": {"path": f"data/{v}/{k}.parquet", "size": 1, "partitionValues": {"p": str(k % 1000)}, "dataChange": True}}) + "\n")
+            f.write(json.dumps({"txn": {"appId": "w", "version": v}}) + "\n" + json.dumps({"commitInfo": {"operation": "WRITE", "isBlindAppend": True}}) + "\n")
+    tracemalloc.start()
+    again = TxnTable(spark, f"{tmp_path}/t")
+    s = again.snapshot()
+    assert (s.version, s.txns) == (20, {"w": 20})
+    assert again.maintain() == 20
+    other = TxnTable(spark, f"{tmp_path}/t")
+    assert other.read(where={"p": "real"}).count() == 4
+    assert other.skipped({"p": ["7", "real"]}) == (999_000, 1_000_000 + len(t.snapshot(0).tail))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64e6
+
+
+def test_rewrites_of_other_rows_dont_conflict(spark, tmp_path):
+    t = TxnTable(spark, f"{tmp_path}/t")
+    df = rows(spark, 12).withColumn("k", F.col("id") % 3)
+    read = t.append(df, partition_columns=["k"]).version
+    t.overwrite(df.filter("k = 1 and id > 4"), where={"k": {"1"}}, read_version=read)
+    t.overwrite(df.filter("k = 2 and id > 5"), where={"k": {"2"}}, read_version=read)
+    with pytest.raises(CommitConflict):
+        t.overwrite(df.filter("k = 1"), where={"k": {"1", "0"}}, read_version=read)
+    with pytest.raises(CommitConflict):
+        t.overwrite(df, read_version=read)
+    later = t.snapshot().version
+    t.append(df.filter("id = 0"))
+    t.overwrite(df.filter("k = 2 and id > 9"), where={"k": {"2"}}, read_version=later)
+    with pytest.raises(CommitConflict):
+        t.overwrite(df.filter("k = 0"), where={"k": {"0"}}, read_version=later)
+    assert sorted(r.id for r in t.read().collect()) == [0, 0, 3, 6, 7, 9, 10, 11]
