@@ -30,27 +30,27 @@ def envelopes(records: DataFrame) -> DataFrame:
     }).drop("rest", "plain")
 
 
-def schemas(records: DataFrame) -> DataFrame:
-    """For each topic, partition and head (null: none): the first and last offset, the rows, and in `wanted` the
+def schemas(records: DataFrame, part: tuple[str, ...] = PART) -> DataFrame:
+    """For each topic, partition (all of part) and head (null: none): the first and last offset, the rows, and in `wanted` the
     schema without blanks if it is a struct's. One row a distinct text, so only these are parsed."""
-    found = envelopes(records).groupBy(*PART, "head").agg(F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"), F.count("*").alias("n"))
+    found = envelopes(records).groupBy(*part, "head").agg(F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"), F.count("*").alias("n"))
     schema = F.get_json_object(F.concat("head", F.lit("}")), "$.schema")
     return found.withColumn("wanted", F.when(F.get_json_object(schema, "$.type") == "struct", schema))
 
 
-def reference_schemas(records: DataFrame) -> DataFrame:
-    """For each topic and partition the first usable schema by offset, the last offset, the rows, and by their hashes the heads that
+def reference_schemas(records: DataFrame, part: tuple[str, ...] = PART) -> DataFrame:
+    """For each topic and partition (all of part) the first usable schema by offset, the last offset, the rows, and by their hashes the heads that
     say the same as the reference, with their rows.
 
     Every step is an aggregate that merges: by head, by what the heads say, by partition. So the records are read once, and
     only the distinct heads are parsed; a join with the reference would let the optimiser parse each record for its key.
     """
-    said = schemas(records).groupBy(*PART, "wanted").agg(
+    said = schemas(records, part).groupBy(*part, "wanted").agg(
         F.min("first_offset").alias("first_offset"), F.max("last_offset").alias("last_offset"), F.sum("n").alias("n"), F.collect_list(F.when(F.col("wanted").isNotNull(), F.xxhash64("head"))).alias("heads")
     )
     first = F.min_by(F.struct("wanted", "heads", "n"), F.when(F.col("wanted").isNotNull(), F.col("first_offset")))
-    own = said.groupBy(*PART).agg(first.alias("r"), F.max("last_offset").alias("last_offset"), F.sum("n").alias("n"))
-    return own.select(*PART, F.col("r.wanted").alias("reference"), "last_offset", "n", F.coalesce("r.heads", F.expr("cast(array() as array<long>)")).alias("heads"), F.coalesce("r.n", F.lit(0)).alias("fit"))
+    own = said.groupBy(*part).agg(first.alias("r"), F.max("last_offset").alias("last_offset"), F.sum("n").alias("n"))
+    return own.select(*part, F.col("r.wanted").alias("reference"), "last_offset", "n", F.coalesce("r.heads", F.expr("cast(array() as array<long>)")).alias("heads"), F.coalesce("r.n", F.lit(0)).alias("fit"))
 
 
 def fits(heads: Column) -> Column:

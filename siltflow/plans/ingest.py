@@ -14,6 +14,7 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +32,7 @@ from siltflow.sources.table import Result, TxnTable
 
 STALE_AFTER_S = 40 * 60
 RECORD = ("topic", "partition", "offset", "value")
+FLUSH = (*quality.PART, "flush")
 DEAD_LETTERS = T.StructType([T.StructField(*f) for f in (("topic", T.StringType()), ("partition", T.IntegerType()), ("offset", T.LongType()), ("value", T.StringType()), ("error", T.StringType()))])
 
 
@@ -88,31 +90,55 @@ class Ingest:
         records is read twice, however many tables there are: once for the schemas and offsets that
         it has, once for its rows. Rows that come in between the two are left.
         """
-        rows = records.select("topic", "partition", "offset", "value")
-        parts = quality.reference_schemas(rows).collect()  # a row for each topic and partition
-        out = Outcome()
-        if sum(p.n for p in parts) > self.config.max_buffered > 0:
-            raise BackPressure(f"{sum(p.n for p in parts)} records; at most {self.config.max_buffered} are taken at once")
-        by_table: dict[str, dict[str, list]] = {}
-        for p in parts:
-            name = table_name(self.config.table_name_format, self.config.topic_to_table, p.topic)
-            by_table.setdefault(name, {}).setdefault(f"{p.topic}\0{p.partition}" if self.config.commit_per_partition else p.reference, []).append(p)
-        with self._dealt(rows, [own for groups in by_table.values() for own in groups.values()]) as dealt, ThreadPoolExecutor(max(1, min(self.config.flush_concurrency, len(by_table) or 1))) as pool:
-            jobs = {name: pool.submit(self._flush, dealt, name, list(groups.values()), out) for name, groups in sorted(by_table.items())}
-        failed = [j.exception() for j in jobs.values() if j.exception()]
-        if failed:  # the other tables are done, and a replay skips them
-            raise failed[0]
-        return out
+        rows = records.select("topic", "partition", "offset", "value", F.lit(0).cast("long").alias("flush"))
+        outs = self._take(rows)
+        return outs[0] if outs else Outcome()
 
     def backlog(self, records: DataFrame) -> list[Outcome]:
-        """Ingests stored records as buffers with the dials flush_size and flush_bytes would have: one batch for each flush of theirs.
+        """Ingests stored records as buffers with the dials flush_size and flush_bytes would have: one commit a table for each flush of theirs.
 
-        records should be cached or stored; it is read for each of them.
+        records is read twice to number its rows by flush; these are stored until all is done. The flushes of a table in one schema are written
+        by one job and committed in order.
         """
-        size = F.octet_length("value")
-        planned = flush.plan(records, max(self.config.flush_size, 0), max(self.config.flush_bytes, 0), size)
-        last = planned.agg(F.max("flush")).first()[0]
-        return [self.batch(planned.filter(F.col("flush") == k).drop("flush")) for k in range(0 if last is None else last + 1)]
+        planned = flush.plan(records.select("topic", "partition", "offset", "value"), max(self.config.flush_size, 0), max(self.config.flush_bytes, 0), F.octet_length("value"))
+        folder = f"{self.config.root}/_dealt/{uuid.uuid4().hex}"
+        try:
+            planned.write.parquet(folder)
+            return self._take(self.spark.read.schema(planned.schema).parquet(folder))
+        finally:
+            discard(self.spark, folder)
+
+    def _take(self, rows: DataFrame) -> list[Outcome]:
+        """Ingests rows by flush; an outcome each. Rows of a flush and more than one schema of a table are several commits."""
+        parts = quality.reference_schemas(rows, FLUSH).collect()  # a row for each topic, partition and flush
+        flushes = sorted({p.flush for p in parts})
+        outs = {k: Outcome() for k in flushes}
+        for k in flushes:
+            if (n := sum(p.n for p in parts if p.flush == k)) > self.config.max_buffered > 0:
+                raise BackPressure(f"{n} records; at most {self.config.max_buffered} are taken at once")
+        by_table: dict[str, list] = {}
+        for p in sorted(parts, key=lambda p: (p.flush, p.topic, p.partition)):
+            by_table.setdefault(table_name(self.config.table_name_format, self.config.topic_to_table, p.topic), []).append(p)
+        runs = {name: self._runs(own) for name, own in sorted(by_table.items())}
+        with self._dealt(rows, [own for each in runs.values() for own in each]) as dealt, ThreadPoolExecutor(max(1, min(self.config.flush_concurrency, len(by_table) or 1))) as pool:
+            jobs = {name: pool.submit(self._flush, dealt, name, own, outs) for name, own in runs.items()}
+        failed = [j.exception() for j in jobs.values() if j.exception()]
+        if failed:  # the other tables are done, and a replay skips them
+            raise failed[0]
+        return [outs[k] for k in flushes]
+
+    def _runs(self, parts: list) -> list[list]:
+        """The parts of one table, in order of their flushes, as runs that are written together: of one schema (and partition, if each commits by
+        itself). A run goes on over flushes until the table's schema changes."""
+        key = lambda p: (p.reference, p.topic, p.partition) if self.config.commit_per_partition else (p.reference,)
+        one, runs, last = len({p.reference for p in parts}) == 1, {}, {}
+        for p in parts:
+            k = key(p)
+            if k not in last or not (one or last[k][1] == p.flush or last[k][0] == len(runs) - 1):
+                last[k] = (len(runs), p.flush)
+            runs.setdefault(last[k][0], []).append(p)
+            last[k] = (last[k][0], p.flush)
+        return list(runs.values())
 
     @contextmanager
     def _dealt(self, rows: DataFrame, groups: list[list]) -> Iterator[Callable[[list], DataFrame]]:
@@ -124,28 +150,33 @@ class Ingest:
         if len(groups) < 2:
             yield lambda own: rows
             return
-        number = {(p.topic, p.partition): k for k, own in enumerate(groups) for p in own}
-        places = self.spark.createDataFrame([(p.topic, p.partition, p.last_offset, number[p.topic, p.partition]) for own in groups for p in own], "topic string, `partition` int, last long, `group` int")
+        number = {(p.topic, p.partition, p.flush): k for k, own in enumerate(groups) for p in own}
+        places = self.spark.createDataFrame([(p.topic, p.partition, p.flush, p.last_offset, number[p.topic, p.partition, p.flush]) for own in groups for p in own], "topic string, `partition` int, flush long, last long, `group` int")
         folder = f"{self.config.root}/_dealt/{uuid.uuid4().hex}"
-        mine = rows.join(F.broadcast(places), [*quality.PART]).filter("offset <= last").drop("last")
+        mine = rows.join(F.broadcast(places), [*FLUSH]).filter("offset <= last").drop("last")
         try:
             mine.hint("rebalance", "group").write.partitionBy("group").parquet(folder)
-            yield lambda own: self.spark.read.schema(rows.schema).parquet(f"{folder}/group={number[own[0].topic, own[0].partition]}")
+            yield lambda own: self.spark.read.schema(rows.schema).parquet(f"{folder}/group={number[own[0].topic, own[0].partition, own[0].flush]}")
         finally:
             discard(self.spark, folder)
 
-    def _flush(self, dealt: Callable[[list], DataFrame], name: str, groups: list[list], out: Outcome) -> None:
-        for own in groups:
-            self._flush_schema(dealt(own), name, own[0].reference, own, out)
+    def _flush(self, dealt: Callable[[list], DataFrame], name: str, runs: list[list], outs: dict[int, Outcome]) -> None:
+        for own in runs:
+            self._flush_schema(dealt(own), name, own[0].reference, own, outs)
             with self._lock:
-                out.next_offsets |= {(p.topic, p.partition): p.last_offset + 1 for p in own}
+                for p in own:
+                    outs[p.flush].next_offsets[p.topic, p.partition] = p.last_offset + 1
 
-    def _flush_schema(self, rows: DataFrame, name: str, reference: str | None, parts: list, out: Outcome) -> None:
-        """The partitions of one table whose reference schema is the same, in one commit."""
-        own = self.spark.createDataFrame([(p.topic, p.partition, p.last_offset, p.heads) for p in parts], "topic string, `partition` int, last long, heads array<long>")
+    def _flush_schema(self, rows: DataFrame, name: str, reference: str | None, parts: list, outs: dict[int, Outcome]) -> None:
+        """The partitions of one table whose reference schema is the same: one write, and one commit for each flush. What is set aside counts in the last one."""
+        own = self.spark.createDataFrame([(p.topic, p.partition, p.flush, p.last_offset, p.heads) for p in parts], "topic string, `partition` int, flush long, last long, heads array<long>")
         topics = sorted({p.topic for p in parts})
-        mine = rows.filter(F.col("topic").isin(topics)).join(F.broadcast(own), ["topic", "partition"]).filter("offset <= last").drop("last")
-        txns = {f"{self.config.name}:{p.topic}-{p.partition}": p.last_offset for p in parts}
+        mine = rows.filter(F.col("topic").isin(topics)).join(F.broadcast(own), [*FLUSH]).filter("offset <= last").drop("last")
+        stamps: dict[int, dict[str, int]] = {}
+        for p in parts:
+            stamps.setdefault(p.flush, {})[f"{self.config.name}:{p.topic}-{p.partition}"] = p.last_offset
+        txns = {k: v for f in sorted(stamps) for k, v in stamps[f].items()}
+        out = outs[max(stamps)]
         if reference is None:
             self._dead(mine, "no record of the partition has a usable schema", txns, name, out)
             return
@@ -173,21 +204,26 @@ class Ingest:
             if any(p.fit < p.n for p in parts) and not self.config.dead_letters:
                 set_aside()
             seen = Observation()
-            counted = parsed.select("topic", "partition", "offset", "ok", *(F.col("record")[f.name].alias(f"v{i}") for i, f in enumerate(schema))).observe(seen, F.count_if(~F.col("ok")).alias("bad"))
+            counted = parsed.select("topic", "partition", "offset", "flush", "ok", *(F.col("record")[f.name].alias(f"v{i}") for i, f in enumerate(schema))).observe(seen, F.count_if(~F.col("ok")).alias("bad"))
             values = counted.filter("ok")
             fresh = lambda df, applied: quality.not_applied(df, applied, self.config.name)
-            named = lambda df: df.select(*(F.col(f"v{i}").alias(f.name) for i, f in enumerate(schema)))
+            named = lambda df, *more: df.select(*(F.col(f"v{i}").alias(f.name) for i, f in enumerate(schema)), *more)
             applied = table.snapshot().txns if exists else {}
             known = {k: applied[k] for k in txns if k in applied}
 
             def written() -> None:  # what can't be used is set aside before the rest is committed
-                if seen.get["bad"]:
+                if _observed(seen, "bad") != 0:
                     set_aside()
 
-            result = table.append(named(fresh(values, known)), txns, fresh=_same_base(named, fresh, values, known), partition_columns=list(self.config.partition_columns), schema=schema, written=written)
+            settings = {"partition_columns": list(self.config.partition_columns), "schema": schema, "written": written}
+            if len(stamps) == 1:
+                done = {max(stamps): table.append(named(fresh(values, known)), txns, fresh=_same_base(named, fresh, values, known), **settings)}
+            else:
+                done = table.append_each(named(fresh(values, known), "flush"), "flush", stamps, lambda k, applied: named(fresh(values.filter(F.col("flush") == k), applied)), **settings)
             with self._lock:
-                out.tables.setdefault(name, []).append(result)
-            if result.applied:
+                for k, result in done.items():
+                    outs[k].tables.setdefault(name, []).append(result)
+            if any(r.applied for r in done.values()):
                 self._upkeep.submit(_quietly, table.maintain)
         except (RoutingError, UnusableRecord):
             raise
@@ -225,6 +261,14 @@ class Ingest:
         self._upkeep.shutdown(wait=True)
 
 
+def _observed(seen: Observation, name: str) -> int | None:
+    """An observed number; None where the plan lost it, as an adaptive one may when nothing is left to write."""
+    try:
+        return seen.get[name]
+    except Py4JJavaError:
+        return None
+
+
 def _same_base(named, fresh, values, known):
     """For append: rows beyond what is applied, from the values again if another writer got on meanwhile."""
     return lambda df, applied: df if applied == known else named(fresh(values, applied))

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siltflow.functions.convert import date_of_millis, decimal_of_base64, timestamp_of_millis
 from siltflow.functions.redact import is_already_exists, is_auth_failure, redact_column, redact_error
 from siltflow.functions.sizing import record_size
+from siltflow.functions.types import wire_schema
 from siltflow.operators import cdc
 from siltflow.operators.evolution import Evolution
 from siltflow.operators.routing import Catalog
@@ -509,6 +512,22 @@ def dialled_commits(spark, sf_dir):
     return ingest.table("bronze.app.events").history().filter("num_output_rows > 0").select("version", "num_output_rows")
 
 
+#: The bytes of such a value beside its two numbers.
+VALUE_BYTES = len('{"schema":,"payload":{"event_id":,"user_id":}}') + len(json.dumps(wire_schema(T.StructType.fromDDL("event_id long, user_id long")), separators=(",", ":")))
+
+
+@query(f"""WITH b AS (SELECT part, {VALUE_BYTES} + length(CAST(event_id AS VARCHAR)) + length(CAST(user_id AS VARCHAR)) AS bytes, off FROM {PLACED_SQL}),
+f AS (SELECT coalesce(sum(bytes) OVER (PARTITION BY part ORDER BY off ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) // 100000 AS flush FROM b)
+SELECT CAST(dense_rank() OVER (ORDER BY flush) - 1 AS BIGINT) AS version, count(*) AS num_output_rows FROM f GROUP BY flush""")
+def dialled_bytes(spark, sf_dir):
+    """A backlog committed as buffers of 100,000 bytes a partition would have."""
+    ingest = _ingest(spark, "byte-dials", flush_size=0, flush_bytes=100_000)
+    stored = work_dir(spark, "byte-dials-records")
+    _records(_placed(_events(spark, sf_dir)), ["event_id", "user_id"]).write.parquet(stored)
+    ingest.backlog(read_records(spark, stored))
+    return ingest.table("bronze.app.events").history().filter("num_output_rows > 0").select("version", "num_output_rows")
+
+
 @query("SELECT 'bronze.app.' || event_type AS table_name, count(*) AS n FROM events WHERE event_type IN ('click', 'view') GROUP BY event_type")
 def subscribe_pattern(spark, sf_dir):
     """Of many topics only those that a pattern matches as a whole."""

@@ -65,6 +65,8 @@ def by_file(written: DataFrame, fields: list[T.StructField], file: Column) -> Da
             low = F.when(~F.isnan(low), low)
         aggs += [_stored(low, f.dataType).alias(f"min{i}"), _stored(high, f.dataType).alias(f"max{i}"), F.count_if(c.isNull()).alias(f"nulls{i}")]
     found = written.groupBy(file.alias("file")).agg(*aggs)
+    if not fields:
+        return found.select("file", F.to_json(F.struct("n")).alias("stats"))
     named = lambda kind: F.map_filter(F.map_from_arrays(F.array(*(F.lit(f.name) for f in fields)), F.array(*(F.col(f"{kind}{i}") for i in range(len(fields))))), lambda k, v: v.isNotNull())
     return found.select("file", F.to_json(F.struct("n", *(named(k).alias(k) for k in ("min", "max", "nulls")))).alias("stats"))
 

@@ -46,6 +46,10 @@ class CommitConflict(RuntimeError):
     """Another writer took the version, again and again, or changed what this commit rests on."""
 
 
+class _Moved(Exception):
+    """The table isn't as it was when files for it were written."""
+
+
 def relaxed(kind: T.DataType) -> T.DataType:
     """The type with everything nullable, as Parquet gives it back."""
     if isinstance(kind, T.StructType):
@@ -279,8 +283,11 @@ class TxnTable:
 
     # writing
 
-    def _write_files(self, df: DataFrame, schema: T.StructType, partition_columns: list[str]) -> tuple[list[dict], int, int]:
-        """Writes df's rows; add actions, rows and bytes. Required columns are checked on the way."""
+    def _write_files(self, df: DataFrame, schema: T.StructType, partition_columns: list[str], each: str | None = None) -> tuple[list[dict], int, int]:
+        """Writes df's rows; add actions, rows and bytes. Required columns are checked on the way.
+
+        each: a whole number of df, not stored, by which files are kept apart; their add actions have it, and their rows.
+        """
         cols = []
         for f in schema:
             c = F.col(f"`{f.name}`")
@@ -288,13 +295,18 @@ class TxnTable:
                 c = F.when(c.isNull(), F.raise_error(F.lit(f"required column {f.name} is null")).cast(relaxed(f.dataType))).otherwise(c)
             cols.append(c.cast(relaxed(f.dataType)).alias(f.name))
         seen = Observation()
-        df = df.select(*cols).observe(seen, F.count(F.lit(1)).alias("rows"))
+        apart = [F.col(each).alias("_each")] if each else []
+        df = df.select(*cols, *apart)
+        if not each:
+            df = df.observe(seen, F.count(F.lit(1)).alias("rows"))
         # partition columns stay in the files too, under their own names, so files can be read one by one
         by = [f"_by_{c}" for c in partition_columns]
         for c, name in zip(partition_columns, by, strict=True):
             df = df.withColumn(name, F.col(f"`{c}`"))
         folder = f"data/{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
-        writer = df.write.mode("errorifexists")
+        if each:
+            df = df.hint("rebalance", "_each")  # else each task would write a file for each
+        writer, by = df.write.mode("errorifexists"), ["_each"] * bool(each) + by
         (writer.partitionBy(*by) if by else writer).parquet(f"{self.path}/{folder}")
         adds, size = [], 0
         for name, n in self.storage.files(f"{self.path}/{folder}"):
@@ -302,17 +314,18 @@ class TxnTable:
             for part in name.split("/")[:-1]:
                 k, _, v = part.partition("=")
                 values[k.removeprefix("_by_")] = None if v == "__HIVE_DEFAULT_PARTITION__" else unquote(v)
-            adds.append({"add": {"path": f"{folder}/{name}", "size": n, "partitionValues": values, "dataChange": True}})
+            number = values.pop("_each", None)
+            adds.append({"add": {"path": f"{folder}/{name}", "size": n, "partitionValues": values, "dataChange": True}} | ({"each": int(number)} if each else {}))
             size += n
         fields = bounds.columns(schema, self.stats_columns)
-        if adds and fields:
+        if adds and (fields or each):
             again = self.spark.read.schema(relaxed(schema)).option("recursiveFileLookup", True).parquet(f"{self.path}/{folder}")
             found = bounds.by_file(again, fields, F.col("_metadata.file_path")).collect()  # a row a file of this write
             by_path = {unquote(r.file).rpartition(f"/{folder}/")[2]: bounds.parsed(r.stats) for r in found}
             for a in adds:
                 if (own := by_path.get(a["add"]["path"].removeprefix(f"{folder}/"))) is not None:
                     a["add"]["stats"] = own
-        return adds, int(seen.get["rows"]), size
+        return adds, sum(a["add"]["stats"]["n"] for a in adds) if each else int(seen.get["rows"]), size
 
     @staticmethod
     def _meta(schema: T.StructType, partition_columns: list[str]) -> dict:
@@ -397,6 +410,50 @@ class TxnTable:
 
         return self.commit(build)
 
+    def append_each(self, df: DataFrame, each: str, stamps: dict[int, dict[str, int]], fresh: Callable[[int, dict[str, int]], DataFrame], partition_columns: list[str] | None = None, schema: T.StructType | None = None, written: Callable[[], None] | None = None) -> dict[int, Result]:
+        """Adds df's rows in one job, and commits them in order of the whole number each, with the stamps of each.
+
+        df holds what isn't applied by now. If another writer gets on meanwhile, or changes the schema, what is left is written anew from
+        fresh(number, applied versions), one by one. written as in append.
+        """
+        schema, snap = schema or T.StructType([f for f in df.schema if f.name != each]), self.snapshot()
+        if snap.schema is not None and (problem := _mismatch(snap.schema, schema)):
+            raise ValueError(f"rows don't fit the table: {problem}")
+        own = snap.schema or schema
+        live = {k: txns for k, txns in stamps.items() if any(snap.txns.get(a, -1) < v for a, v in txns.items())}
+        out = {k: Result(snap.version, False) for k in stamps if k not in live}
+        if not live:
+            return out
+        df = df.filter(F.col(each).isin(*live)) if out else df
+        expected = {k: snap.txns.get(k, -1) for txns in stamps.values() for k in txns}
+        missing = [f for f in own if f.name not in schema.names]
+        rows = df.withColumns({f.name: F.lit(None).cast(relaxed(f.dataType)) for f in missing}) if missing else df
+        adds, _, _ = self._write_files(rows, own, snap.partition_columns if snap.version >= 0 else partition_columns or [], each)
+        if written:
+            written()
+        by_number: dict[int, list[dict]] = {}
+        for a in adds:
+            by_number.setdefault(a["each"], []).append({"add": a["add"]})
+        for number, txns in sorted(live.items()):
+            files = by_number.get(number, [])
+            n, size = sum(a["add"]["stats"]["n"] for a in files), sum(a["add"]["size"] for a in files)
+
+            def build(s: Snapshot, txns=txns, files=files, n=n, size=size):
+                if all(s.txns.get(k, -1) >= v for k, v in txns.items()):
+                    return None
+                if (s.schema or schema) != own or any(s.txns.get(k, -1) != expected[k] for k in txns):
+                    raise _Moved
+                head = [] if s.version >= 0 else [{"protocol": {"minReaderVersion": 1, "minWriterVersion": 1}}, self._meta(schema, partition_columns or [])]
+                return [*head, *({"txn": {"appId": k, "version": v}} for k, v in sorted(txns.items()) if s.txns.get(k, -1) < v), *files, self._info("WRITE", n, len(files), size)]
+
+            try:
+                out[number] = self.commit(build)
+            except _Moved:
+                applied = {k: v for k, v in self.snapshot().txns.items() if k in txns}
+                out[number] = self.append(fresh(number, applied), txns, fresh=lambda _, now, k=number: fresh(k, now), partition_columns=partition_columns, schema=schema)
+            expected |= {k: max(v, expected[k]) for k, v in txns.items()}
+        return out
+
     def overwrite(self, df: DataFrame, txns: dict[str, int] | None = None, schema: T.StructType | None = None, partition_columns: list[str] | None = None, where: dict[str, set[str]] | None = None, read_version: int | None = None) -> Result:
         """Replaces rows: one commit that removes files and adds new ones.
 

@@ -380,3 +380,59 @@ def test_byte_dial_of_a_backlog(spark, tmp_path):
     assert len(done) == 4 and ingest.table("main.ingestion.topic").history().count() == 4 and ingest.backlog(df.limit(0)) == []
     ingest.backlog(df)
     assert ingest.table("main.ingestion.topic").read().count() == 20
+
+
+@pytest.mark.parametrize("span", [1, 7, 1 << 16])
+def test_plan_by_two_levels(spark, span):
+    """Whatever the ranges, flushes are as one running sum a partition gives them."""
+    import random
+
+    rng, want, rows = random.Random(span), {}, []
+    for p in (0, 1):
+        off, before = 0, 0
+        for k in range(60):
+            off, text = off + rng.choice([1, 1, 1, 9, 40]), "x" * rng.choice([0, 1, 5, 30])
+            rows.append(("t", p, off, text))
+            want[p, off] = (k // 4, before // 50, max(k // 4, before // 50))
+            before += len(text)
+    rng.shuffle(rows)
+    df, size = records(spark, *rows), F.length("value")
+    for i, dials in enumerate(({"flush_size": 4}, {"flush_bytes": 50}, {"flush_size": 4, "flush_bytes": 50})):
+        got = flush.plan(df, **dials, size=size, span=span)
+        assert got.columns == [*df.columns, "flush"] and {(r.partition, r.offset): r.flush for r in got.collect()} == {k: v[i] for k, v in want.items()}
+
+
+@pytest.mark.parametrize("each", [False, True])
+def test_backlog_over_a_schema_change(spark, tmp_path, each):
+    """Commits in order of the flushes, by two writes; a replay adds nothing, and unusable records are set aside once."""
+    rows = [("t", p, k, "garbage" if k == 5 else value(V1, id=k, name="a") if k < 6 else value(V2, id=k, name="b", email="e")) for p in (0, 1) for k in range(12)]
+    ingest = engine(spark, tmp_path, flush_size=2, schema_evolution=Evolution.MERGE, commit_per_partition=each)
+    done = ingest.backlog(records(spark, *rows))
+    t = ingest.table("main.s.t")
+    assert len(done) == 6 and done[-1].next_offsets == {("t", 0): 12, ("t", 1): 12} and sum(o.dead for o in done) == 2
+    assert sorted((r.id, r.email) for r in t.read().collect()) == sorted((k, "e" if k > 5 else None) for _, _, k, v in rows if v != "garbage")
+    stamps = [max(a["txn"]["version"] for a in t._actions(v) if "txn" in a) for v in t._versions() if any("txn" in a for a in t._actions(v))]
+    assert len(stamps) >= 6 and (each or stamps == sorted(stamps))
+    n = t.snapshot().version
+    assert all(not r.applied for o in ingest.backlog(records(spark, *rows)) for rs in o.tables.values() for r in rs) and t.snapshot().version == n
+    assert not ingest.dead_letters.read().filter("value <> 'garbage'").select("error").distinct().collect()
+    assert ingest.dead_letters.read().count() == 2 and not list((tmp_path / "_dealt").iterdir())
+
+
+def test_backlog_beside_another_writer(spark, tmp_path):
+    """Where another writer commits meanwhile, what is left is written anew without what it applied."""
+    rows = [("t", 0, k, value(V1, id=k, name="a")) for k in range(10)]
+    ingest = engine(spark, tmp_path, flush_size=2)
+    ingest.batch(records(spark, *rows[:1]))
+    t = ingest.table("main.s.t")
+    put, first = t._put, []
+
+    def racing(version, text):
+        if not first:
+            first.append(1)
+            engine(spark, tmp_path).batch(records(spark, *rows[:5]))
+        return put(version, text)
+
+    t._put = racing
+    ingest.backlog(records(spark, *rows))
+    assert first and sorted(r.id for r in t.read().collect()) == list(range(10))
