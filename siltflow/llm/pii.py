@@ -288,9 +288,13 @@ def disclosing_terms(docs: DataFrame, text: str = "text", near: int = NEAR, alph
     in an 8th, and then in all, which gives the exact count of the few words left by then.
     """
     close, close_at = cut(_entity_rows(docs, text, near), "close")
-    of_entity = close.select("entity", "doc").distinct().groupBy("entity").agg(F.count("*").alias("entity_docs"))
-    of_entity, entities_at = cut(of_entity, "entities")
-    again = of_entity.filter("entity_docs > 1")
+    held = close.select("entity", "doc").distinct().groupBy("entity")
+    own = [F.bit_xor(F.xxhash64("doc", F.lit(k))).alias(f"sign{k}") for k in (1, 2)]
+    of_entity, entities_at = cut(held.agg(F.count("*").alias("entity_docs"), *own), "entities")
+    # entities that stand in the same documents have the same words and counts there, so one stands for all of them: a
+    # directory page's words are paired once for all addresses that it shares with another page, not once for each
+    again = of_entity.filter("entity_docs > 1").groupBy("entity_docs", "sign1", "sign2").agg(F.min("entity").alias("entity")).select("entity", "entity_docs")
+    of_entity = of_entity.select("entity", "entity_docs")
     whole, whole_at = cut(_entity_rows(docs, text, None, _bitmap(again, "entity")), "whole")
     met = _once(close).join(of_entity.filter("entity_docs = 1"), "entity").withColumn("all", F.lit(False))
     met, met_at = cut(met.unionByName(_once(whole).join(again, "entity").withColumn("all", F.lit(True))), "met")
@@ -300,7 +304,7 @@ def disclosing_terms(docs: DataFrame, text: str = "text", near: int = NEAR, alph
     tested = both.groupBy("entity").agg(F.count_if((F.col("both") > 0) & (F.col("entity_docs") > 0)).alias("tested"))
     # only a document's first entity counts its words, in either pass, so neither count is too high
     at_least = one.filter("first").groupBy("word_key").agg(F.greatest(F.count_if(F.col("all")), F.count_if(~F.col("all"))).alias("least_docs"))
-    total = float(docs.filter(F.col(text) != "").select(F.approx_count_distinct(F.xxhash64(text), 0.02)).first()[0])
+    total = float(docs.filter(F.col(text) != "").select(F.xxhash64(text).alias("doc")).distinct().count())
     reaches = lambda n, of: _significant(total, "both", n, "entity_docs", of, alpha) & (_disclosure(total, "both", n, "entity_docs") >= generalise_at)
     likely = lambda n: reaches(n, "tested")
     joint = both.join(at_least, "word_key", "left").withColumn("least_docs", F.greatest("both", "least_docs"))

@@ -135,3 +135,29 @@ def test_near_copies_survive(spark):
     rows += [(2000 + k, f"{_prose(rng, 30)}\n{_prose(rng, 30)}") for k in range(20)]
     out = line_templates.drop_lines(spark.createDataFrame(rows, "doc_id long, text string"), report=True)
     assert out.filter("__dropped is not null").count() == 0
+
+
+def test_entities_of_the_same_documents(spark, monkeypatch):
+    """Pages with many addresses in common: the terms are the definition's exactly, and words are paired once for such a group."""
+    rng, made = random.Random(21), {}
+    words = [_prose(rng, 1) for _ in range(60)]
+    line = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    group = [f"g{k}@dir.org" for k in range(10)]
+    rows = [line(12) for _ in range(600)]
+    rows += ["\n".join(f"{line(6)} {a} {line(5)}" for a in group) + f" zaphodius{k % 2} trillianne" for k in range(2)]
+    rows += [f"{line(3)} solo{k}@x.org {line(3)} vogonic{k // 2}" for k in range(8)] + [f"{line(2)} pair{k // 3}@x.org marvinous{k // 3}" for k in range(9)]
+    cut = pii.cut
+
+    def watched(df, name):
+        out = cut(df, name)
+        made.setdefault(name, []).append(out[0])
+        if name in ("met", "whole"):
+            made[name + "_pairs"] = out[0].selectExpr("coalesce(sum(size(words)), 0)").first()[0]
+        return out
+
+    monkeypatch.setattr(pii, "cut", watched)
+    got = {r.word: r.disclosure for r in pii.disclosing_terms(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    want = brute_terms(rows)
+    assert {"trillianne", "zaphodius"} <= want.keys() and got.keys() == want.keys()
+    assert all(abs(got[w] - want[w]) < 1e-9 for w in want)
+    assert made["whole_pairs"] < 300  # over 1,000 if each of ten addresses had the words of its two pages
