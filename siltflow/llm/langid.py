@@ -45,17 +45,19 @@ class Grams:
         return np.where(self.letter[c], np.maximum((c & 0xFFFF) ^ (c >> 16), 1), 0).astype(np.uint64)  # 0: no letter
 
     @staticmethod
-    def _keys(c: np.ndarray, doc: np.ndarray) -> np.ndarray:
-        """c: letters, with single zeros between words and around each text; doc: text numbers << 48."""
+    def _keys(c: np.ndarray, doc: np.ndarray, own: slice = slice(None)) -> np.ndarray:
+        """c: letters, with zeros between words and around each text; doc: text numbers << 48. Those around the letters of own are counted."""
         at = np.flatnonzero(c)
+        first, last, _ = own.indices(len(c))
+        at = at[(at >= first) & (at < last)]
         mid, before, after = c[at], c[at - 1], c[np.minimum(at + 1, len(c) - 1)]
         d = doc[at]
         one = d | mid << np.uint64(32) | np.uint64(_END << 16 | _END)
         two = d | before << np.uint64(32) | mid << np.uint64(16) | np.uint64(_END)
         ends = np.flatnonzero(after == 0)
-        last = d[ends] | mid[ends] << np.uint64(32) | np.uint64(_END)
+        final = d[ends] | mid[ends] << np.uint64(32) | np.uint64(_END)
         three = d | before << np.uint64(32) | mid << np.uint64(16) | after
-        return np.concatenate([one, two, last, three])
+        return np.concatenate([one, two, final, three])
 
     def counts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text number, n-gram and count, ordered by text and n-gram."""
@@ -91,17 +93,24 @@ class Grams:
         return ids[(keys >> np.uint64(48)).astype(np.int64)], keys & np.uint64(0xFFFFFFFFFFFF), n
 
     def _long(self, i: int, text: str):
-        """One text, in slices cut at its spaces, so that memory stays bounded by SLICE where it has any."""
+        """One text, in slices, so that memory stays bounded by SLICE. They are cut at the last character that is no letter;
+        a run of more letters is cut anywhere, and each slice sees its neighbours, so the n-grams are those of the whole."""
+        text = text.lower()  # as a whole: a letter's lower case may go by its neighbours
         keys, n, at = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
         while at < len(text):
-            end = at + SLICE
-            if end < len(text) and (space := text.rfind(" ", at + 1, end)) > 0:
-                end = space
-            _, k, m = self._group([(i, text[at:end])])
+            end = min(at + SLICE, len(text))
+            if end < len(text):
+                c = np.frombuffer(text[at:end].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+                free = np.flatnonzero(~self.letter[c])
+                end = at + int(free[-1]) if len(free) and free[-1] > 0 else end
+            before = self._codes(text[at - 1])[-1:] if at else np.zeros(1, np.uint64)
+            after = self._codes(text[end])[:1] if end < len(text) else np.zeros(1, np.uint64)
+            c = np.concatenate([before, self._codes(text[at:end]), after])
+            k, m = np.unique(self._keys(c, np.zeros(len(c), np.uint64), slice(1, -1)), return_counts=True)
             keys, where = np.unique(np.concatenate([keys, k]), return_inverse=True)
             n = np.bincount(where, np.concatenate([n, m]), len(keys)).astype(np.int64)
             at = end
-        return np.full(len(keys), i, np.int64), keys, n
+        return np.full(len(keys), i, np.int64), keys & np.uint64(0xFFFFFFFFFFFF), n
 
     def ranked(self, texts: list[str | None], most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text number, n-gram and its rank by falling count, up to rank most; equal counts by n-gram."""

@@ -589,6 +589,14 @@ def test_long_text_language(monkeypatch):
     assert all((a == b).all() for a, b in zip(whole, langid.Grams().counts([t]), strict=True))
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 64, 500])
+@pytest.mark.parametrize("text", ["ein\nhaus\tund noch\x0b\nein baum\n" * 40, "\u8fd9\u662f\u4e00\u4e2a\u5f88\u957f\u7684\u6587\u672c" * 70, "abc" * 400 + " x\n" + "\u03a3\u0391\u03a3" * 90, "a1b2,c" * 99, "\u0130stanbul \U00010400\U00010401 " * 30, "\n" * 900 + "z", "1 2 3 " * 200])
+def test_cuts_change_no_count(monkeypatch, text, size):
+    whole = langid.Grams().counts(["", text])
+    monkeypatch.setattr(langid, "SLICE", size)
+    assert [x.tolist() for x in whole] == [x.tolist() for x in langid.Grams().counts(["", text])]
+
+
 # op10
 
 
