@@ -513,7 +513,7 @@ def dialled_commits(spark, sf_dir):
 
 
 #: The bytes of such a value beside its two numbers.
-VALUE_BYTES = len('{"schema":,"payload":{"event_id":,"user_id":}}') + len(json.dumps(wire_schema(T.StructType.fromDDL("event_id long, user_id long")), separators=(",", ":")))
+VALUE_BYTES = len('{"schema":,"payload":{"event_id":,"user_id":}}') + len(json.dumps(wire_schema(T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType())])), separators=(",", ":")))
 
 
 @query(f"""WITH b AS (SELECT part, {VALUE_BYTES} + length(CAST(event_id AS VARCHAR)) + length(CAST(user_id AS VARCHAR)) AS bytes, off FROM {PLACED_SQL}),

@@ -126,3 +126,12 @@ def test_decimals(spark):
 def test_redact_is_stable(text):
     once = redact(text)
     assert redact(once) == redact(redact(once))
+
+
+def test_the_entry_imports_without_a_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    found = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()) > 40, set(e.oracle_sql()) <= set(e.queries()))"], cwd=Path(__file__).parent.parent, capture_output=True, text=True, timeout=120)
+    assert found.stdout.split() == ["True", "True"], found.stderr
