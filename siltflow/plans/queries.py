@@ -287,11 +287,36 @@ def tombstone_intake(spark, sf_dir):
     return n.crossJoin(ingest.dead_letters.read().agg(F.count("*").alias("deletes")))  # one row by one row
 
 
-@query(f"SELECT user_id, event_type, value, event_id, ts_us, ts_us AS __start_at, e AS __end_at FROM (SELECT *, lead(ts_us) OVER (PARTITION BY user_id ORDER BY event_id) AS e FROM {EVENTS_SQL}) WHERE op <> 'd'")
+SCD2_SQL = f"SELECT user_id, event_type, value, event_id, ts_us, ts_us AS __start_at, e AS __end_at FROM (SELECT *, lead(ts_us) OVER (PARTITION BY user_id ORDER BY event_id) AS e FROM {EVENTS_SQL}) WHERE op <> 'd'"
+VERSION = ["user_id", "event_type", "value", "event_id", "ts_us"]
+
+
+@query(SCD2_SQL)
 def scd2_apply(spark, sf_dir):
     t = TxnTable(spark, work_dir(spark, "scd2-history"))
-    cdc.apply_changes(_bronze(spark, sf_dir, "scd2").read(), t, ["user_id"], ["event_id"], ["user_id", "event_type", "value", "event_id", "ts_us"], stored_as_scd_type=2, valid="ts_us")
-    return t.read()
+    cdc.apply_changes(_bronze(spark, sf_dir, "scd2").read(), t, ["user_id"], ["event_id"], VERSION, stored_as_scd_type=2, valid="ts_us")
+    return cdc.history(t)
+
+
+@query(SCD2_SQL)
+def scd2_incremental(spark, sf_dir):
+    """Three commits of changes, out of order, spliced into the history one after the other; the last call has nothing new."""
+    bronze, t = TxnTable(spark, work_dir(spark, "splices")), TxnTable(spark, work_dir(spark, "splices-history"))
+    e = _events(spark, sf_dir)
+    for at, k in enumerate((1, 0, 2)):
+        bronze.append(e.filter(F.col("event_id") % 3 == k), {"splices:events-0": at})
+        cdc.apply_new(bronze, t, ["user_id"], ["event_id"], VERSION, stored_as_scd_type=2, valid="ts_us")
+    cdc.apply_new(bronze, t, ["user_id"], ["event_id"], VERSION, stored_as_scd_type=2, valid="ts_us")
+    return cdc.history(t)
+
+
+@query(SCD1_SQL)
+def growing_buckets(spark, sf_dir):
+    """Current rows in buckets of eight on average: the table begins with two buckets, and its growth splits them."""
+    bronze, t = _bronze(spark, sf_dir, "growing").read(), TxnTable(spark, work_dir(spark, "growing-current"))
+    for least in (97, 80, 0):
+        cdc.apply_changes(bronze.filter(F.col("user_id") % 100 >= least), t, ["user_id"], ["event_id"], ["user_id", "event_type", "value"], buckets=2, bucket_rows=8)
+    return cdc.current(t)
 
 
 @query(f"SELECT event_id, CASE WHEN op = 'd' THEN 'true' ELSE 'false' END AS __deleted, op AS __op FROM {EVENTS_SQL}")

@@ -260,6 +260,21 @@ class TxnTable:
             n, hits = n + got.n, hits + got.hits
         return n - hits, n
 
+    def rows_by(self, column: str, version: int | None = None) -> dict[str, int]:
+        """The rows of each value of a partition column, by the log alone."""
+        snap = self.snapshot(version)
+        out: dict[str, int] = {}
+        for a in snap.tail.values():
+            if a:
+                value = a["partitionValues"].get(column)
+                out[value] = out.get(value, 0) + a.get("stats", {}).get("n", 0)
+        if snap.base is not None:
+            files = Snapshot(tail={p: None for p in snap.tail}, base=snap.base).adds(self.spark)
+            own = files.groupBy(F.try_element_at("partitionValues", F.lit(column)).alias("value")).agg(F.sum(F.get_json_object("stats", "$.n").cast("long")).alias("n"))
+            for r in own.collect():  # a row a value
+                out[r.value] = out.get(r.value, 0) + (r.n or 0)
+        return out
+
     def read_since(self, version: int, until: int | None = None) -> DataFrame:
         """The rows that appends after a version, up to another (the latest by default), have added."""
         snap = self.snapshot(until)
@@ -454,12 +469,13 @@ class TxnTable:
             expected |= {k: max(v, expected[k]) for k, v in txns.items()}
         return out
 
-    def overwrite(self, df: DataFrame, txns: dict[str, int] | None = None, schema: T.StructType | None = None, partition_columns: list[str] | None = None, where: dict[str, set[str]] | None = None, read_version: int | None = None) -> Result:
+    def overwrite(self, df: DataFrame, txns: dict[str, int] | None = None, schema: T.StructType | None = None, partition_columns: list[str] | None = None, where: dict[str, set[str]] | None = None, read_version: int | None = None, touches: Callable[[dict[str, str]], bool] | None = None) -> Result:
         """Replaces rows: one commit that removes files and adds new ones.
 
         where: of some partition columns the values whose files go; all files go by default.
         read_version: the version that df was made from (the latest now, by default). Commits since then are
         no conflict unless they added or removed files of these values or changed the schema.
+        touches: whether files of some partition values are a conflict, where those in where don't say so.
         """
         schema, txns = schema or df.schema, dict(txns or {})
         wrote: list = []
@@ -469,7 +485,7 @@ class TxnTable:
             if txns and all(s.txns.get(k, -1) >= v for k, v in txns.items()):
                 return None
             base.append(s.version if read_version is None else read_version)
-            if problem := self._overlap(base[0], s.version, where or {}):
+            if problem := self._overlap(base[0], s.version, where or {}, touches):
                 raise CommitConflict(f"{self.path} changed while it was rewritten: {problem}")
             by = s.partition_columns if s.version >= 0 else partition_columns or []
             if not wrote:
@@ -490,14 +506,15 @@ class TxnTable:
             own += files.filter(bounds.may_hold_column(values, s.schema, list(values))).select("path", "partitionValues").collect()
         return own
 
-    def _overlap(self, base: int, now: int, where: dict[str, set[str]]) -> str | None:
+    def _overlap(self, base: int, now: int, where: dict[str, set[str]], touches: Callable[[dict[str, str]], bool] | None = None) -> str | None:
         """What commits after base have done to the rows that a rewrite of some partition values has read."""
+        touches = touches or (lambda own: all(own.get(k) in values for k, values in where.items()))
         for v in range(base + 1, now + 1):
             for a in self._actions(v):
                 if "metaData" in a:
                     return f"version {v} has another schema"
                 m = a.get("add") or a.get("remove")
-                if m and all(m.get("partitionValues", {}).get(k) in values for k, values in where.items()):
+                if m and touches(m.get("partitionValues", {})):
                     return f"version {v} has changed the same rows"
         return None
 

@@ -337,3 +337,120 @@ def test_rewrites_of_other_rows_dont_conflict(spark, tmp_path):
     with pytest.raises(CommitConflict):
         t.overwrite(df.filter("k = 0"), where={"k": {"0"}}, read_version=later)
     assert sorted(r.id for r in t.read().collect()) == [0, 0, 3, 6, 7, 9, 10, 11]
+
+
+HISTORY = ["id", "name", "seq", "at", "__start_at", "__end_at"]
+
+
+def changes_of(spark, rows_):
+    return spark.createDataFrame(rows_, "id int, name string, op string, seq long, at long")
+
+
+def expected_history(changes):
+    """The history of changes, by hand: a key and its sequence are one change."""
+    by_key = {}
+    for id_, name, op, seq, at in changes:
+        by_key.setdefault(id_, {}).setdefault(seq, (name, op, at))
+    out = []
+    for id_, own in by_key.items():
+        order = sorted(own, key=lambda s: (s is not None, s or 0))
+        for k, seq in enumerate(order):
+            name, op, at = own[seq]
+            if op != "d":
+                out.append((id_, name, seq, at, at, own[order[k + 1]][2] if k + 1 < len(order) else None))
+    return sorted(out, key=repr)
+
+
+def test_history_by_splicing(spark, tmp_path):
+    import random
+
+    from siltflow.operators import cdc
+
+    rng, t, seen = random.Random(5), TxnTable(spark, f"{tmp_path}/t"), []
+    every = [(rng.choice([None, *range(30)]), rng.choice(["a", "b", None]), rng.choice("cuud"), s, rng.choice([None, s * 10, s * 10])) for s in range(240)]
+    every[7] = (*every[7][:3], None, 5)
+    rng.shuffle(every)
+    apply = lambda part: cdc.apply_changes(changes_of(spark, part), t, ["id"], ["seq"], ["id", "name", "seq"], stored_as_scd_type=2, valid="at", buckets=4, bucket_rows=40)
+    for k, part in enumerate((every[:90], every[90:100], every[80:150], every[150:] + every[200:])):  # with repeats, across calls and within one
+        apply(part)
+        seen += part
+        assert sorted((tuple(r) for r in cdc.history(t).select(*HISTORY).collect()), key=repr) == expected_history(seen), k
+    assert apply([]) is None
+    again = t.read().count()
+    apply(every)
+    assert t.read().count() == again == len({(r[0], r[3]) for r in every})
+
+
+def test_history_rewrites_only_what_changes_meet(spark, tmp_path):
+    from siltflow.operators import cdc
+
+    t = TxnTable(spark, f"{tmp_path}/t")
+    apply = lambda *part: cdc.apply_changes(changes_of(spark, list(part)), t, ["id"], ["seq"], ["id", "name"], stored_as_scd_type=2, valid="at")
+    apply(*((k, "x", "u", s, s) for k in range(100) for s in (10, 20)))
+    part = lambda p: int(t.snapshot().files[p]["partitionValues"][cdc.PART])
+    before = {p: part(p) for p in t.snapshot().files}
+    apply((7, "y", "u", 30, 30))  # newer than the key's last version: the versions before it stay as they are
+    gone = {before[p] for p in set(before) - set(t.snapshot().files)}
+    assert len(gone) == 1 and not gone.pop() % 2
+    before = {p: part(p) for p in t.snapshot().files}
+    apply((7, "z", "d", 15, 15))  # splits an interval
+    gone = {before[p] for p in set(before) - set(t.snapshot().files)}
+    assert len({g // 2 for g in gone}) == 1 and len(gone) == 2
+    assert sorted(map(tuple, cdc.history(t).filter("id = 7").select("name", "__start_at", "__end_at").collect())) == [("x", 10, 15), ("x", 20, 30), ("y", 30, None)]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 8, 11, 16, 31])
+def test_linear_hashing(spark, n):
+    from siltflow.operators.cdc import address, parent
+
+    got = spark.range(-500, 500).select(address(F.col("id").cast("int"), n).alias("a"), address(F.col("id").cast("int"), n + 1).alias("b"), address(F.col("id").cast("int"), 3 * n).alias("c")).collect()
+    assert {r.a for r in got} == set(range(n))
+    assert all(r.b == r.a or r.b == n and r.a == parent(n, n) for r in got)
+    assert all(parent(r.c, n) == r.a for r in got)
+
+
+def test_buckets_grow_with_the_table(spark, tmp_path):
+    from siltflow.operators import cdc
+
+    t = TxnTable(spark, f"{tmp_path}/t")
+    change = lambda low, high, seq: spark.range(low, high).selectExpr("id", "'u' AS op", f"{seq}L AS seq")
+    apply = lambda df: cdc.apply_changes(df, t, ["id"], ["seq"], ["id"], buckets=2, bucket_rows=100)
+    for k, high in enumerate((200, 600, 5_000, 20_000)):
+        apply(change(0, high, k))
+        own = t.rows_by(cdc.BUCKET)
+        assert sum(own.values()) == high == t.read().count() and max(own.values()) < 500
+    n = max(map(int, own)) + 1
+    assert n >= 200 and t.read().filter(F.col(cdc.BUCKET) != cdc.address(F.hash("id"), n)).count() == 0
+    assert cdc.current(t).agg(F.min("seq"), F.max("seq"), F.count_distinct("id")).first() == (3, 3, 20_000)
+    before = set(t.snapshot().files)
+    apply(change(20_000, 20_001, 9))
+    after = set(t.snapshot().files)
+    assert len(before & after) > 0.5 * len(before) and cdc.current(t).count() == 20_001
+    met = {int(a["partitionValues"][cdc.BUCKET]) for p, a in t.snapshot().files.items() if p not in before}
+    now = max(int(x) for x in t.rows_by(cdc.BUCKET)) + 1
+    assert len(met) <= 2 * (now - n) + 2
+
+
+def test_a_split_beside_another_writer(spark, tmp_path):
+    from siltflow.operators import cdc
+
+    t = TxnTable(spark, f"{tmp_path}/t")
+    change = lambda ids, seq: spark.createDataFrame([(i, "u", seq) for i in ids], "id long, op string, seq long")
+    apply = lambda df, **at: cdc.apply_changes(df, t, ["id"], ["seq"], ["id"], buckets=4, bucket_rows=20, **at)
+    read = apply(change(range(80), 1)).version
+    assert max(map(int, t.rows_by(cdc.BUCKET))) == 3
+    apply(change(range(80, 130), 2), read_version=read)
+    n = max(map(int, t.rows_by(cdc.BUCKET))) + 1
+    assert n > 4
+    apply(change(range(60, 180), 3), read_version=read)  # from the old buckets: it starts anew
+    n = max(map(int, t.rows_by(cdc.BUCKET))) + 1
+    assert t.read().filter(F.col(cdc.BUCKET) != cdc.address(F.hash("id"), n)).count() == 0
+    assert sorted((r.id, r.seq) for r in cdc.current(t).collect()) == [(k, 1 if k < 60 else 3) for k in range(180)]
+
+
+def test_rows_by_value_come_from_the_log(spark, tmp_path):
+    t = TxnTable(spark, f"{tmp_path}/t", max_tail=2)
+    for k in range(5):
+        t.append(rows(spark, 10 + k).withColumn("k", F.col("id") % 2), partition_columns=["k"])
+    assert t.snapshot().base is not None
+    assert t.rows_by("k") == {str(r.k): r.n for r in t.read().groupBy("k").agg(F.count("*").alias("n")).collect()}
