@@ -23,6 +23,7 @@ from siltflow.plans.catalog import CatalogClient, FakeCatalog, RemoteCatalog, St
 from siltflow.plans.config import IngestConfig
 from siltflow.plans.credentials import ScopedSecrets
 from siltflow.plans.ingest import BackPressure, Ingest
+from siltflow.sources import admission
 from siltflow.sources.records import encode, read_records
 from siltflow.sources.stats import Between
 from siltflow.sources.storage import work_dir
@@ -553,6 +554,32 @@ def dialled_bytes(spark, sf_dir):
     return ingest.table("bronze.app.events").history().filter("num_output_rows > 0").select("version", "num_output_rows")
 
 
+#: Both dials trip: the bytes are those of 2,500 values with six digits and a half.
+STREAM_ROWS, STREAM_BYTES = 2500, 2500 * VALUE_BYTES + 16_250
+
+
+@query(f"""WITH RECURSIVE b AS (SELECT part, off, {VALUE_BYTES} + length(CAST(event_id AS VARCHAR)) + length(CAST(user_id AS VARCHAR)) AS bytes FROM {PLACED_SQL}),
+c AS (SELECT part, off, CAST(sum(bytes) OVER (PARTITION BY part ORDER BY off) AS BIGINT) AS total, max(off) OVER (PARTITION BY part) AS last FROM b),
+f AS (SELECT part, CAST(-1 AS BIGINT) AS version, CAST(-1 AS BIGINT) AS low, CAST(-1 AS BIGINT) AS high, CAST(0 AS BIGINT) AS total FROM b GROUP BY part
+UNION ALL SELECT f.part, f.version + 1, f.high, CAST(min(c.off) AS BIGINT), min(c.total) FROM f JOIN c ON c.part = f.part AND c.off > f.high AND (c.off - f.high >= {STREAM_ROWS} OR c.total - f.total >= {STREAM_BYTES} OR c.off = c.last)
+GROUP BY f.part, f.version, f.high)
+SELECT high - low AS num_output_rows, count(*) AS commits FROM f WHERE version >= 0 GROUP BY 1""")
+def stream_dials(spark, sf_dir):
+    """Stored records as a stream cut by rows and bytes of each partition. It is stopped when only buffers under the dials wait, and started again for them and further records."""
+    base = work_dir(spark, "stream-dials")
+    records = _records(_placed(_events(spark, sf_dir)), ["event_id", "user_id"])
+    early = F.col("offset") < (records.agg(F.max("offset")).first()[0] or 0) * 4 // 5
+    for part, wait in ((records.filter(early), "600000"), (records.filter(~early), "0")):
+        admission.store(part, f"{base}/in")
+        ingest = _ingest(spark, "stream-dials", root=f"{base}/tables", flush_size=STREAM_ROWS, flush_bytes=STREAM_BYTES, commit_per_partition=True)
+        q = sink.start_stored(spark, f"{base}/in", ingest, f"{base}/checkpoint", wait_ms=wait)
+        q.processAllAvailable()
+        q.stop()
+        ingest.close()
+    commits = ingest.table("bronze.app.events").history().filter("num_output_rows > 0")
+    return commits.groupBy("num_output_rows").agg(F.count("*").alias("commits"))
+
+
 @query("SELECT 'bronze.app.' || event_type AS table_name, count(*) AS n FROM events WHERE event_type IN ('click', 'view') GROUP BY event_type")
 def subscribe_pattern(spark, sf_dir):
     """Of many topics only those that a pattern matches as a whole."""

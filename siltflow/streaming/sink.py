@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from siltflow.plans.config import IngestConfig
 from siltflow.plans.ingest import Ingest, Outcome
+from siltflow.sources.admission import StoredRecords, between
 from siltflow.sources.records import kafka_records
 
 
@@ -40,6 +41,26 @@ def start_topics(spark: SparkSession, servers: str, ingest: Ingest, checkpoint:
     return start(reader(spark, servers, topics, pattern, True, **(admission_options(ingest.config) | options)), ingest, checkpoint, available_now)
 
 
+def start_stored(spark: SparkSession, path: str, ingest: Ingest, checkpoint: str, **options: str) -> StreamingQuery:
+    """Starts ingesting records that `admission.store` keeps, as buffers with the dials by rows, bytes and time would.
+
+    A micro-batch, and so a commit of each table, has of each topic and partition what makes a dial trip; the others wait. With
+    wait_ms="0" what is left under the dials goes at once, for a run to the end (`processAllAvailable`).
+    """
+    spark.dataSource.register(StoredRecords)
+    c = ingest.config
+    dials = {"rows": max(c.flush_size, 0), "bytes": max(c.flush_bytes, 0), "wait_ms": max(c.flush_interval_ms, 0), "most": max(c.max_buffered, 0)}
+    ranges = spark.readStream.format(StoredRecords.name()).options(path=path, **{k: str(v) for k, v in dials.items()} | options).load()
+    sink = StreamSink(ingest)
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        own = batch.collect()  # a row a topic and partition
+        if own:
+            sink(between(batch.sparkSession, path, own), batch_id)
+
+    return ranges.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).start()
+
+
 def admission_options(config: IngestConfig) -> dict[str, str]:
     """Options of the Kafka source that stand for the row dial, its longest wait, and back-pressure."""
     out = {"maxOffsetsPerTrigger": str(config.max_buffered)}
