@@ -38,34 +38,3 @@ def plan(records: DataFrame, flush_size: int = 0, flush_bytes: int = 0, size: Co
         steps = F.floor(before / flush_bytes).cast("long")
         out = steps if flush_size <= 0 else F.greatest(out, steps)
     return rows.withColumn("flush", out).select(*records.columns, "flush")
-
-
-class Buffer:
-    """Rows and bytes waiting by topic and partition, and whether a dial is tripped: for callers that feed batches by hand."""
-
-    def __init__(self, flush_size: int = 500, flush_bytes: int = 0, cap: int = 1_000_000):
-        self.flush_size, self.flush_bytes, self.cap = flush_size, flush_bytes, cap
-        self._held: dict[tuple[str, int], list[int]] = {}
-
-    def offer(self, counts: dict[tuple[str, int], tuple[int, int]]) -> bool:
-        """Takes {(topic, partition): (rows, bytes)} as a whole, or gives False if it would pass the cap."""
-        if self.rows() + sum(r for r, _ in counts.values()) > self.cap:
-            return False
-        for k, (r, b) in counts.items():
-            held = self._held.setdefault(k, [0, 0])
-            held[0] += r
-            held[1] += b
-        return True
-
-    def rows(self, key: tuple[str, int] | None = None) -> int:
-        return self._held.get(key, [0, 0])[0] if key else sum(r for r, _ in self._held.values())
-
-    def tripped(self, key: tuple[str, int]) -> bool:
-        r, b = self._held.get(key, [0, 0])
-        return 0 < self.flush_size <= r or 0 < self.flush_bytes <= b
-
-    def due(self) -> list[tuple[str, int]]:
-        return [k for k in self._held if self.tripped(k)]
-
-    def clear(self, key: tuple[str, int]) -> None:
-        self._held.pop(key, None)

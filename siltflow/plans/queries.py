@@ -28,7 +28,7 @@ from siltflow.sources.records import encode, read_records
 from siltflow.sources.stats import Between
 from siltflow.sources.storage import work_dir
 from siltflow.sources.table import TxnTable
-from siltflow.streaming import sink
+from siltflow.streaming import current, sink
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -276,6 +276,18 @@ def disjoint_rewrites(spark, sf_dir):
     return cdc.current(t)
 
 
+@query(SCD1_SQL)
+def stream_current(spark, sf_dir):
+    """Current rows kept by a stream with state by key, over changes in no order, some of them twice; it is stopped and started again in between."""
+    base = work_dir(spark, "stream-current")
+    t, e = TxnTable(spark, f"{base}/current"), _events(spark, sf_dir)
+    for part in (e.filter("event_id % 3 <> 0"), e.filter("event_id % 3 < 2")):
+        part.repartition(2, F.hash("event_id") % 2).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+        current.start_current(stream, t, ["user_id"], ["event_id"], ["user_id", "event_type", "value"], f"{base}/checkpoint", available_now=True).awaitTermination()
+    return cdc.current(t)
+
+
 @query("SELECT count(*) AS n, count(*) FILTER (WHERE op = 'd') AS deletes FROM " + EVENTS_SQL)
 def tombstone_intake(spark, sf_dir):
     """Records with a null value, as a source sends them after each delete, are set aside and don't hold up the others."""

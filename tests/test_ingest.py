@@ -224,15 +224,7 @@ def test_latest_and_intervals(spark):
     assert [(r.k, r["__start_at"], r["__end_at"]) for r in h] == [(1, 10, 10), (1, 10, 12), (2, None, None)]
 
 
-def test_buffer_and_plan(spark):
-    b = flush.Buffer(flush_size=2, flush_bytes=100, cap=3)
-    assert b.offer({("t", 0): (1, 10), ("t", 1): (1, 100)}) and b.due() == [("t", 1)]
-    assert not b.offer({("t", 0): (2, 0)}) and b.rows() == 2 and b.offer({("t", 0): (1, 0)}) and b.tripped(("t", 0))
-    b.clear(("t", 0))
-    assert b.rows() == 1
-    off = flush.Buffer(flush_size=0, flush_bytes=0)
-    off.offer({("t", 0): (9, 9)})
-    assert not off.due()
+def test_plan(spark):
     rows = records(spark, *(("t", 0, k, "xx") for k in range(5)))
     assert [r.flush for r in flush.plan(rows, flush_size=2).orderBy("offset").collect()] == [0, 0, 1, 1, 2]
     assert [r.flush for r in flush.plan(rows, flush_bytes=4, size=F.length("value")).orderBy("offset").collect()] == [0, 0, 1, 1, 2]
@@ -358,6 +350,31 @@ def test_topics_start_with_the_dials_as_options(spark, tmp_path):
     assert sorted(r.id for r in ingest.table("x.b.c").read().collect()) == list(range(5))
 
 
+def test_a_write_that_fails_goes_to_the_dead_letters(spark, tmp_path):
+    """One table can't be written to; the others of the batch are, and a replay sets nothing aside twice."""
+    from siltflow.operators.routing import Catalog
+
+    (tmp_path / "file").write_text("no folder")
+
+    class Half(Catalog):
+        def resolve(self, name, schema=None):
+            target = super().resolve(name, schema)
+            return type(target)(**{**target.__dict__, "path": f"{tmp_path}/file/t"}) if name.endswith("bad") else target
+
+    own = records(spark, *((topic, 0, k, value(V1, id=k, name="a")) for topic in ("good", "bad") for k in range(3)))
+    config = IngestConfig(root=f"{tmp_path}/t", table_name_format="main.s.${topic}")
+    for _ in range(2):
+        ingest = Ingest(spark, config, catalog=Half(config.root))
+        out = ingest.batch(own)
+        assert ingest.table("main.s.good").read().count() == 3 and out.next_offsets == {("good", 0): 3, ("bad", 0): 3}
+        assert sorted((r.topic, r.offset) for r in ingest.dead_letters.read().collect()) == [("bad", 0), ("bad", 1), ("bad", 2)]
+    assert len(out.errors) == 1
+    from dataclasses import replace
+
+    with pytest.raises(RuntimeError, match="main.s.bad"):
+        Ingest(spark, replace(config, root=f"{tmp_path}/u", dead_letters=False), catalog=Half(f"{tmp_path}/u")).batch(own)
+
+
 def test_refused_credentials_arent_the_records_fault(spark, tmp_path):
     from siltflow.operators.routing import Catalog
 
